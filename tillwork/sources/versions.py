@@ -1,0 +1,54 @@
+"""Tables kept as full Parquet versions.
+
+Each publish writes a new folder and then one small commit record; readers only follow
+commits. A failed write therefore leaves the table as it was, and a table can be rewritten
+from itself. Meant for one writer at a time.
+"""
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+COMMIT = "version bigint, operation string, committed_at timestamp, folder string"
+
+
+class VersionedTable:
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+
+    def publish(self, df: DataFrame, operation: str) -> int:
+        version = self.latest() + 1
+        folder = f"{self.root}/v={version}"
+        df.write.parquet(folder)
+        record = self.spark.range(1).select(
+            F.lit(version).cast("bigint").alias("version"),
+            F.lit(operation).alias("operation"),
+            F.current_timestamp().alias("committed_at"),
+            F.lit(folder).alias("folder"),
+        )
+        record.write.mode("append").json(f"{self.root}/commits")
+        return version
+
+    def append(self, df: DataFrame) -> int:
+        return self.publish(self.read().unionByName(df), "append")
+
+    def history(self) -> DataFrame:
+        return self.spark.read.schema(COMMIT).json(f"{self.root}/commits")
+
+    def latest(self) -> int:
+        """The newest version, or -1 for a table never published."""
+        parent = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.json")
+        try:
+            parent.load(f"{self.root}/commits")
+        except Exception as error:
+            if "PATH_NOT_FOUND" in str(error):
+                return -1
+            raise
+        return self.history().agg(F.max("version")).first()[0]
+
+    def read(self, version: int | None = None) -> DataFrame:
+        number = self.latest() if version is None else version
+        commit = self.history().filter(F.col("version") == number).first()
+        if commit is None:
+            raise ValueError(f"no version {number} in {self.root}")
+        return self.spark.read.parquet(commit["folder"])
