@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["access"]
+MODULES = ["quality"]
 
 
 def load():
