@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["joining", "aggregating"]
+MODULES = ["ranking", "business"]
 
 
 def load():
