@@ -1,6 +1,6 @@
 """Date parsing, month arithmetic and report periods."""
 
-from datetime import date, timedelta
+from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,6 +10,21 @@ def day(c: str) -> Column:
     return F.col(c).cast("date")
 
 
+def within(c: str, start: date, end: date) -> Column:
+    """Days from start to end, both in, as a half-open test on the bare column.
+
+    Without a cast around the column the test reaches the Parquet scan.
+    """
+    first = datetime.combine(start, time.min)
+    after = datetime.combine(end + timedelta(days=1), time.min)
+    return (F.col(c) >= F.lit(first)) & (F.col(c) < F.lit(after))
+
+
+def after_day(c: str, limit: date) -> Column:
+    """Later than the whole of a day, also without a cast around the column."""
+    return F.col(c) >= F.lit(datetime.combine(limit + timedelta(days=1), time.min))
+
+
 def month_of(c: str) -> Column:
     """First day of the month. Cheaper to group by than its text form."""
     return F.trunc(day(c), "MM")

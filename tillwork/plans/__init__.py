@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["ranking", "business"]
+MODULES = ["access", "quality", "joining", "aggregating", "ranking", "business", "lakehouse"]
 
 
 def load():

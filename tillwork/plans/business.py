@@ -4,7 +4,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from tillwork.functions.dates import day, month_label, month_of, months_between, preceding, period
+from tillwork.functions.dates import day, month_label, month_of, months_between, preceding, period, within
 from tillwork.functions.money import amount, discounted, money, percent, percent_change, ratio
 from tillwork.operators.joins import lacking_match
 from tillwork.plans import sql
@@ -109,16 +109,12 @@ def churn_candidates(t):
 
 
 @query("""
-WITH n AS (SELECT o_custkey, CAST(COUNT(DISTINCT o_orderkey) AS BIGINT) AS num_orders FROM orders
-           WHERE o_orderstatus = 'P' GROUP BY o_custkey)
+WITH n AS (SELECT o_custkey, CAST(COUNT(DISTINCT o_orderkey) AS BIGINT) AS num_orders FROM orders GROUP BY o_custkey)
 SELECT c_custkey, c_name, c_mktsegment, num_orders FROM n JOIN customer ON o_custkey = c_custkey
 WHERE num_orders = 1
 """)
 def single_order_customers(t):
-    """Customers with exactly one order in progress."""
-    counts = t.orders.filter("o_orderstatus = 'P'").groupBy("o_custkey").agg(
-        F.countDistinct("o_orderkey").alias("num_orders")
-    )
+    counts = t.orders.groupBy("o_custkey").agg(F.countDistinct("o_orderkey").alias("num_orders"))
     one = counts.filter("num_orders = 1").join(t.customer, on("o_custkey", "c_custkey"))
     return one.select("c_custkey", "c_name", "c_mktsegment", "num_orders")
 
@@ -212,14 +208,21 @@ c AS (SELECT o_custkey, arg_min(p_type, place) AS first_category, arg_max(p_type
 SELECT *, CASE WHEN first_category <> last_category THEN 'Yes' ELSE 'No' END AS category_shift FROM c
 """)
 def category_shift(t):
-    """First and last category bought: min_by and max_by combine before the shuffle."""
-    lines = t.lineitem.join(t.part, on("l_partkey", "p_partkey")).join(
-        t.orders, on("l_orderkey", "o_orderkey")
+    """First and last category bought.
+
+    min_by and max_by combine before each shuffle: lines shrink to the two ends of their
+    order, and orders to the two ends of their customer.
+    """
+    lines = t.lineitem.join(t.part, on("l_partkey", "p_partkey"))
+    place = F.struct("l_linenumber", "l_partkey")
+    per_order = lines.groupBy("l_orderkey").agg(
+        F.min_by("p_type", place).alias("first"), F.max_by("p_type", place).alias("last")
     )
-    place = F.struct("o_orderdate", "o_orderkey", "l_linenumber", "l_partkey")
-    ends = lines.groupBy("o_custkey").agg(
-        F.min_by("p_type", place).alias("first_category"),
-        F.max_by("p_type", place).alias("last_category"),
+    dated = per_order.join(t.orders, on("l_orderkey", "o_orderkey"))
+    when = F.struct("o_orderdate", "o_orderkey")
+    ends = dated.groupBy("o_custkey").agg(
+        F.min_by("first", when).alias("first_category"),
+        F.max_by("last", when).alias("last_category"),
     )
     moved = F.when(F.col("first_category") != F.col("last_category"), "Yes").otherwise("No")
     return ends.withColumn("category_shift", moved)
@@ -332,31 +335,39 @@ def fulfilled_parts(t):
 
 
 @query(f"""
-WITH b AS (SELECT l_orderkey, p_brand, COUNT(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2)
-SELECT x.p_brand AS product_a, y.p_brand AS product_b, CAST(SUM(x.n * y.n) AS BIGINT) AS times_bought_together
-FROM b x JOIN b y ON x.l_orderkey = y.l_orderkey AND x.p_brand < y.p_brand
+WITH l AS (SELECT l_orderkey, l_partkey, p_name FROM lineitem JOIN part ON l_partkey = p_partkey)
+SELECT least(x.p_name, y.p_name) AS product_a, greatest(x.p_name, y.p_name) AS product_b,
+       {sql.count()} AS times_bought_together
+FROM l x JOIN l y ON x.l_orderkey = y.l_orderkey AND x.l_partkey < y.l_partkey
 GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 50
 """)
 def bought_together(t):
-    """Brands in one basket: how many pairs of lines combine them.
+    """Product names sold in one order: how many pairs of lines with two products.
 
-    Lines first collapse to one row per (order, brand) with a count, so a basket is a list
-    no longer than the list of brands, however many lines the order has. Its brand pairs
-    then stand for the products of those counts.
+    The pairs of lines are counted, not built. An order shrinks to one entry per name: n
+    lines, of which ``same`` pairs (ordered, with itself) share a product. Two names then
+    meet n_a * n_b times, and a name meets itself (n * n - same) / 2 times. An entry list is
+    never longer than the list of names, and its counts add up before they are shuffled.
     """
-    brands = t.lineitem.join(t.part, on("l_partkey", "p_partkey")).groupBy("l_orderkey", "p_brand").agg(
-        F.count("*").alias("n")
+    parts = t.lineitem.groupBy("l_orderkey", "l_partkey").agg(F.count("*").alias("n"))
+    named = parts.join(t.part, on("l_partkey", "p_partkey")).groupBy("l_orderkey", "p_name").agg(
+        F.sum(F.col("n") * F.col("n")).alias("same"), F.sum("n").alias("n")
     )
-    baskets = brands.groupBy("l_orderkey").agg(
-        F.sort_array(F.collect_list(F.struct("p_brand", "n"))).alias("basket")
+    baskets = named.groupBy("l_orderkey").agg(
+        F.sort_array(F.collect_list(F.struct("p_name", "n", "same"))).alias("basket")
     )
     first = baskets.select("basket", F.posexplode("basket").alias("at", "a"))
-    rest = F.slice("basket", F.col("at") + 2, F.size("basket"))
-    pairs = first.select("a", F.explode(rest).alias("b"))
-    counted = pairs.groupBy(
-        F.col("a.p_brand").alias("product_a"), F.col("b.p_brand").alias("product_b")
-    ).agg(F.sum(F.col("a.n") * F.col("b.n")).alias("times_bought_together"))
-    return counted.orderBy(F.desc("times_bought_together"), "product_a", "product_b").limit(50)
+    onwards = F.slice("basket", F.col("at") + 1, F.size("basket"))
+    met = first.select("a", F.explode(onwards).alias("b"))
+    itself = F.expr("(a.n * a.n - a.same) div 2")
+    times = F.when(F.col("a.p_name") == F.col("b.p_name"), itself).otherwise(
+        F.col("a.n") * F.col("b.n")
+    )
+    counted = met.groupBy(
+        F.col("a.p_name").alias("product_a"), F.col("b.p_name").alias("product_b")
+    ).agg(F.sum(times).alias("times_bought_together"))
+    found = counted.filter("times_bought_together > 0")
+    return found.orderBy(F.desc("times_bought_together"), "product_a", "product_b").limit(50)
 
 
 # --- orders ------------------------------------------------------------------------------
@@ -480,7 +491,7 @@ def period_summary(t, kind: str, anchor: date):
     start, end = period(kind, anchor)
     before, _ = preceding(start, end)
     placed = day("o_orderdate")
-    chosen = t.orders.filter(placed.between(F.lit(before), F.lit(end))).select(
+    chosen = t.orders.filter(within("o_orderdate", before, end)).select(
         "o_orderkey", "o_custkey", (placed >= F.lit(start)).alias("now")
     )
     values = t.lineitem.join(
@@ -534,7 +545,7 @@ GROUP BY p_name ORDER BY SUM({sql.REV}) DESC, p_name LIMIT 3
 """)
 def period_top_products(t):
     start, end = MONTH
-    chosen = t.orders.filter(day("o_orderdate").between(F.lit(start), F.lit(end)))
+    chosen = t.orders.filter(within("o_orderdate", start, end))
     lines = t.lineitem.join(chosen, on("l_orderkey", "o_orderkey"), "left_semi")
     named = sales_per_part(lines).join(t.part, on("l_partkey", "p_partkey"))
     grouped = named.groupBy(F.col("p_name").alias("product")).agg(F.sum("revenue").alias("total"))

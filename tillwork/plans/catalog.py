@@ -31,6 +31,7 @@ MONTHLY_CUTS = [("High", 400_000), ("Medium", 150_000)]
 ORDER_CUTS = [("High", 350_000), ("Medium", 150_000)]
 RISK_GAP_DAYS = 220
 AS_OF = date(2001, 8, 1)
+CHECKED_ON = date(2001, 1, 1)
 REPRICED_ON = date(1998, 1, 1)
 REPRICED_AGAIN_ON = date(2000, 1, 1)
 OPENED_ON = date(1995, 1, 1)

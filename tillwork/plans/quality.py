@@ -3,11 +3,11 @@
 from pyspark.sql import functions as F
 
 from tillwork.functions import text
-from tillwork.functions.dates import day, elapsed_days, parse_timestamp
+from tillwork.functions.dates import after_day, day, elapsed_days, parse_timestamp
 from tillwork.functions.money import MONEY, amount
 from tillwork.operators import clean, flows, profile, validate
 from tillwork.plans import raw, sql
-from tillwork.plans.catalog import AS_OF, query
+from tillwork.plans.catalog import CHECKED_ON, query
 
 LINE_ID = ["l_orderkey", "l_linenumber", "l_partkey"]
 LINES = ", ".join(LINE_ID)
@@ -268,10 +268,10 @@ def parse_dates(t):
     )
 
 
-@query("SELECT o_orderkey, o_orderdate FROM orders WHERE CAST(o_orderdate AS DATE) > DATE '2001-01-01'")
+@query(f"SELECT o_orderkey, o_orderdate FROM orders WHERE CAST(o_orderdate AS DATE) > DATE '{CHECKED_ON}'")
 def flag_future_dates(t):
     """Orders dated after the day of the check, given as a parameter."""
-    later = day("o_orderdate") > F.lit(AS_OF.replace(month=1))
+    later = after_day("o_orderdate", CHECKED_ON)
     return t.orders.filter(later).select("o_orderkey", "o_orderdate")
 
 

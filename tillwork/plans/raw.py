@@ -180,3 +180,119 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 """
 # A total order of the copies of one order line.
 FIRST_COPY = ["product_id", "unit_price", "quantity", "order_date", "delivery_date"]
+
+
+# --- the sources of the lake -------------------------------------------------------------
+
+def city_customers(t):
+    """Customers with their city; those in debt come twice, spelled differently."""
+    named = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = named.select(
+        F.col("c_custkey").alias("customer_id"),
+        F.col("c_name").alias("customer_name"),
+        F.concat(F.lower("c_name"), F.lit("@example.com")).alias("email"),
+        F.concat(F.lit("  "), F.col("n_name")).alias("city"),
+        "c_acctbal",
+    )
+    again = rows.filter("c_acctbal < 0").withColumn("city", F.concat(F.lower("city"), F.lit(" ")))
+    return rows.unionByName(again).drop("c_acctbal")
+
+
+def payments(t):
+    """One payment per order line; lines that share a number share a payment id."""
+    return t.lineitem.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("payment_id"),
+        F.col("l_orderkey").alias("order_id"),
+        F.when(F.col("l_tax") < 0.03, "Card").when(F.col("l_tax") < 0.06, "Cash").otherwise("Wallet").alias("payment_method"),
+        F.col("l_extendedprice").alias("amount"),
+        F.when(F.col("l_linestatus") == "F", "Success").otherwise("Pending").alias("payment_status"),
+    )
+
+
+PAYMENTS = """
+SELECT concat_ws('-', l_orderkey, l_linenumber) AS payment_id, l_orderkey AS order_id,
+       CASE WHEN l_tax < 0.03 THEN 'Card' WHEN l_tax < 0.06 THEN 'Cash' ELSE 'Wallet' END AS payment_method,
+       l_extendedprice AS amount, CASE l_linestatus WHEN 'F' THEN 'Success' ELSE 'Pending' END AS payment_status
+FROM lineitem
+"""
+
+
+def catalogue(t):
+    return t.part.select(
+        F.col("p_partkey").alias("product_id"),
+        F.col("p_name").alias("product_name"),
+        F.col("p_type").alias("category"),
+        F.col("p_retailprice").alias("price"),
+        F.col("p_size").alias("size"),
+    )
+
+
+# --- wide transactions -------------------------------------------------------------------
+
+def transactions(t):
+    """Order lines in the layout of a retail export, with gaps and mixed spellings."""
+    joined = (
+        t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(products(t), F.col("l_partkey") == F.col("product_id"))
+        .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+        .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    )
+    return joined.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").alias("transaction_id"),
+        F.col("r_name").alias("region"),
+        F.when(F.col("c_nationkey") < 3, "  ").otherwise(F.col("n_name")).alias("city"),
+        F.when(F.col("c_mktsegment") == "MACHINERY", "NA")
+        .otherwise(F.concat((F.col("l_quantity").cast("int") + 8).cast("string"), F.lit(".0")))
+        .alias("age"),
+        F.nullif("o_orderpriority", F.lit("4-NOT SPECIFIED")).alias("payment_method"),
+        F.col("category").alias("product_category"),
+        F.when(F.col("l_tax") < 0.08, F.col("l_quantity")).alias("quantity"),
+        F.col("price").alias("unit_price"),
+        F.col("l_extendedprice").alias("total_amount"),
+        F.when(F.col("o_orderstatus") == "F", "Completed").otherwise("Pending").alias("order_status"),
+    )
+
+
+TRANSACTIONS = f"""
+SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey) AS transaction_id, r_name AS region,
+       CASE WHEN c_nationkey < 3 THEN '  ' ELSE n_name END AS city,
+       CASE WHEN c_mktsegment = 'MACHINERY' THEN NULL ELSE CAST(l_quantity + 8 AS INTEGER) END AS age,
+       NULLIF(o_orderpriority, '4-NOT SPECIFIED') AS payment_method, category AS product_category,
+       CASE WHEN l_tax < 0.08 THEN l_quantity END AS quantity, price AS unit_price,
+       l_extendedprice AS total_amount,
+       CASE WHEN o_orderstatus = 'F' THEN 'Completed' ELSE 'Pending' END AS order_status
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN ({PRODUCTS}) ON l_partkey = product_id
+JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+JOIN region ON n_regionkey = r_regionkey
+"""
+
+
+def wide_orders(t):
+    """Orders as a wide export: keys as doubles, padded text, month/day/year dates, gaps."""
+    joined = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(
+        t.nation, F.col("c_nationkey") == F.col("n_nationkey")
+    )
+
+    def padded(c):
+        return F.concat(F.lit(" "), F.col(c), F.lit("  "))
+
+    priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
+    return joined.select(
+        F.col("o_orderkey").cast("double").alias("transaction_id"),
+        F.col("o_custkey").cast("double").alias("customer_id"),
+        padded("n_name").alias("country"),
+        padded("n_name").alias("state"),
+        F.col("c_nationkey").cast("double").alias("age"),
+        padded("c_mktsegment").alias("gender"),
+        padded("c_mktsegment").alias("customer_segment"),
+        F.date_format("o_orderdate", "M/d/yyyy").alias("date"),
+        F.col("c_nationkey").cast("double").alias("total_purchases"),
+        F.col("c_acctbal").alias("unit_amount"),
+        F.when(priority != "5-LOW", F.col("o_totalprice")).alias("total_amount"),
+        padded("c_mktsegment").alias("product_category"),
+        F.when(status != "O", padded("o_orderstatus")).alias("product_brand"),
+        padded("o_orderpriority").alias("payment_method"),
+        F.when(status != "P", padded("o_orderstatus")).alias("order_status"),
+        F.when(priority != "1-URGENT", F.lit(4.0)).alias("ratings"),
+    )
