@@ -7,13 +7,9 @@ from tillwork.operators.quantiles import exact_quantiles, most_common
 
 
 def fill_median(df: DataFrame, *columns: str) -> DataFrame:
-    """Replace nulls by the exact median of the column."""
-    medians = exact_quantiles(df, list(columns), {"median": 0.5})
-    fills = {}
-    for c in columns:
-        median = medians.filter(F.col("column_name") == c).select("median").scalar()
-        fills[c] = F.coalesce(F.col(c), median)
-    return df.withColumns(fills)
+    """Replace nulls by the exact median of the column, one number per column."""
+    medians = exact_quantiles(df, list(columns), {"median": 0.5}).collect()
+    return df.fillna({row["column_name"]: row["median"] for row in medians})
 
 
 def fill_approx_median(df: DataFrame, column: str, relative_error: float = 0.01) -> DataFrame:

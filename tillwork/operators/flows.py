@@ -8,6 +8,7 @@ from tillwork.functions.dates import elapsed_days, parse_timestamp
 from tillwork.functions.money import MONEY, amount
 from tillwork.operators.clean import fill_approx_median, fill_median, fill_mode, first_by
 from tillwork.operators.profile import count_rules
+from tillwork.sources.shared import pin
 
 # The date layouts found in raw order files, in the order they are tried.
 ORDER_DATE_FORMATS = ["yyyy-MM-dd HH:mm:ss", "dd-MM-yyyy"]
@@ -17,9 +18,10 @@ WELL_FORMED_DATE = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 def clean_shopping(df: DataFrame) -> DataFrame:
     """Shopping list: text nulls, then fills, then duplicates, then totals.
 
-    Fills come before the duplicates go, so the median and mode count every copy.
+    Fills come before the duplicates go, so the median and mode count every copy. The input
+    is pinned because both fills read it before the result does.
     """
-    known = df.withColumns({c: text.tokens_to_null(F.col(c)) for c in ("category", "size")})
+    known = pin(df.withColumns({c: text.tokens_to_null(F.col(c)) for c in ("category", "size")}))
     filled = fill_mode(fill_median(known, "price"), "quantity").fillna("Unknown", ["size"])
     total = F.col("price").cast(MONEY) * F.col("quantity")
     return filled.dropDuplicates().withColumn("total_amount", amount(total))
@@ -164,6 +166,8 @@ def retail_summary(df: DataFrame) -> DataFrame:
     kept = typed.fillna({"payment_method": "Unknown", "city": "Unknown"}).dropna(
         subset=["quantity", "total_amount", "unit_price"]
     )
+    # The median and the report both read the rows: join and de-duplicate them once.
+    kept = pin(kept)
     aged = fill_approx_median(kept, "age", relative_error=0.0001)
     category = text.canonical(F.col("product_category"), text.CATEGORY_NAMES)
     sales = aged.withColumn("category", category).filter(

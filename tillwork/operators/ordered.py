@@ -41,7 +41,7 @@ def over_ordered(
     )
     sliced = _slices(df, group, order)
     rows = work.within_slices(sliced)
-    carried = work.carried(work.within_slices(_crossing(sliced, group)))
+    carried = work.carried(_crossing(sliced, group))
 
     # At most two summary rows per slice, so the broadcast is bounded by the slice count.
     match = F.col(SLICE) == F.col("_at_slice")
@@ -79,10 +79,14 @@ def _sorted(order) -> list[Column]:
     return [F.desc(c) if direction == "desc" else F.asc(c) for c, direction in order]
 
 
+def _slice_count(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _slices(df: DataFrame, group: list[str], order) -> DataFrame:
-    count = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.asc(c) for c in group] + _sorted(order)
-    return pin(df.repartitionByRange(count, *keys).withColumn(SLICE, F.spark_partition_id()))
+    ranged = df.repartitionByRange(_slice_count(df), *keys)
+    return pin(ranged.withColumn(SLICE, F.spark_partition_id()))
 
 
 def _crossing(sliced: DataFrame, group: list[str]) -> DataFrame:
@@ -121,25 +125,30 @@ class _Windows:
             columns["_dense"] = F.dense_rank().over(tied).cast("long")
         columns |= {f"_part_{n}": F.sum(c).over(place) for n, c in self.totals.items()}
         columns["_rows"] = F.count("*").over(place)
-        return sliced.withColumns(columns)
+        # Ranges of whole slices spread them evenly; hashing their numbers would not.
+        spread = sliced.repartitionByRange(_slice_count(sliced), SLICE)
+        return spread.withColumns(columns)
 
-    def carried(self, rows: DataFrame) -> DataFrame:
+    def carried(self, crossing: DataFrame) -> DataFrame:
         """What each slice has to add: one row per (crossing group, slice)."""
-        last = F.col("_row") == F.col("_rows")
-        ends = rows.filter((F.col("_row") == 1) | last)
-        tie = F.struct(*[c for c, _ in self.tie_order])
-        columns = [F.max("_rows").alias("_rows")]
-        columns += [F.max(F.when(last, F.col(f"_run_{n}"))).alias(f"_run_{n}") for n in self.running]
-        columns += [F.max(f"_part_{n}").alias(f"_part_{n}") for n in self.totals]
-        columns += [F.max(F.when(last, F.col(c))).alias(f"_end_{n}") for n, c in self.lag.items()]
-        if self.ranking:
-            columns += [
-                F.max("_rank").alias("_rank"),
-                F.max("_dense").alias("_dense"),
-                F.max(F.when(F.col("_row") == 1, tie)).alias("_head"),
-                F.max(F.when(last, tie)).alias("_tail"),
-            ]
-        slices = ends.groupBy(*self.group, SLICE).agg(*columns)
+        columns = [F.count("*").alias("_rows")]
+        columns += [F.sum(c).alias(f"_run_{n}") for n, c in self.running.items()]
+        columns += [F.sum(c).alias(f"_part_{n}") for n, c in self.totals.items()]
+        rows = crossing
+        if self.ranking or self.lag:
+            # The first and last row of a slice matter too, so it has to be in order.
+            rows = self.within_slices(crossing)
+            tie = F.struct(*[c for c, _ in self.tie_order])
+            columns += [F.max_by(c, "_row").alias(f"_end_{n}") for n, c in self.lag.items()]
+            if self.ranking:
+                columns += [
+                    F.max("_rank").alias("_rank"),
+                    F.max("_dense").alias("_dense"),
+                    F.min_by(tie, "_row").alias("_head"),
+                    F.max_by(tie, "_row").alias("_tail"),
+                ]
+            columns[0] = F.max("_row").alias("_rows")
+        slices = rows.groupBy(*self.group, SLICE).agg(*columns)
 
         whole = Window.partitionBy(*self.group)
         ordered = whole.orderBy(SLICE)

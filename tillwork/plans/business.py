@@ -5,7 +5,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from tillwork.functions.dates import day, month_label, month_of, months_between, preceding, period, within
-from tillwork.functions.money import amount, discounted, money, percent, percent_change, ratio
+from tillwork.functions.money import amount, discounted, percent, percent_change, ratio
 from tillwork.operators.joins import lacking_match
 from tillwork.plans import sql
 from tillwork.plans.aggregating import ORDER_TOTALS, customer_sales, sales_per_part, total

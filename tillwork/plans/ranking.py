@@ -4,7 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tillwork.functions.dates import day, month_label, month_of
-from tillwork.functions.money import amount, discounted, money, percent, percent_change, ratio
+from tillwork.functions.money import amount, percent, percent_change, ratio
 from tillwork.operators.ordered import over_ordered
 from tillwork.plans import sql
 from tillwork.plans.aggregating import (

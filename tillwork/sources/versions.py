@@ -47,8 +47,10 @@ class VersionedTable:
         return self.history().agg(F.max("version")).first()[0]
 
     def read(self, version: int | None = None) -> DataFrame:
-        number = self.latest() if version is None else version
-        commit = self.history().filter(F.col("version") == number).first()
-        if commit is None:
-            raise ValueError(f"no version {number} in {self.root}")
-        return self.spark.read.parquet(commit["folder"])
+        commits = self.history()
+        if version is not None:
+            commits = commits.filter(F.col("version") == version)
+        folder = commits.agg(F.max_by("folder", "version")).first()[0]
+        if folder is None:
+            raise ValueError(f"no version {'yet' if version is None else version} in {self.root}")
+        return self.spark.read.parquet(folder)
