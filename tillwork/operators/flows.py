@@ -181,6 +181,20 @@ def retail_summary(df: DataFrame) -> DataFrame:
     )
 
 
+def split_staging(
+    flat: DataFrame, customers: list[str], products: list[str], product_name: str, orders: list[str]
+) -> dict[str, DataFrame]:
+    """Take a flat staging table apart into customers, products and orders.
+
+    A product may be spelled in several ways; the smallest name stands for all.
+    """
+    return {
+        "customers": flat.select(*customers).distinct(),
+        "products": flat.groupBy(*products).agg(F.min(product_name).alias(product_name)),
+        "orders": flat.select(*orders).distinct(),
+    }
+
+
 # Amounts from which an order counts as high or medium.
 VALUE_TIERS = [("High", 500), ("Medium", 150)]
 

@@ -40,7 +40,7 @@ def outer(left: DataFrame, right: DataFrame, on: str, key: str, how: str) -> Dat
 
 
 def with_dimension(
-    facts: DataFrame, dimension: DataFrame, condition, how: str = "inner", max_rows: int = 1_000_000
+    facts: DataFrame, dimension: DataFrame, condition, how: str = "inner", max_rows: int = 500_000
 ) -> DataFrame:
     """Broadcast the dimension only once it is known to be small; else a shuffle join.
 

@@ -377,9 +377,10 @@ SELECT strftime(o_orderdate, '%Y-%m') AS year_month, {sql.count()} AS order_coun
 WHERE o_orderdate >= (SELECT MAX(o_orderdate) FROM orders) - INTERVAL 12 MONTH GROUP BY 1
 """)
 def orders_last_12_months(t):
-    """The bound is a scalar subquery on the column itself, so the filter reaches the scan."""
-    newest = t.orders.agg(F.max("o_orderdate")).scalar()
-    recent = t.orders.filter(F.col("o_orderdate") >= newest - F.expr("interval 12 months"))
+    """The whole bound is one scalar subquery, so the filter on the column reaches the scan."""
+    year_before = F.max("o_orderdate") - F.expr("interval 12 months")
+    since = t.orders.agg(year_before.alias("since")).scalar()
+    recent = t.orders.filter(F.col("o_orderdate") >= since)
     grouped = recent.groupBy(month_of("o_orderdate").alias("m")).agg(F.count("*").alias("order_count"))
     return grouped.select(month_label(F.col("m")).alias("year_month"), "order_count").orderBy("year_month")
 

@@ -8,6 +8,7 @@ from tillwork.functions.money import MONEY, amount
 from tillwork.operators import clean, flows, profile, validate
 from tillwork.plans import raw, sql
 from tillwork.plans.catalog import CHECKED_ON, query
+from tillwork.sources.shared import pin
 
 LINE_ID = ["l_orderkey", "l_linenumber", "l_partkey"]
 LINES = ", ".join(LINE_ID)
@@ -417,25 +418,33 @@ UNION ALL (SELECT DISTINCT 'orders', CAST(l_orderkey AS VARCHAR),
        o_orderstatus || '|' || strftime(o_orderdate, '%Y-%m-%d') FROM s)
 """)
 def normalize_staging(t):
-    """A flat staging table taken apart into customers, products and orders."""
     flat = (
         t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+        .select(
+            "c_custkey", "c_name", "c_mktsegment", "l_partkey", "p_type", "p_name", "l_orderkey",
+            "o_orderstatus", day("o_orderdate").alias("order_date"),
+        )
     )
-    customers = flat.select(
-        F.lit("customers").alias("table_name"),
-        F.col("c_custkey").cast("string").alias("row_key"),
-        F.concat_ws("|", "c_name", "c_mktsegment").alias("label"),
-    ).distinct()
-    products = flat.groupBy("l_partkey").agg(F.min("p_name").alias("label")).select(
-        F.lit("products").alias("table_name"),
-        F.col("l_partkey").cast("string").alias("row_key"),
-        "label",
+    tables = flows.split_staging(
+        pin(flat, "staging"),
+        customers=["c_custkey", "c_name", "c_mktsegment"],
+        products=["l_partkey", "p_type"],
+        product_name="p_name",
+        orders=["l_orderkey", "o_orderstatus", "order_date"],
     )
-    orders = flat.select(
-        F.lit("orders").alias("table_name"),
-        F.col("l_orderkey").cast("string").alias("row_key"),
-        F.concat_ws("|", "o_orderstatus", F.date_format("o_orderdate", "yyyy-MM-dd")).alias("label"),
-    ).distinct()
-    return customers.unionByName(products).unionByName(orders)
+    labels = {
+        "customers": ["c_name", "c_mktsegment"],
+        "products": ["p_name"],
+        "orders": ["o_orderstatus", "order_date"],
+    }
+    result = None
+    for name, table in tables.items():
+        rows = table.select(
+            F.lit(name).alias("table_name"),
+            F.col(table.columns[0]).cast("string").alias("row_key"),
+            F.concat_ws("|", *[F.col(c).cast("string") for c in labels[name]]).alias("label"),
+        )
+        result = rows if result is None else result.unionByName(rows)
+    return result

@@ -20,7 +20,7 @@ class VersionedTable:
         version = self.latest() + 1
         folder = f"{self.root}/v={version}"
         df.write.parquet(folder)
-        record = self.spark.range(1).select(
+        record = self.spark.range(0, 1, 1, 1).select(
             F.lit(version).cast("bigint").alias("version"),
             F.lit(operation).alias("operation"),
             F.current_timestamp().alias("committed_at"),
