@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tillwork.functions.dates import month_label, month_of
 from tillwork.functions.money import RATIO, amount, discounted, money, percent
-from tillwork.operators.joins import best_with_ties
+from tillwork.operators.joins import best_with_ties, having_match
 from tillwork.plans import sql
 from tillwork.plans.catalog import fulfilled, query
 from tillwork.plans.joining import on
@@ -243,7 +243,7 @@ def by_region(t, sales):
 
 def spend_per_customer(t):
     return t.orders.groupBy("o_custkey").agg(
-        F.count("*").alias("n"), F.sum(total()).alias("spend")
+        F.count("*").alias("n"), F.count("o_totalprice").alias("priced"), F.sum(total()).alias("spend")
     )
 
 
@@ -267,8 +267,10 @@ def regions_above_avg(t):
     """The overall mean is a scalar subquery inside the plan; nothing is collected."""
     overall = t.orders.agg(F.avg(total()).cast("double")).scalar()
     placed = by_region(t, spend_per_customer(t)).groupBy(F.col("r_name").alias("region"))
-    grouped = placed.agg(F.sum("n").alias("order_count"), F.sum("spend").alias("spend"))
-    mean = F.col("spend").cast("double") / F.col("order_count")
+    grouped = placed.agg(
+        F.sum("n").alias("order_count"), F.sum("priced").alias("priced"), F.sum("spend").alias("spend")
+    )
+    mean = F.col("spend").cast("double") / F.nullif("priced", F.lit(0))
     return grouped.filter(mean > overall).select(
         "region",
         "order_count",
@@ -330,7 +332,7 @@ def category_revenue_discounted(t):
         F.sum(discounted()).alias("revenue"),
     )
     return per_order.groupBy("category").agg(
-        F.count("*").alias("num_orders"),
+        F.count("l_orderkey").alias("num_orders"),
         F.sum("lines").alias("total_items_sold"),
         F.sum("units").alias("total_quantity"),
         amount(F.sum("revenue")).alias("revenue_after_discount"),
@@ -370,13 +372,14 @@ FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_partkey, p_name, p_t
 ORDER BY total_quantity DESC, p_partkey LIMIT 3
 """)
 def top_products_qty(t):
-    """Names are looked up for the three winners only."""
+    """Names are looked up for the three winners only, chosen among the known parts."""
     sold = t.lineitem.groupBy("l_partkey").agg(
         F.sum("l_quantity").cast("bigint").alias("total_quantity"),
         F.countDistinct("l_orderkey").alias("num_orders"),
         amount(F.sum(discounted())).alias("total_revenue"),
     )
-    top = sold.orderBy(F.desc("total_quantity"), "l_partkey").limit(3)
+    known = having_match(sold, t.part, "l_partkey", "p_partkey")
+    top = known.orderBy(F.desc("total_quantity"), "l_partkey").limit(3)
     named = top.join(t.part, on("l_partkey", "p_partkey"))
     return named.select(
         "p_partkey", "p_name", "p_type", "total_quantity", "num_orders", "total_revenue"
@@ -420,7 +423,7 @@ def high_value_orders(t):
 @query("""
 SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM lineitem
 WHERE CAST(l_extendedprice AS DECIMAL(18,2)) >
-      (SELECT CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) FROM lineitem)
+      (SELECT CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(l_extendedprice) FROM lineitem)
 """)
 def lines_above_avg(t):
     mean = t.lineitem.agg(F.avg(money("l_extendedprice")).cast("double")).scalar()
@@ -456,11 +459,11 @@ def highest_order_per_customer(t):
 @query(f"""
 WITH s AS ({ORDER_TOTALS})
 SELECT o_custkey, {sql.amount('total_sales')} AS total_sales FROM s
-WHERE total_sales > (SELECT CAST(SUM(total_sales) AS DOUBLE) / COUNT(*) FROM s)
+WHERE total_sales > (SELECT CAST(SUM(total_sales) AS DOUBLE) / COUNT(total_sales) FROM s)
 """)
 def above_avg_customers(t):
     sales = customer_sales(t)
-    mean = sales.agg(F.sum("total_sales").cast("double") / F.count("*")).scalar()
+    mean = sales.agg(F.sum("total_sales").cast("double") / F.count("total_sales")).scalar()
     above = sales.filter(F.col("total_sales").cast("double") > mean)
     return above.select("o_custkey", amount(F.col("total_sales")).alias("total_sales"))
 
@@ -468,14 +471,16 @@ def above_avg_customers(t):
 @query(f"""
 SELECT c_custkey, c_name, {sql.amount(f'SUM({sql.TOTAL})')} AS lifetime_spend
 FROM customer JOIN orders ON c_custkey = o_custkey WHERE {sql.FULFILLED}
-GROUP BY c_custkey, c_name HAVING SUM({sql.TOTAL}) > (SELECT CAST(SUM(s) AS DOUBLE) / COUNT(*) FROM
+GROUP BY c_custkey, c_name HAVING SUM({sql.TOTAL}) > (SELECT CAST(SUM(s) AS DOUBLE) / COUNT(s) FROM
     (SELECT SUM({sql.TOTAL}) AS s FROM orders WHERE {sql.FULFILLED} GROUP BY o_custkey))
 ORDER BY SUM({sql.TOTAL}) DESC, c_custkey LIMIT 15
 """)
 def having_above_avg(t):
     spend = fulfilled(t.orders).groupBy("o_custkey").agg(F.sum(total()).alias("spend"))
-    mean = spend.agg(F.sum("spend").cast("double") / F.count("*")).scalar()
-    top = spend.filter(F.col("spend").cast("double") > mean).orderBy(F.desc("spend"), "o_custkey")
+    mean = spend.agg(F.sum("spend").cast("double") / F.count("spend")).scalar()
+    above = spend.filter(F.col("spend").cast("double") > mean)
+    known = having_match(above, t.customer, "o_custkey", "c_custkey")
+    top = known.orderBy(F.desc("spend"), "o_custkey")
     named = top.limit(15).join(t.customer, on("o_custkey", "c_custkey"))
     return named.select("c_custkey", "c_name", amount(F.col("spend")).alias("lifetime_spend"))
 
@@ -499,14 +504,14 @@ def product_revenue(t):
 @query(f"""
 WITH r AS ({PART_REVENUE}), j AS (SELECT * FROM r JOIN part ON l_partkey = p_partkey)
 SELECT p_partkey, p_name, p_type, {sql.amount('revenue')} AS product_revenue FROM j
-WHERE revenue > (SELECT CAST(SUM(i.revenue) AS DOUBLE) / COUNT(*) FROM j i WHERE i.p_type = j.p_type)
+WHERE revenue > (SELECT CAST(SUM(i.revenue) AS DOUBLE) / COUNT(i.revenue) FROM j i WHERE i.p_type = j.p_type)
 """)
 def product_vs_category(t):
     """Products that earn more than the mean product of their category."""
     revenue = sales_per_part(t.lineitem).select("l_partkey", "revenue")
     named = revenue.join(t.part, on("l_partkey", "p_partkey"))
     means = named.groupBy(F.col("p_type").alias("category")).agg(
-        (F.sum("revenue").cast("double") / F.count("*")).alias("mean_revenue")
+        F.try_divide(F.sum("revenue").cast("double"), F.count("revenue")).alias("mean_revenue")
     )
     above = named.join(means, on("p_type", "category")).filter(
         F.col("revenue").cast("double") > F.col("mean_revenue")
@@ -526,10 +531,10 @@ def customer_sales_cte(t):
     per_order = t.lineitem.groupBy("l_orderkey").agg(
         F.sum(discounted()).alias("sales"),
         F.sum(money("l_extendedprice")).alias("listed"),
-        F.count("*").alias("lines"),
+        F.count("l_extendedprice").alias("lines"),
     )
     joined = per_order.join(t.orders, on("l_orderkey", "o_orderkey"))
-    mean = F.sum("listed").cast("double") / F.sum("lines")
+    mean = F.try_divide(F.sum("listed").cast("double"), F.sum("lines"))
     sales = joined.groupBy("o_custkey").agg(
         F.count("*").alias("num_orders"),
         F.sum("sales").alias("total"),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tillwork.functions.dates import day, month_label, month_of, months_between, preceding, period, within
 from tillwork.functions.money import amount, discounted, percent, percent_change, ratio
-from tillwork.operators.joins import lacking_match
+from tillwork.operators.joins import having_match, lacking_match
 from tillwork.plans import sql
 from tillwork.plans.aggregating import ORDER_TOTALS, customer_sales, sales_per_part, total
 from tillwork.plans.catalog import (
@@ -120,14 +120,14 @@ def single_order_customers(t):
 
 
 @query(f"""
-WITH s AS ({ORDER_TOTALS}), a AS (SELECT CAST(SUM(total_sales) AS DOUBLE) / COUNT(*) AS mean FROM s)
+WITH s AS ({ORDER_TOTALS}), a AS (SELECT CAST(SUM(total_sales) AS DOUBLE) / COUNT(total_sales) AS mean FROM s)
 SELECT c_custkey, c_name, c_mktsegment, {sql.amount('total_sales')} AS total_sales,
        {sql.amount('CAST(total_sales - CAST(mean AS DECIMAL(18,6)) AS DECIMAL(18,6))')} AS diff_from_avg
 FROM s JOIN customer ON o_custkey = c_custkey, a WHERE total_sales > mean
 """)
 def above_avg_diff(t):
     sales = customer_sales(t)
-    mean = sales.agg(F.sum("total_sales").cast("double") / F.count("*")).scalar()
+    mean = sales.agg(F.sum("total_sales").cast("double") / F.count("total_sales")).scalar()
     above = sales.filter(F.col("total_sales").cast("double") > mean)
     difference = (F.col("total_sales") - mean.cast("decimal(18,6)")).cast("decimal(18,6)")
     named = above.withColumn("diff_from_avg", amount(difference)).join(
@@ -140,7 +140,7 @@ def above_avg_diff(t):
 
 @query("""
 SELECT DISTINCT o_custkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey
-WHERE o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')
+WHERE o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_custkey IS NOT NULL)
 """)
 def never_delivered_customers(t):
     """One look at each customer's orders decides, instead of a join of orders with orders."""
@@ -158,7 +158,8 @@ FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN customer ON o_custkey
 GROUP BY o_custkey, c_name ORDER BY SUM({sql.REV}) DESC, o_custkey LIMIT 10
 """)
 def top10_customers_value(t):
-    top = value_per_customer(t).orderBy(F.desc("value"), "o_custkey").limit(10)
+    known = having_match(value_per_customer(t), t.customer, "o_custkey", "c_custkey")
+    top = known.orderBy(F.desc("value"), "o_custkey").limit(10)
     named = top.join(t.customer, on("o_custkey", "c_custkey"))
     return named.select("o_custkey", "c_name", amount(F.col("value")).alias("total_order_value"))
 
@@ -202,8 +203,8 @@ def monthly_tier_counts(t):
 
 @query(f"""
 WITH b AS (SELECT o_custkey, p_type, (o_orderdate, o_orderkey, l_linenumber, l_partkey) AS place FROM orders
-    JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey),
-c AS (SELECT o_custkey, arg_min(p_type, place) AS first_category, arg_max(p_type, place) AS last_category
+    JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey WHERE o_custkey IS NOT NULL),
+c AS (SELECT o_custkey, arg_min_null(p_type, place) AS first_category, arg_max_null(p_type, place) AS last_category
       FROM b GROUP BY o_custkey)
 SELECT *, CASE WHEN first_category <> last_category THEN 'Yes' ELSE 'No' END AS category_shift FROM c
 """)
@@ -218,7 +219,8 @@ def category_shift(t):
     per_order = lines.groupBy("l_orderkey").agg(
         F.min_by("p_type", place).alias("first"), F.max_by("p_type", place).alias("last")
     )
-    dated = per_order.join(t.orders, on("l_orderkey", "o_orderkey"))
+    buyers = t.orders.filter(F.col("o_custkey").isNotNull())
+    dated = per_order.join(buyers, on("l_orderkey", "o_orderkey"))
     when = F.struct("o_orderdate", "o_orderkey")
     ends = dated.groupBy("o_custkey").agg(
         F.min_by("first", when).alias("first_category"),
@@ -238,7 +240,8 @@ def _offset_columns():
 
 
 @query(f"""
-WITH f AS (SELECT o_custkey, date_trunc('month', MIN(o_orderdate)) AS cohort FROM orders GROUP BY 1),
+WITH f AS (SELECT o_custkey, date_trunc('month', MIN(o_orderdate)) AS cohort FROM orders
+    WHERE o_custkey IS NOT NULL GROUP BY 1),
 s AS (SELECT cohort, COUNT(*) AS cohort_size FROM f GROUP BY 1),
 m AS (SELECT DISTINCT o_custkey, date_trunc('month', o_orderdate) AS active_month FROM orders),
 a AS (SELECT cohort, (year(active_month) - year(cohort)) * 12 + month(active_month) - month(cohort)
@@ -349,7 +352,8 @@ def bought_together(t):
     meet n_a * n_b times, and a name meets itself (n * n - same) / 2 times. An entry list is
     never longer than the list of names, and its counts add up before they are shuffled.
     """
-    parts = t.lineitem.groupBy("l_orderkey", "l_partkey").agg(F.count("*").alias("n"))
+    lines = t.lineitem.filter(F.col("l_orderkey").isNotNull())
+    parts = lines.groupBy("l_orderkey", "l_partkey").agg(F.count("*").alias("n"))
     named = parts.join(t.part, on("l_partkey", "p_partkey")).groupBy("l_orderkey", "p_name").agg(
         F.sum(F.col("n") * F.col("n")).alias("same"), F.sum("n").alias("n")
     )

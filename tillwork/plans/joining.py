@@ -164,7 +164,7 @@ GROUP BY p_partkey, p_name
 def join_left_agg(t):
     """Sums per part first, so the join is one to one whatever the popularity of a part."""
     sold = t.lineitem.filter("l_returnflag = 'R'").groupBy("l_partkey").agg(
-        F.count("*").alias("n"), F.sum("l_quantity").cast("bigint").alias("total_quantity")
+        F.count("l_orderkey").alias("n"), F.sum("l_quantity").cast("bigint").alias("total_quantity")
     )
     joined = t.part.join(sold, on("p_partkey", "l_partkey"), "left")
     return joined.select(
@@ -176,7 +176,7 @@ def join_left_agg(t):
 
 @query("""
 SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN
-    (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')
+    (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_custkey IS NOT NULL)
 """)
 def customers_without_orders(t):
     lacking = joins.lacking_match(t.customer, finished(t), "c_custkey", "o_custkey")
@@ -215,7 +215,8 @@ def join_self_theta(t):
     The pairs themselves grow with the square of the city, so they are counted, not built:
     a city of n customers has n * (n - 1) / 2.
     """
-    sizes = t.customer.groupBy(F.col("c_nationkey").alias("city")).agg(
+    placed = t.customer.filter(F.col("c_nationkey").isNotNull())
+    sizes = placed.groupBy(F.col("c_nationkey").alias("city")).agg(
         F.countDistinct("c_custkey").alias("n")
     )
     n = F.col("n").cast("decimal(20,0)")

@@ -171,7 +171,7 @@ def insert_rows(t):
     return scd2.insert_rows(t.orders, reorders)
 
 
-@query("SELECT * FROM orders WHERE NOT (o_orderstatus = 'O' AND o_totalprice < 50000)")
+@query("SELECT * FROM orders WHERE (o_orderstatus = 'O' AND o_totalprice < 50000) IS NOT TRUE")
 def delete_rows(t):
     small_open = (F.col("o_orderstatus") == "O") & (F.col("o_totalprice") < 50000)
     return scd2.delete_rows(t.orders, small_open)
@@ -198,9 +198,9 @@ def update_stock(t):
 
 @query(f"""
 WITH s AS ({STOCK}), d AS (SELECT l_orderkey, l_partkey, SUM(l_quantity) AS quantity FROM lineitem GROUP BY 1, 2),
-r AS (SELECT *, SUM(quantity) OVER (PARTITION BY l_partkey ORDER BY l_orderkey ROWS UNBOUNDED PRECEDING) AS asked FROM d)
+r AS (SELECT *, SUM(quantity) OVER (PARTITION BY l_partkey ORDER BY l_orderkey NULLS FIRST ROWS UNBOUNDED PRECEDING) AS asked FROM d)
 SELECT l_orderkey, {sql.count()} AS items, CAST(COUNT(*) FILTER (WHERE asked <= stock) AS BIGINT) AS items_in_stock,
-       BOOL_AND(asked <= stock) AS accepted FROM r JOIN s ON l_partkey = p_partkey GROUP BY l_orderkey
+       BOOL_AND(COALESCE(asked <= stock, FALSE)) AS accepted FROM r LEFT JOIN s ON l_partkey = p_partkey GROUP BY l_orderkey
 """)
 def stock_guarded_orders(t):
     demand = t.lineitem.groupBy("l_orderkey", F.col("l_partkey").alias("p_partkey")).agg(
@@ -227,7 +227,7 @@ CITY = """array_to_string(list_transform(string_split(lower(n_name), ' '), lambd
 
 @query(f"""
 SELECT c_custkey AS customer_id, c_name AS customer_name, lower(c_name) || '@example.com' AS email,
-       {CITY} AS city FROM customer JOIN nation ON c_nationkey = n_nationkey
+       {CITY} AS city FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
 """)
 def silver_customers(t):
     return medallion.silver_customers(raw.city_customers(t))
@@ -256,7 +256,7 @@ def silver_orders(t):
 
 @query(f"""
 SELECT * FROM ({raw.PAYMENTS}) QUALIFY ROW_NUMBER() OVER (PARTITION BY payment_id
-       ORDER BY order_id, payment_method, amount, payment_status) = 1
+       ORDER BY order_id, payment_method, amount NULLS FIRST, payment_status) = 1
 """)
 def silver_payments(t):
     return medallion.silver_payments(raw.payments(t))
@@ -273,7 +273,8 @@ SPENT = "SUM(CAST(line_revenue AS DECIMAL(18,2)))"
 
 @query(f"""
 WITH s AS ({SALES}), c AS (SELECT customer_id, {sql.count('order_id')} AS total_orders,
-    {sql.amount(SPENT)} AS lifetime_spend, MAX(order_date) AS last_order_date FROM s GROUP BY 1),
+    {sql.amount(SPENT)} AS lifetime_spend, MAX(order_date) AS last_order_date FROM s
+    WHERE customer_id IN (SELECT c_custkey FROM customer) GROUP BY 1),
 g AS (SELECT 'customer_360' AS gold_table, CAST(customer_id AS VARCHAR) AS row_key, total_orders AS n,
     lifetime_spend AS value, {sql.tier('lifetime_spend', SEGMENT_CUTS, 'Low Value')} AS label FROM c
   UNION ALL SELECT 'monthly_revenue', strftime(order_date, '%Y-%m'), {sql.count()}, {sql.amount(SPENT)},
@@ -339,7 +340,7 @@ def cleaning_summary(t):
 
 LIMIT_DAY = f"TIMESTAMP '{CHECKED_ON}'"
 FLAGS = f"""
-SELECT *, trim(customer_id) = '' AS no_customer, NOT {raw.WELL_FORMED} AS reformatted,
+SELECT *, COALESCE(trim(customer_id) = '', TRUE) AS no_customer, NOT {raw.WELL_FORMED} AS reformatted,
        {raw.PARSED_DATE} IS NULL AS lost, COALESCE({raw.PARSED_DATE} > {LIMIT_DAY}, FALSE) AS later
 FROM ({raw.ORDERS})
 """
@@ -393,7 +394,7 @@ TITLE = raw.title_sql("product_name")
             _metric("order_items", "zero_quantity", "quantity = 0", "i"),
             _metric("order_items", "discount_out_of_range",
                     "discount_percent < 0 OR discount_percent > 100", "i"),
-            _metric("order_items", "orphaned_items", "order_id NOT IN (SELECT o_orderkey FROM o)", "i"),
+            _metric("order_items", "orphaned_items", "order_id IS NULL OR order_id NOT IN (SELECT o_orderkey FROM o)", "i"),
         ]
     )
 )
@@ -410,10 +411,13 @@ def dq_report(t):
     )
 
 
+KEPT = "quantity IS NOT NULL AND total_amount IS NOT NULL AND unit_price IS NOT NULL"
+
+
 @query(f"""
 WITH t AS (SELECT DISTINCT * FROM ({raw.TRANSACTIONS})),
-k AS (SELECT *, COALESCE(age, (SELECT QUANTILE_DISC(age, 0.5) FROM t WHERE quantity IS NOT NULL)) AS years
-      FROM t WHERE quantity IS NOT NULL)
+k AS (SELECT *, COALESCE(age, (SELECT QUANTILE_DISC(age, 0.5) FROM t WHERE {KEPT})) AS years
+      FROM t WHERE {KEPT})
 SELECT region, {raw.CATEGORY_SQL.replace('category', 'product_category')} AS category, {sql.count()} AS order_count,
        {sql.amount('SUM(CAST(total_amount AS DECIMAL(18,2)))')} AS total_revenue,
        {sql.mean('CAST(total_amount AS DECIMAL(18,2))')} AS avg_order_value
@@ -428,13 +432,13 @@ WITH j AS (SELECT * FROM orders JOIN customer ON o_custkey = c_custkey JOIN nati
 SELECT o_orderkey AS transaction_id, o_custkey AS customer_id, c_nationkey AS age, c_nationkey AS total_purchases,
        CASE WHEN o_orderpriority = '1-URGENT' THEN 0 ELSE 4 END AS ratings, trim(n_name) AS country,
        trim(n_name) AS state, c_mktsegment AS gender, c_mktsegment AS customer_segment,
-       CASE WHEN o_orderstatus = 'O' THEN 'Unknown' ELSE o_orderstatus END AS product_brand,
+       COALESCE(NULLIF(o_orderstatus, 'O'), 'Unknown') AS product_brand,
        o_orderpriority AS payment_method,
-       CASE WHEN o_orderstatus = 'P' THEN 'Unknown' ELSE o_orderstatus END AS order_status,
+       COALESCE(NULLIF(o_orderstatus, 'P'), 'Unknown') AS order_status,
        c_acctbal AS unit_amount, o_totalprice AS total_amount, upper(c_mktsegment) AS product_category,
        CAST(o_orderdate AS DATE) AS txn_date, {sql.tier('o_totalprice', ORDER_CUTS, 'Low')} AS order_value_tier,
        CAST(year(o_orderdate) AS INTEGER) AS txn_year, CAST(month(o_orderdate) AS INTEGER) AS txn_month
-FROM j WHERE o_orderpriority <> '5-LOW'
+FROM j WHERE o_orderpriority <> '5-LOW' AND o_orderkey IS NOT NULL AND o_custkey IS NOT NULL AND o_totalprice IS NOT NULL
 """)
 def retail_txn_clean(t):
     return flows.clean_transactions(raw.wide_orders(t), tiers=ORDER_CUTS)

@@ -363,8 +363,8 @@ def case_delivery_speed(t):
 # --- constraints -------------------------------------------------------------------------
 
 @query("""
-SELECT * FROM lineitem WHERE l_orderkey NOT IN
-    (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')
+SELECT * FROM lineitem WHERE NOT EXISTS
+    (SELECT 1 FROM orders WHERE o_orderstatus = 'F' AND o_orderkey = l_orderkey)
 """)
 def orphan_rows(t):
     """Lines without a parent in the book of finished orders."""
@@ -412,10 +412,10 @@ JOIN customer ON o_custkey = c_custkey JOIN part ON l_partkey = p_partkey
 @query(f"""
 WITH s AS ({STAGING})
 SELECT DISTINCT 'customers' AS table_name, CAST(c_custkey AS VARCHAR) AS row_key,
-       c_name || '|' || c_mktsegment AS label FROM s
-UNION ALL SELECT 'products', CAST(l_partkey AS VARCHAR), MIN(p_name) FROM s GROUP BY l_partkey
+       concat_ws('|', c_name, c_mktsegment) AS label FROM s
+UNION ALL SELECT 'products', CAST(l_partkey AS VARCHAR), MIN(p_name) FROM s GROUP BY l_partkey, p_type
 UNION ALL (SELECT DISTINCT 'orders', CAST(l_orderkey AS VARCHAR),
-       o_orderstatus || '|' || strftime(o_orderdate, '%Y-%m-%d') FROM s)
+       concat_ws('|', o_orderstatus, strftime(o_orderdate, '%Y-%m-%d')) FROM s)
 """)
 def normalize_staging(t):
     flat = (

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tillwork.functions.dates import day, month_label, month_of
 from tillwork.functions.money import amount, percent, percent_change, ratio
+from tillwork.operators.joins import having_match
 from tillwork.operators.ordered import over_ordered
 from tillwork.plans import sql
 from tillwork.plans.aggregating import (
@@ -158,7 +159,7 @@ def top3_per_category(t):
     )
     whole = sales.groupBy(F.col("category").alias("of")).agg(F.sum("total_sales").alias("whole"))
     share = percent(F.col("total_sales"), F.col("whole"), 1).alias("pct_of_category_revenue")
-    joined = top.join(whole, on("category", "of"))
+    joined = top.join(whole, F.col("category").eqNullSafe(F.col("of")))
     return published(joined.select(*top.columns, share), "total_sales")
 
 
@@ -181,8 +182,12 @@ def bottom10_customers(t):
 
 
 def _ends(t, order, rank_name):
-    """Ten customers from one end. Ranks depend only on better rows, so ten rows suffice."""
-    ten = customer_sales(t).orderBy(order, "o_custkey").limit(10)
+    """Ten known customers from one end.
+
+    Ranks depend only on better rows, so ten rows suffice to rank and to look names up.
+    """
+    known = having_match(customer_sales(t), t.customer, "o_custkey", "c_custkey")
+    ten = known.orderBy(order, "o_custkey").limit(10)
     ranked = ten.withColumn(rank_name, F.rank().over(Window.orderBy(order)).cast("bigint"))
     named = ranked.join(t.customer, on("o_custkey", "c_custkey"))
     return published(named.select("o_custkey", "c_name", "c_mktsegment", "total_sales", rank_name), "total_sales")

@@ -186,7 +186,7 @@ FIRST_COPY = ["product_id", "unit_price", "quantity", "order_date", "delivery_da
 
 def city_customers(t):
     """Customers with their city; those in debt come twice, spelled differently."""
-    named = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    named = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     rows = named.select(
         F.col("c_custkey").alias("customer_id"),
         F.col("c_name").alias("customer_name"),
