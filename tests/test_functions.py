@@ -1,4 +1,5 @@
 from datetime import date
+from decimal import Decimal
 
 import pytest
 from hypothesis import given, settings
@@ -51,9 +52,18 @@ def test_missing_tokens_and_names(spark):
 
 
 def test_money_is_exact(spark):
-    rows = spark.createDataFrame([(0.1, 0.5)] * 10 + [(1.005, 0.0)], "p double, d double")
-    total = rows.select(money.amount(F.sum(money.discounted("p", "d")), 3)).first()[0]
-    assert total == 1.51  # 1.005 is stored as 1.01 by the two-digit money type
+    rows = spark.createDataFrame(
+        [(0.1, 0.5)] * 10 + [(-2.25, 0.1), (None, 0.1), (1e12, 0.0), (float("nan"), 0.0)], "p double, d double"
+    )
+    found = rows.select(
+        money.amount(money.revenue_sum("p", "d"), 4), money.amount(money.money_sum("p")), money.money_mean("p")
+    ).first()
+    assert found[0] == 999999999998.475 and found[1] == 999999999998.75
+    assert found[2] == Decimal("83333333333.229167")
+    assert [r[0] for r in rows.select(money.revenue("p", "d")).collect()][9:12] == [0.05, -2.03, None]
+    assert rows.filter("p is null").select(money.money_sum("p")).first()[0] is None
+    huge = spark.createDataFrame([(9e15,)] * 500, "p double").select(money.money_sum("p")).first()[0]
+    assert huge == Decimal("4500000000000000000.00")
     assert one(spark, money.percent_change(F.lit(0), F.lit(5))) is None
     assert one(spark, money.percent(F.lit(1), F.lit(3))) == 33.33
 

@@ -1,14 +1,18 @@
 """Exact money arithmetic.
 
-Amounts arrive as doubles. They are summed as decimals, so a total does not depend on the
-order in which tasks finish, and are rounded once, at the end, before going out as doubles.
+Amounts arrive as doubles. They are summed as whole numbers of their smallest unit, so a
+total does not depend on the order in which tasks finish, and are rounded once, at the end,
+before going out as doubles. Sums keep whole and fractional parts apart: both stay plain
+longs on the way, which is several times faster than decimals, and neither can overflow
+before a total of 9e18.
 """
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
-RATE = "decimal(5,4)"
 RATIO = "decimal(18,6)"
 
 
@@ -16,9 +20,44 @@ def money(amount: str) -> Column:
     return F.col(amount).cast(MONEY)
 
 
-def discounted(amount: str = "l_extendedprice", discount: str = "l_discount") -> Column:
-    """Line revenue after a discount given as a fraction."""
-    return money(amount) * (F.lit(1) - F.col(discount).cast(RATE))
+def _units(value: str, places: int) -> Column:
+    number = F.col(value)
+    return F.when(~F.isnan(number), F.floor(number * F.lit(10.0**places) + F.lit(0.5)))
+
+
+def _revenue_units(amount: str, discount: str) -> Column:
+    """Amount less its discount, a fraction of four digits, in millionths."""
+    return _units(amount, 2) * (F.lit(10_000) - _units(discount, 4))
+
+
+def _total(units: Column, places: int) -> Column:
+    step = F.lit(10**places)
+    whole = F.sum(F.call_function("div", units, step))
+    rest = F.sum(units % step)
+    return whole.cast("decimal(20,0)") + rest.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-places))
+
+
+def money_sum(amount: str) -> Column:
+    """Exact sum of an amount in cents."""
+    return _total(_units(amount, 2), 2)
+
+
+def money_mean(amount: str) -> Column:
+    """Mean of the amounts that are there."""
+    known = F.count(_units(amount, 2))
+    return (money_sum(amount) / F.nullif(known, F.lit(0))).cast(RATIO)
+
+
+def revenue_sum(amount: str = "l_extendedprice", discount: str = "l_discount") -> Column:
+    """Exact sum of line revenue after a discount given as a fraction."""
+    return _total(_revenue_units(amount, discount), 6)
+
+
+def revenue(amount: str = "l_extendedprice", discount: str = "l_discount") -> Column:
+    """Revenue of one line, rounded half up to cents, as a double."""
+    units = _revenue_units(amount, discount)
+    cents = F.call_function("div", F.abs(units) + 5_000, F.lit(10_000))
+    return F.when(units < 0, -cents).otherwise(cents).cast("double") / 100
 
 
 def amount(value: Column, places: int = 2) -> Column:

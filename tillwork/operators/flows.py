@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tillwork.functions import text
 from tillwork.functions.dates import elapsed_days, parse_timestamp
-from tillwork.functions.money import MONEY, amount
+from tillwork.functions.money import MONEY, amount, money_mean, money_sum
 from tillwork.operators.clean import fill_approx_median, fill_median, fill_mode, first_by
 from tillwork.operators.profile import count_rules
 from tillwork.sources.shared import pin
@@ -173,11 +173,10 @@ def retail_summary(df: DataFrame) -> DataFrame:
     sales = aged.withColumn("category", category).filter(
         (F.col("order_status") == "Completed") & (F.col("age") >= 18)
     )
-    total = F.col("total_amount").cast(MONEY)
     return sales.groupBy("region", "category").agg(
         F.count("*").alias("order_count"),
-        amount(F.sum(total)).alias("total_revenue"),
-        amount(F.avg(total)).alias("avg_order_value"),
+        amount(money_sum("total_amount")).alias("total_revenue"),
+        amount(money_mean("total_amount")).alias("avg_order_value"),
     )
 
 

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwork.functions.money import MONEY, amount
+from tillwork.functions.money import amount, money_sum
 from tillwork.operators import scd2
 from tillwork.operators.clean import first_by
 from tillwork.operators.flows import clean_orders
@@ -42,7 +42,7 @@ def silver_payments(bronze: DataFrame) -> DataFrame:
 def gold_monthly_revenue(fulfilled: DataFrame) -> DataFrame:
     months = fulfilled.groupBy(F.trunc("order_date", "MM").alias("m")).agg(
         F.count("*").alias("num_orders"),
-        amount(F.sum(F.col("line_revenue").cast(MONEY))).alias("total_revenue"),
+        amount(money_sum("line_revenue")).alias("total_revenue"),
     )
     return months.select(
         F.date_format("m", "yyyy-MM").alias("month"), "num_orders", "total_revenue"
@@ -53,7 +53,7 @@ def gold_customer_360(fulfilled: DataFrame, customers: DataFrame, segment) -> Da
     """``segment`` turns the spend column into a label."""
     spend = fulfilled.groupBy("customer_id").agg(
         F.count("order_id").alias("total_orders"),
-        amount(F.sum(F.col("line_revenue").cast(MONEY))).alias("lifetime_spend"),
+        amount(money_sum("line_revenue")).alias("lifetime_spend"),
         F.max("order_date").alias("last_order_date"),
     )
     named = spend.join(customers, "customer_id").select(
@@ -65,7 +65,7 @@ def gold_customer_360(fulfilled: DataFrame, customers: DataFrame, segment) -> Da
 def gold_product_performance(fulfilled: DataFrame, products: DataFrame) -> DataFrame:
     sold = fulfilled.groupBy("product_id").agg(
         F.sum("quantity").alias("units_sold"),
-        amount(F.sum(F.col("line_revenue").cast(MONEY))).alias("total_revenue"),
+        amount(money_sum("line_revenue")).alias("total_revenue"),
     )
     named = sold.join(scd2.current(products), "product_id")
     return named.select("product_id", "product_name", "category", "units_sold", "total_revenue")

@@ -5,7 +5,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from tillwork.functions.dates import day
-from tillwork.functions.money import amount, discounted, money
+from tillwork.functions.money import amount, money, money_sum, revenue
 from tillwork.plans import sql
 from tillwork.plans.catalog import ORDER_CUTS, query, tier
 from tillwork.sources import files
@@ -60,7 +60,7 @@ def sink_partitioned_parquet(t):
     files.write_partitioned(t.orders.withColumn("order_year", F.year("o_orderdate")), path, "order_year")
     orders = t.spark.read.parquet(path)
     return orders.groupBy("order_year").agg(
-        F.count("*").alias("orders"), amount(F.sum(money("o_totalprice"))).alias("revenue")
+        F.count("*").alias("orders"), amount(money_sum("o_totalprice")).alias("revenue")
     )
 
 
@@ -203,7 +203,7 @@ def line_totals(t):
     return t.lineitem.select(
         "l_orderkey", "l_linenumber", "l_partkey",
         F.col("l_extendedprice").alias("before_discount"),
-        amount(discounted()).alias("line_total"),
+        revenue().alias("line_total"),
     )
 
 

@@ -5,7 +5,16 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from tillwork.functions.dates import month_label, month_of
-from tillwork.functions.money import RATIO, amount, discounted, money, percent
+from tillwork.functions.money import (
+    RATIO,
+    amount,
+    money,
+    money_mean,
+    money_sum,
+    percent,
+    revenue,
+    revenue_sum,
+)
 from tillwork.operators.joins import best_with_ties, having_match
 from tillwork.plans import sql
 from tillwork.plans.catalog import fulfilled, query
@@ -14,12 +23,8 @@ from tillwork.plans.joining import on
 ORDER_TOTALS = f"SELECT o_custkey, SUM({sql.TOTAL}) AS total_sales FROM orders GROUP BY o_custkey"
 
 
-def total():
-    return money("o_totalprice")
-
-
 def customer_sales(t):
-    return t.orders.groupBy("o_custkey").agg(F.sum(total()).alias("total_sales"))
+    return t.orders.groupBy("o_custkey").agg(money_sum("o_totalprice").alias("total_sales"))
 
 
 # --- plain aggregates --------------------------------------------------------------------
@@ -34,7 +39,7 @@ def agg_count(t):
 @query(f"SELECT {sql.amount(f'SUM({sql.TOTAL})')} AS delivered_revenue FROM orders WHERE o_orderstatus = 'F'")
 def agg_sum_filtered(t):
     finished = t.orders.filter("o_orderstatus = 'F'")
-    return finished.agg(amount(F.sum(total())).alias("delivered_revenue"))
+    return finished.agg(amount(money_sum("o_totalprice")).alias("delivered_revenue"))
 
 
 @query(f"""
@@ -44,8 +49,8 @@ SELECT o_orderstatus, {sql.count()} AS order_count, {sql.amount(f'SUM({sql.TOTAL
 def agg_by_status(t):
     return t.orders.groupBy("o_orderstatus").agg(
         F.count("*").alias("order_count"),
-        amount(F.sum(total())).alias("total_revenue"),
-        amount(F.avg(total())).alias("avg_revenue"),
+        amount(money_sum("o_totalprice")).alias("total_revenue"),
+        amount(money_mean("o_totalprice")).alias("avg_revenue"),
     )
 
 
@@ -54,11 +59,10 @@ SELECT p_type, {sql.count()} AS product_count, {sql.mean(sql.PRICE, 4)} AS avg_p
        {sql.mean(sql.PRICE)} AS avg_price_rounded FROM part GROUP BY p_type
 """)
 def agg_avg_price(t):
-    price = money("p_retailprice")
     return t.part.groupBy("p_type").agg(
         F.count("*").alias("product_count"),
-        amount(F.avg(price), 4).alias("avg_price"),
-        amount(F.avg(price)).alias("avg_price_rounded"),
+        amount(money_mean("p_retailprice"), 4).alias("avg_price"),
+        amount(money_mean("p_retailprice")).alias("avg_price_rounded"),
     )
 
 
@@ -80,9 +84,8 @@ SELECT p_brand, {sql.count()} AS product_count, {sql.mean(sql.PRICE)} AS avg_pri
 GROUP BY p_brand HAVING AVG({sql.PRICE}) > 950
 """)
 def agg_having(t):
-    price = money("p_retailprice")
     grouped = t.part.groupBy("p_brand").agg(
-        F.count("*").alias("product_count"), F.avg(price).alias("avg_price")
+        F.count("*").alias("product_count"), money_mean("p_retailprice").alias("avg_price")
     )
     return grouped.filter("avg_price > 950").withColumn("avg_price", amount(F.col("avg_price")))
 
@@ -93,7 +96,7 @@ WHERE p_size > 15 GROUP BY p_brand HAVING COUNT(*) > 2
 """)
 def agg_where_having(t):
     grouped = t.part.filter("p_size > 15").groupBy("p_brand").agg(
-        F.count("*").alias("product_count"), amount(F.avg(money("p_retailprice"))).alias("avg_price")
+        F.count("*").alias("product_count"), amount(money_mean("p_retailprice")).alias("avg_price")
     )
     return grouped.filter("product_count > 2")
 
@@ -161,8 +164,8 @@ SELECT {sql.count()} AS total_rows, {sql.mean(sql.TOTAL)} AS avg_order_value,
 def agg_global_summary(t):
     return t.orders.agg(
         F.count("*").alias("total_rows"),
-        amount(F.avg(total())).alias("avg_order_value"),
-        amount(F.sum(total())).alias("total_revenue"),
+        amount(money_mean("o_totalprice")).alias("avg_order_value"),
+        amount(money_sum("o_totalprice")).alias("total_revenue"),
         F.min("o_totalprice").alias("min_order_value"),
         F.max("o_totalprice").alias("max_order_value"),
     )
@@ -198,8 +201,8 @@ FROM orders WHERE {sql.FULFILLED} GROUP BY 1
 def monthly_revenue(t):
     grouped = fulfilled(t.orders).groupBy(month_of("o_orderdate").alias("m")).agg(
         F.count("*").alias("num_orders"),
-        amount(F.sum(total())).alias("total_revenue"),
-        amount(F.avg(total())).alias("avg_order_value"),
+        amount(money_sum("o_totalprice")).alias("total_revenue"),
+        amount(money_mean("o_totalprice")).alias("avg_order_value"),
     )
     return grouped.select(
         month_label(F.col("m")).alias("month"), "num_orders", "total_revenue", "avg_order_value"
@@ -215,8 +218,8 @@ FROM orders GROUP BY 1
 def monthly_order_stats(t):
     grouped = t.orders.groupBy(month_of("o_orderdate").alias("m")).agg(
         F.count("*").alias("orders"),
-        amount(F.sum(total())).alias("revenue"),
-        amount(F.avg(total())).alias("avg_order_value"),
+        amount(money_sum("o_totalprice")).alias("revenue"),
+        amount(money_mean("o_totalprice")).alias("avg_order_value"),
         F.max("o_totalprice").alias("largest_order"),
         F.min("o_totalprice").alias("smallest_order"),
     )
@@ -243,7 +246,7 @@ def by_region(t, sales):
 
 def spend_per_customer(t):
     return t.orders.groupBy("o_custkey").agg(
-        F.count("*").alias("n"), F.count("o_totalprice").alias("priced"), F.sum(total()).alias("spend")
+        F.count("*").alias("n"), F.count("o_totalprice").alias("priced"), money_sum("o_totalprice").alias("spend")
     )
 
 
@@ -265,7 +268,7 @@ HAVING AVG(o_totalprice) > (SELECT AVG(o_totalprice) FROM orders)
 """)
 def regions_above_avg(t):
     """The overall mean is a scalar subquery inside the plan; nothing is collected."""
-    overall = t.orders.agg(F.avg(total()).cast("double")).scalar()
+    overall = t.orders.agg(money_mean("o_totalprice").cast("double")).scalar()
     placed = by_region(t, spend_per_customer(t)).groupBy(F.col("r_name").alias("region"))
     grouped = placed.agg(
         F.sum("n").alias("order_count"), F.sum("priced").alias("priced"), F.sum("spend").alias("spend")
@@ -303,7 +306,7 @@ def sales_per_part(lines):
     return lines.groupBy("l_partkey").agg(
         F.count("*").alias("lines"),
         F.sum("l_quantity").cast("bigint").alias("units"),
-        F.sum(discounted()).alias("revenue"),
+        revenue_sum().alias("revenue"),
     )
 
 
@@ -329,7 +332,7 @@ def category_revenue_discounted(t):
     per_order = joined.groupBy(F.col("p_type").alias("category"), "l_orderkey").agg(
         F.count("*").alias("lines"),
         F.sum("l_quantity").cast("bigint").alias("units"),
-        F.sum(discounted()).alias("revenue"),
+        revenue_sum().alias("revenue"),
     )
     return per_order.groupBy("category").agg(
         F.count("l_orderkey").alias("num_orders"),
@@ -348,8 +351,8 @@ GROUP BY c_custkey, c_name HAVING COUNT(o_orderkey) > 1
 def repeat_customers(t):
     spend = t.orders.groupBy("o_custkey").agg(
         F.count("*").alias("order_count"),
-        amount(F.sum(total())).alias("total_spent"),
-        amount(F.avg(total())).alias("avg_order_value"),
+        amount(money_sum("o_totalprice")).alias("total_spent"),
+        amount(money_mean("o_totalprice")).alias("avg_order_value"),
     )
     again = spend.filter("order_count > 1").join(t.customer, on("o_custkey", "c_custkey"))
     return again.select("c_custkey", "c_name", "order_count", "total_spent", "avg_order_value")
@@ -376,7 +379,7 @@ def top_products_qty(t):
     sold = t.lineitem.groupBy("l_partkey").agg(
         F.sum("l_quantity").cast("bigint").alias("total_quantity"),
         F.countDistinct("l_orderkey").alias("num_orders"),
-        amount(F.sum(discounted())).alias("total_revenue"),
+        amount(revenue_sum()).alias("total_revenue"),
     )
     known = having_match(sold, t.part, "l_partkey", "p_partkey")
     top = known.orderBy(F.desc("total_quantity"), "l_partkey").limit(3)
@@ -426,7 +429,7 @@ WHERE CAST(l_extendedprice AS DECIMAL(18,2)) >
       (SELECT CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(l_extendedprice) FROM lineitem)
 """)
 def lines_above_avg(t):
-    mean = t.lineitem.agg(F.avg(money("l_extendedprice")).cast("double")).scalar()
+    mean = t.lineitem.agg(money_mean("l_extendedprice").cast("double")).scalar()
     above = t.lineitem.filter(F.col("l_extendedprice") > mean)
     return above.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
 
@@ -476,7 +479,7 @@ GROUP BY c_custkey, c_name HAVING SUM({sql.TOTAL}) > (SELECT CAST(SUM(s) AS DOUB
 ORDER BY SUM({sql.TOTAL}) DESC, c_custkey LIMIT 15
 """)
 def having_above_avg(t):
-    spend = fulfilled(t.orders).groupBy("o_custkey").agg(F.sum(total()).alias("spend"))
+    spend = fulfilled(t.orders).groupBy("o_custkey").agg(money_sum("o_totalprice").alias("spend"))
     mean = spend.agg(F.sum("spend").cast("double") / F.count("spend")).scalar()
     above = spend.filter(F.col("spend").cast("double") > mean)
     known = having_match(above, t.customer, "o_custkey", "c_custkey")
@@ -496,7 +499,7 @@ FROM part
 def product_revenue(t):
     """A correlated total per product; a product that never sold has none."""
     chosen = t.lineitem.filter("l_returnflag = 'R' and l_tax > 0.07")
-    totals = chosen.groupBy("l_partkey").agg(amount(F.sum(discounted())).alias("product_revenue"))
+    totals = chosen.groupBy("l_partkey").agg(amount(revenue_sum()).alias("product_revenue"))
     joined = t.part.join(totals, on("p_partkey", "l_partkey"), "left")
     return joined.select("p_partkey", "p_name", "p_type", "product_revenue")
 
@@ -529,8 +532,8 @@ ORDER BY SUM({sql.REV}) DESC, o_custkey LIMIT 20
 def customer_sales_cte(t):
     """Lines are summed per order, so the join with orders moves one row per order."""
     per_order = t.lineitem.groupBy("l_orderkey").agg(
-        F.sum(discounted()).alias("sales"),
-        F.sum(money("l_extendedprice")).alias("listed"),
+        revenue_sum().alias("sales"),
+        money_sum("l_extendedprice").alias("listed"),
         F.count("l_extendedprice").alias("lines"),
     )
     joined = per_order.join(t.orders, on("l_orderkey", "o_orderkey"))

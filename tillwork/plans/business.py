@@ -5,10 +5,10 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from tillwork.functions.dates import day, month_label, month_of, months_between, preceding, period, within
-from tillwork.functions.money import amount, discounted, percent, percent_change, ratio
+from tillwork.functions.money import amount, money_sum, percent, percent_change, ratio, revenue_sum
 from tillwork.operators.joins import having_match, lacking_match
 from tillwork.plans import sql
-from tillwork.plans.aggregating import ORDER_TOTALS, customer_sales, sales_per_part, total
+from tillwork.plans.aggregating import ORDER_TOTALS, customer_sales, sales_per_part
 from tillwork.plans.catalog import (
     AS_OF,
     MONTHLY_CUTS,
@@ -35,7 +35,7 @@ def spend_rows(t):
     """Fulfilled orders are summed per customer before names and cities are attached."""
     spend = fulfilled(t.orders).groupBy("o_custkey").agg(
         F.count("*").alias("total_orders"),
-        F.sum(total()).alias("spend"),
+        money_sum("o_totalprice").alias("spend"),
         F.max(day("o_orderdate")).alias("last_order_date"),
     )
     named = spend.join(t.customer, on("o_custkey", "c_custkey")).join(
@@ -166,7 +166,7 @@ def top10_customers_value(t):
 
 def order_values(t):
     """Line revenue per order, with the order's customer and date."""
-    per_order = t.lineitem.groupBy("l_orderkey").agg(F.sum(discounted()).alias("value"))
+    per_order = t.lineitem.groupBy("l_orderkey").agg(revenue_sum().alias("value"))
     return per_order.join(t.orders, on("l_orderkey", "o_orderkey")).select(
         "o_orderkey", "o_custkey", day("o_orderdate").alias("order_date"), "value"
     )
@@ -193,7 +193,7 @@ SELECT strftime(month, '%Y-%m') AS year_month, {sql.tier('revenue', MONTHLY_CUTS
 def monthly_tier_counts(t):
     """One row per (customer, month) already, so a plain count is a distinct count."""
     months = t.orders.groupBy("o_custkey", month_of("o_orderdate").alias("m")).agg(
-        F.sum(total()).alias("revenue")
+        money_sum("o_totalprice").alias("revenue")
     )
     label = tier(F.col("revenue"), MONTHLY_CUTS, "Low").alias("tier")
     return months.groupBy("m", label).agg(F.count("o_custkey").alias("customer_count")).select(
@@ -501,7 +501,7 @@ def period_summary(t, kind: str, anchor: date):
     )
     values = t.lineitem.join(
         chosen.select("o_orderkey"), on("l_orderkey", "o_orderkey"), "left_semi"
-    ).groupBy("l_orderkey").agg(F.sum(discounted()).alias("value"))
+    ).groupBy("l_orderkey").agg(revenue_sum().alias("value"))
     rows = chosen.join(values, on("o_orderkey", "l_orderkey"), "left")
 
     def side(condition, tag):

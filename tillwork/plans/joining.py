@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tillwork.functions.money import amount, discounted, money
+from tillwork.functions.money import amount, money_sum, revenue, revenue_sum
 from tillwork.operators import joins
 from tillwork.plans import sql
 from tillwork.plans.catalog import fulfilled, query
@@ -43,7 +43,7 @@ def join_three_way(t):
     return joined.select(
         "l_linenumber", "o_orderkey", "o_orderdate", "p_name", "p_type", "l_quantity", "l_discount",
         F.col("l_extendedprice").alias("subtotal_before_discount"),
-        amount(discounted()).alias("subtotal_after_discount"),
+        revenue().alias("subtotal_after_discount"),
     )
 
 
@@ -61,7 +61,7 @@ def join_four_way(t):
     )
     return joined.select(
         "c_name", "o_orderkey", "o_orderdate", "p_name", "p_type", "l_quantity",
-        amount(discounted()).alias("line_total"), "o_orderstatus",
+        revenue().alias("line_total"), "o_orderstatus",
     )
 
 
@@ -76,7 +76,7 @@ LEFT JOIN paid ON o_orderkey = l_orderkey
 def customer_360_rows(t):
     """Orders with their customer, and what was paid if anything was."""
     paid = t.lineitem.groupBy("l_orderkey").agg(
-        F.count("*").alias("lines"), amount(F.sum(discounted())).alias("paid")
+        F.count("*").alias("lines"), amount(revenue_sum()).alias("paid")
     )
     joined = (
         t.orders.join(t.customer, on("o_custkey", "c_custkey"))
@@ -99,7 +99,7 @@ def join_broadcast(t):
     """Customer and nation attributes go onto spend per customer, broadcast while small."""
     spend = fulfilled(t.orders).groupBy("o_custkey").agg(
         F.count("o_orderkey").alias("total_orders"),
-        amount(F.sum(money("o_totalprice"))).alias("lifetime_spend"),
+        amount(money_sum("o_totalprice")).alias("lifetime_spend"),
     )
     named = joins.with_dimension(spend, t.customer, on("o_custkey", "c_custkey"))
     placed = joins.with_dimension(named, t.nation, on("c_nationkey", "n_nationkey"))

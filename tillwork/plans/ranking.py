@@ -4,7 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tillwork.functions.dates import day, month_label, month_of
-from tillwork.functions.money import amount, percent, percent_change, ratio
+from tillwork.functions.money import amount, money_sum, percent, percent_change, ratio
 from tillwork.operators.joins import having_match
 from tillwork.operators.ordered import over_ordered
 from tillwork.plans import sql
@@ -13,7 +13,6 @@ from tillwork.plans.aggregating import (
     by_region,
     customer_sales,
     sales_per_part,
-    total,
 )
 from tillwork.plans.catalog import RISK_GAP_DAYS, fulfilled, query
 from tillwork.plans.joining import on
@@ -91,7 +90,7 @@ FROM s JOIN customer ON o_custkey = c_custkey
 """)
 def ranked_customer_report(t):
     sales = t.orders.groupBy("o_custkey").agg(
-        F.sum(total()).alias("total_sales"), F.count("*").alias("num_orders")
+        money_sum("o_totalprice").alias("total_sales"), F.count("*").alias("num_orders")
     )
     named = sales.join(t.customer, on("o_custkey", "c_custkey")).select(
         "o_custkey", "c_name", "c_mktsegment", "total_sales", "num_orders"
@@ -278,7 +277,7 @@ FROM orders WHERE {sql.FULFILLED} GROUP BY 1
 
 
 def monthly(orders):
-    return orders.groupBy(month_of("o_orderdate").alias("m")).agg(F.sum(total()).alias("revenue"))
+    return orders.groupBy(month_of("o_orderdate").alias("m")).agg(money_sum("o_totalprice").alias("revenue"))
 
 
 @query(f"""
@@ -348,7 +347,7 @@ FROM d
 def running_revenue_region(t):
     """Orders collapse to one row per (customer, day) before they meet the dimensions."""
     daily = t.orders.groupBy("o_custkey", day("o_orderdate").alias("order_date")).agg(
-        F.sum(total()).alias("spend")
+        money_sum("o_totalprice").alias("spend")
     )
     placed = by_region(t, daily).groupBy(F.col("r_name").alias("region"), "order_date")
     days = placed.agg(F.sum("spend").alias("revenue"))
