@@ -55,17 +55,22 @@ def describe_numeric(df: DataFrame, *columns: str) -> DataFrame:
     def published(c: Column) -> Column:
         return amount(c.cast(RATIO), 4)
 
-    values = long_values(df, list(columns), "double")
-    moments = values.groupBy("column_name").agg(
-        F.count("*").alias("count"),
-        published(F.avg("value")).alias("mean"),
-        published(F.stddev_samp("value")).alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
+    facts = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.count(c).alias("count"),
+            published(F.avg(c)).alias("mean"),
+            published(F.stddev_samp(c)).alias("std"),
+            F.min(c).alias("min"),
+            F.max(c).alias("max"),
+        )
+        for c in columns
+    ]
+    numbers = df.select([F.col(c).cast("double").alias(c) for c in columns])
+    moments = numbers.agg(F.array(*facts).alias("facts")).select(F.inline("facts"))
     quartiles = exact_quantiles(df, list(columns), QUARTILES)
     rounded = [published(F.col(q)).alias(q) for q in QUARTILES]
-    return moments.join(quartiles.select("column_name", *rounded), "column_name")
+    return moments.join(quartiles.select("column_name", *rounded), "column_name", "left")
 
 
 def describe_categorical(df: DataFrame, *columns: str) -> DataFrame:
