@@ -1 +1,8 @@
 """Operators that prepare text corpora for training. Nothing else in the library imports them."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with their code: executors need no copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -15,7 +15,7 @@ all of them are marked kept, and ``keep_one`` leaves one. An empty table gives n
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwork.llm.texts import corpus, wrapped
+from tillwork.llm.texts import corpus, matching, wrapped
 
 PREFIX_CHARS = 256
 BUCKETS = 1 << 18  # rows of each broadcast at most
@@ -64,7 +64,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     texts = corpus(docs, id_col, text_col)
     rows = texts.select("doc_id", F.sha2("text", 256).alias("sha"))
     groups = copies(texts).withColumnRenamed("sha", "group_sha")
-    found = rows.join(groups, F.col("sha") == F.col("group_sha"), "left")
+    found = rows.join(groups, matching("sha", "group_sha"), "left")
     keep = F.when(F.col("group_sha").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
     return found.select(
         "doc_id",
@@ -80,7 +80,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     texts = wrapped(docs, id_col, text_col)
     groups = copies(texts).withColumnRenamed("sha", "group_sha")
     hashed = texts.select("doc_id", "row", F.sha2("text", 256).alias("sha"))
-    found = hashed.join(groups, F.col("sha") == F.col("group_sha"), "left")
+    found = hashed.join(groups, matching("sha", "group_sha"), "left")
     alone = F.col("group_sha").isNull()
     stays = F.col("doc_id").eqNullSafe(F.col("keep_id"))
     once = found.filter(alone | (stays & (F.col("keep_rows") == 1)))

@@ -55,3 +55,28 @@ v AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATED_PE
              AS base_failed FROM m)
 SELECT *, NOT base_failed AND words_left >= {MIN_SHARE} * n_words AS kept FROM v
 """
+
+NGRAM_JOIN = f"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS words
+    FROM documents),
+s AS (
+    SELECT DISTINCT doc_id, array_to_string(words[i:i + 2], ' ') AS gram
+    FROM (SELECT doc_id, words, UNNEST(range(1, greatest(len(words) - 1, 2))) AS i
+          FROM d WHERE len(words) > 0)),
+n AS (SELECT doc_id, COUNT(*) AS n FROM s GROUP BY 1),
+same AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, COUNT(*) AS n
+    FROM s a JOIN s b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+    SELECT a, b FROM same JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+    WHERE 100 * same.n >= 90 * (x.n + y.n - same.n)),
+reached(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM d
+    UNION
+    SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other)
+SELECT r.doc_id, CAST(COALESCE(ANY_VALUE(n.n), 0) AS BIGINT) AS n_shingles,
+       MIN(r.other) AS component_id
+FROM reached r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY 1
+"""

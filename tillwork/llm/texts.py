@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tillwork.sources.shared import pin
 
-__all__ = ["corpus", "documents", "labels", "pin", "whole", "wrapped", "slices"]
+__all__ = ["corpus", "documents", "labels", "matching", "pin", "whole", "wrapped", "slices"]
 
 # White space of the contracts, for Java, RE2 and Python regular expressions.
 SPACE = r"\x20\x09-\x0D"
@@ -41,3 +41,12 @@ def wrapped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def slices(spark: SparkSession, rows: int, per_slice: int = ROWS_PER_SLICE) -> int:
     """How many ranges ``rows`` are cut into: it grows with the input."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_slice))
+
+
+def matching(left: str, right: str) -> Column:
+    """Equality of two columns, as a join condition that gets exchanges of its own.
+
+    A join that follows a groupBy on the same key reuses its layout, and AQE cannot split a hot
+    key there. With the hash as a second key both sides are dealt anew, and it can.
+    """
+    return (F.xxhash64(left) == F.xxhash64(right)) & (F.col(left) == F.col(right))
