@@ -1,5 +1,6 @@
 """DuckDB SQL that gives the same rows as the queries."""
 
+from tillwork.llm.mixing import BLOCKS, MOST, SEED, SHARDS, SHARE, WEIGHTS
 from tillwork.llm.quality_rules import (
     MAX_CELL_WORDS,
     MAX_REPEATED_PERCENT,
@@ -80,3 +81,76 @@ SELECT r.doc_id, CAST(COALESCE(ANY_VALUE(n.n), 0) AS BIGINT) AS n_shingles,
        MIN(r.other) AS component_id
 FROM reached r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY 1
 """
+
+
+def _tree() -> str:
+    """The levels of the splitting tree, each a pair of subqueries."""
+    parts = [f"t0 AS (SELECT place, blocks, 0 AS low, {SHARDS} AS high FROM goals)"]
+    for k in range((SHARDS - 1).bit_length()):
+        parts.append(f"""
+u{k} AS (
+    SELECT place, low, high, (low + high + 1) // 2 AS middle, COUNT(*) OVER (PARTITION BY low) AS n,
+           ROW_NUMBER() OVER (PARTITION BY low
+                              ORDER BY md5('{SEED}/' || low || '/' || place || '/' || unit)) AS r
+    FROM (SELECT *, UNNEST(range(1, blocks + 1)) AS unit FROM t{k} WHERE blocks > 0)),
+t{k + 1} AS (
+    SELECT place, COUNT(*) AS blocks, IF(goes_left, low, middle) AS low,
+           IF(goes_left, middle, high) AS high
+    FROM (SELECT *, r <= n * (middle - low) // (high - low) AS goes_left FROM u{k})
+    GROUP BY ALL)""")
+    return ",".join(parts)
+
+
+MIXING = f"""
+WITH d AS (
+    SELECT doc_id, IF(source IS NULL, '1', '0' || source) AS place,
+           CAST(len(regexp_extract_all(COALESCE(text, ''), '{WORD}')) AS BIGINT) AS size,
+           md5('{SEED}/' || COALESCE(CAST(doc_id AS VARCHAR), '')) AS draw
+    FROM documents),
+s AS (
+    SELECT place, CAST(SUM(size) AS BIGINT) AS source_size,
+           [{", ".join(map(str, WEIGHTS))}][(ROW_NUMBER() OVER (ORDER BY place) - 1) % {len(WEIGHTS)} + 1]
+               AS weight
+    FROM d GROUP BY place),
+-- The rounds of sharing end where the sources up to some ratio of limit to weight are full.
+c AS (
+    SELECT *, COALESCE(SUM({MOST} * source_size) OVER before, 0) AS spent,
+           SUM(weight) OVER () - COALESCE(SUM(weight) OVER before, 0) AS open_weight,
+           {SHARE} * SUM(source_size) OVER () AS shared
+    FROM s WINDOW before AS (ORDER BY source_size / weight, place
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+l AS (
+    SELECT CAST(MIN_BY((CAST(shared AS DOUBLE) - CAST(spent AS DOUBLE)) / CAST(open_weight AS DOUBLE),
+                       source_size / weight) AS DOUBLE) AS per_weight
+    FROM c WHERE (CAST(shared AS DOUBLE) - CAST(spent AS DOUBLE)) / CAST(open_weight AS DOUBLE) * weight
+                 <= {MOST} * source_size),
+t AS (
+    SELECT place, source_size,
+           LEAST(CAST({MOST} * source_size AS DOUBLE), per_weight * weight) AS target FROM s, l),
+b AS (
+    SELECT *, CAST(FLOOR(target + 0.5) AS BIGINT) AS goal,
+           GREATEST(1, CAST(CEIL(SUM(FLOOR(target + 0.5)) OVER () / {SHARDS * BLOCKS}) AS BIGINT)) AS width
+    FROM t),
+goals AS (SELECT *, CAST(CEIL(goal / width) AS BIGINT) AS blocks FROM b),
+{_tree()},
+dealt AS (
+    SELECT place, low AS shard, UNNEST(range(CAST(e - blocks AS BIGINT), CAST(e AS BIGINT))) AS block
+    FROM (SELECT *, SUM(blocks) OVER (PARTITION BY place ORDER BY low) AS e
+          FROM t{(SHARDS - 1).bit_length()})),
+lines AS (
+    SELECT d.*, g.source_size, g.target, g.goal, g.width,
+           SUM(size) OVER (PARTITION BY place ORDER BY draw, doc_id ROWS UNBOUNDED PRECEDING) - size
+               AS line
+    FROM d JOIN goals g USING (place)),
+passes AS (
+    SELECT *, k, CAST(GREATEST(0, LEAST(size, goal - k * source_size - line)) AS BIGINT) AS words,
+           CAST(k * source_size + line AS BIGINT) // width AS block
+    FROM lines, range({MOST}) AS r(k)),
+placed AS (
+    SELECT p.*, shard FROM passes p
+    LEFT JOIN dealt ON dealt.place = p.place AND dealt.block = p.block AND p.words > 0)
+SELECT doc_id, ANY_VALUE(size) AS size, ANY_VALUE(source_size) AS source_size,
+       ANY_VALUE(target) AS target, CAST(SUM(words) AS BIGINT) AS taken,
+       COALESCE(STRING_AGG(CAST(shard AS VARCHAR), ',' ORDER BY k), '') AS shards
+FROM placed GROUP BY doc_id
+"""

@@ -15,7 +15,7 @@ judged one by one, so ties and repeated rows change nothing. An empty table give
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwork.llm.texts import SPACE, WORD, corpus, wrapped
+from tillwork.llm.texts import SPACE, WORD, corpus, words_of, wrapped
 
 MIN_WORDS = 20
 WINDOW = 8
@@ -23,7 +23,6 @@ MAX_REPEATED_PERCENT = 30
 MIN_SHARE = 0.5  # of the words have to be in good lines
 MAX_CELL_WORDS = 3
 SYMBOLS = "#*$%&|<>"
-SPACES = " \t\n\x0b\f\r"
 NOTICE = (
     r"(?i)^[^\p{L}\p{N}]*(copyright|all rights reserved|licensed under|released under"
     r"|cookie policy|privacy policy|terms of (use|service)|subscribe (to|now)|sign up"
@@ -36,12 +35,6 @@ def let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def words_of(text: Column) -> Column:
-    for space in SPACES[1:]:
-        text = F.replace(text, F.lit(space), F.lit(" "))
-    return F.array_remove(F.split(text, " "), "")  # one plain character: no regular expression
-
-
 def _without(text: Column, characters: str) -> Column:
     for character in characters:
         text = F.replace(text, F.lit(character), F.lit(""))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillwork.llm import oracles
 from tillwork.llm.exact_dedup import exact_dedup
+from tillwork.llm.mixing import mix, taken
 from tillwork.llm.ngram_join import ngram_join
 from tillwork.llm.quality_rules import quality
 from tillwork.llm.texts import documents
@@ -15,6 +16,10 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup(documents(spark, folder))
 
 
+def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return taken(mix(documents(spark, folder)))
+
+
 def op4_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join(documents(spark, folder), width=3, percent=90)
 
@@ -24,11 +29,12 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    build.__name__: build for build in (op1_exact_dedup, op4_ngram_join, op6_quality_rules)
+    build.__name__: build for build in (op1_exact_dedup, op3_mixing, op4_ngram_join, op6_quality_rules)
 }
 
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": oracles.EXACT_DEDUP,
+    "op3_mixing": oracles.MIXING,
     "op4_ngram_join": oracles.NGRAM_JOIN,
     "op6_quality_rules": oracles.QUALITY,
 }
