@@ -9,13 +9,19 @@ from tillwork.llm.exact_dedup import exact_dedup
 from tillwork.llm.mixing import mix, taken
 from tillwork.llm.ngram_join import ngram_join
 from tillwork.llm.quality_rules import quality
+from tillwork.llm.sharding import assign, report
 from tillwork.llm.texts import documents
+from tillwork.llm.token_counts import token_counts
 
 
 def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup(documents(spark, folder))
 
 
+def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return report(assign(documents(spark, folder)))
+
+
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return taken(mix(documents(spark, folder)))
 
@@ -28,8 +34,20 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality(documents(spark, folder))
 
 
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(documents(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    build.__name__: build for build in (op1_exact_dedup, op3_mixing, op4_ngram_join, op6_quality_rules)
+    build.__name__: build
+    for build in (
+        op1_exact_dedup,
+        op2_sharding,
+        op3_mixing,
+        op4_ngram_join,
+        op6_quality_rules,
+        op9_token_counts,
+    )
 }
 
 ORACLES: dict[str, str] = {
