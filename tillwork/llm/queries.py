@@ -8,6 +8,7 @@ from tillwork.llm import oracles
 from tillwork.llm.exact_dedup import exact_dedup
 from tillwork.llm.mixing import mix, taken
 from tillwork.llm.ngram_join import ngram_join
+from tillwork.llm.packing import pack
 from tillwork.llm.quality_rules import quality
 from tillwork.llm.sharding import assign, report
 from tillwork.llm.texts import documents
@@ -38,6 +39,10 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(documents(spark, folder))
 
 
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(documents(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     build.__name__: build
     for build in (
@@ -47,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_ngram_join,
         op6_quality_rules,
         op9_token_counts,
+        op10_packing,
     )
 }
 
