@@ -1,6 +1,7 @@
 """DuckDB SQL that gives the same rows as the queries."""
 
 from tillwork.llm.mixing import BLOCKS, MOST, SEED, SHARDS, SHARE, WEIGHTS
+from tillwork.llm.secret_scan import BASE, RULES
 from tillwork.llm.quality_rules import (
     MAX_CELL_WORDS,
     MAX_REPEATED_PERCENT,
@@ -154,3 +155,39 @@ SELECT doc_id, ANY_VALUE(size) AS size, ANY_VALUE(source_size) AS source_size,
        COALESCE(STRING_AGG(CAST(shard AS VARCHAR), ',' ORDER BY k), '') AS shards
 FROM placed GROUP BY doc_id
 """
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _kind(number: int) -> str:
+    """The spans of a rule: starts follow from the lengths of what lies between the matches."""
+    rule = RULES[number]
+    return f"""
+SELECT doc_id, {number} AS number, '{rule.kind}' AS kind, start, start + length(m) AS stop
+FROM (SELECT doc_id, m, SUM(length(a)) OVER w
+             + COALESCE(SUM(length(m)) OVER (PARTITION BY doc_id ORDER BY k
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+      FROM (SELECT doc_id, UNNEST(string_split_regex(text, {_quoted(rule.pattern)})) AS a,
+                   UNNEST(regexp_extract_all(text, {_quoted(rule.pattern)})) AS m,
+                   UNNEST(range(len(string_split_regex(text, {_quoted(rule.pattern)})))) AS k
+            FROM d WHERE regexp_matches(text, {_quoted(rule.pattern)}))
+      WINDOW w AS (PARTITION BY doc_id ORDER BY k ROWS UNBOUNDED PRECEDING))
+WHERE m IS NOT NULL AND length(regexp_extract(m, {_quoted(rule.pattern)}, {rule.group})) >= {rule.least}
+"""
+
+
+SECRETS = f"""
+WITH d AS (SELECT doc_id, COALESCE(text, '') AS text FROM documents),
+s AS ({" UNION ALL ".join(map(_kind, range(len(RULES))))}),
+p AS (SELECT *, kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT) AS span FROM s),
+g AS (
+    SELECT doc_id, {", ".join(f"COUNT(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in BASE)},
+           STRING_AGG(span, ',' ORDER BY start, number) FILTER (number < {len(BASE)}) AS base,
+           STRING_AGG(span, ',' ORDER BY start, number) AS spans
+    FROM p GROUP BY doc_id)
+SELECT d.doc_id, {", ".join(f"CAST(COALESCE(n_{r.kind}, 0) AS BIGINT) AS n_{r.kind}" for r in BASE)},
+       sha256(COALESCE(base, '')) AS base_sha256, COALESCE(spans, '') AS spans
+FROM d LEFT JOIN g USING (doc_id)
+"""

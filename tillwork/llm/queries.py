@@ -10,7 +10,10 @@ from tillwork.llm.mixing import mix, taken
 from tillwork.llm.ngram_join import ngram_join
 from tillwork.llm.packing import pack
 from tillwork.llm.quality_rules import quality
-from tillwork.llm.sharding import assign, report
+from tillwork.llm.secret_scan import report as secret_report
+from tillwork.llm.secret_scan import scan
+from tillwork.llm.sharding import assign
+from tillwork.llm.sharding import report as shard_report
 from tillwork.llm.texts import documents
 from tillwork.llm.token_counts import token_counts
 
@@ -20,7 +23,7 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
-    return report(assign(documents(spark, folder)))
+    return shard_report(assign(documents(spark, folder)))
 
 
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
@@ -31,6 +34,10 @@ def op4_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join(documents(spark, folder), width=3, percent=90)
 
 
+def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_report(scan(documents(spark, folder)))
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality(documents(spark, folder))
 
@@ -50,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_sharding,
         op3_mixing,
         op4_ngram_join,
+        op5_secret_scan,
         op6_quality_rules,
         op9_token_counts,
         op10_packing,
@@ -60,5 +68,6 @@ ORACLES: dict[str, str] = {
     "op1_exact_dedup": oracles.EXACT_DEDUP,
     "op3_mixing": oracles.MIXING,
     "op4_ngram_join": oracles.NGRAM_JOIN,
+    "op5_secret_scan": oracles.SECRETS,
     "op6_quality_rules": oracles.QUALITY,
 }
