@@ -14,8 +14,9 @@ from tillwork.llm.secret_scan import report as secret_report
 from tillwork.llm.secret_scan import scan
 from tillwork.llm.sharding import assign
 from tillwork.llm.sharding import report as shard_report
-from tillwork.llm.texts import documents
+from tillwork.llm.texts import documents, labels
 from tillwork.llm.token_counts import token_counts
+from tillwork.llm.toxicity import toxicity
 
 
 def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -42,6 +43,10 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality(documents(spark, folder))
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(documents(spark, folder), labels(spark, folder))
+
+
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(documents(spark, folder))
 
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_ngram_join,
         op5_secret_scan,
         op6_quality_rules,
+        op8_toxicity,
         op9_token_counts,
         op10_packing,
     )
