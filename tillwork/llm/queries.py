@@ -14,6 +14,7 @@ from tillwork.llm.secret_scan import report as secret_report
 from tillwork.llm.secret_scan import scan
 from tillwork.llm.sharding import assign
 from tillwork.llm.sharding import report as shard_report
+from tillwork.llm.suffix_dedup import repeated_passages, repeated_spans
 from tillwork.llm.texts import documents, labels
 from tillwork.llm.token_counts import token_counts
 from tillwork.llm.toxicity import toxicity
@@ -43,6 +44,10 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality(documents(spark, folder))
 
 
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_spans(repeated_passages(documents(spark, folder)))
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity(documents(spark, folder), labels(spark, folder))
 
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_ngram_join,
         op5_secret_scan,
         op6_quality_rules,
+        op7_suffix_dedup,
         op8_toxicity,
         op9_token_counts,
         op10_packing,

@@ -19,7 +19,7 @@ def words(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []
 
 
-class _WordHashes(dict):
+class WordHashes(dict):
     def __missing__(self, word):
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -30,7 +30,7 @@ class Shingler:
 
     def __init__(self, width: int):
         self.width = width
-        self.hashes = _WordHashes()
+        self.hashes = WordHashes()
 
     def __call__(self, texts) -> tuple[np.ndarray, np.ndarray]:
         if len(self.hashes) > CACHED_WORDS:
