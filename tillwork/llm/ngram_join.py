@@ -16,9 +16,11 @@ of a pair, the one of the band below.
 A signature that many documents share is combined inside each Arrow batch, so the shuffle gets
 a row per batch of it. Documents of one signature are not paired with each other: in each round
 some centres (first the one with most shared signatures) are compared with the others, and only
-signatures whose documents are still in different components go on, with four times as many
-centres. The rounds end when every pair of a signature is compared or connected. Equal sets are
-one class before any of this. What a pair is worth is decided on the shingles themselves.
+signatures whose documents are still in different components go on, with GROWTH times as many
+centres. The rounds end when every pair of a signature is compared or connected. From the second
+round on, a parity sketch of each set bounds the difference of two sets from below, so that most
+pairs are settled without their texts. Equal sets are one class before any of this. What a pair
+is worth is decided on the shingles themselves.
 
 Defined results: texts without words have an empty set and link with nothing; a row without id
 is returned with a null component and links with nothing; rows that repeat an id are one node
@@ -41,7 +43,8 @@ HEAVY_SHARE = 0.002  # of the documents hold a heavy shingle
 MAX_HEAVY = 1 << 16  # bound of the broadcast; which shingles are heavy only moves cost
 CHANCE = 0.02  # that two documents of a band agree in one shingle
 BUCKETS = 1 << 20  # bound of the broadcast that thins the texts before they are shuffled
-GROWTH = 4  # centres per signature, from one round to the next
+SKETCH = 256  # bits, in longs
+GROWTH = 16  # centres per signature, from one round to the next
 BATCH_TEXTS = 2_000
 
 
@@ -86,17 +89,29 @@ def _fingerprints(width: int):
                 often = counts >= max(3, HEAVY_SHARE * len(n) / 2)
                 heavy = values[often].view(np.int64)
                 zeros = np.zeros(len(heavy), np.int64)
+                parity = _sketches(flat, start)
                 yield _table(
                     kind=np.concatenate([np.zeros(len(n)), np.ones(len(heavy))]).astype(np.int32),
                     doc=pa.concat_arrays([ids, pa.array(zeros)]),
                     n=np.concatenate([n, counts[often]]),
                     a=np.concatenate([a.view(np.int64), heavy]),
                     b=np.concatenate([b.view(np.int64), zeros]),
+                    **{f"s{k}": np.concatenate([parity[:, k], zeros]) for k in range(SKETCH // 64)},
                 )
 
     return run
 
 
+def _sketches(flat: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Whether the shingles that fall on each of SKETCH bits are odd in number. Two sets differ
+    in at least as many shingles as their sketches differ in bits."""
+    n = len(start) - 1
+    owner = np.repeat(np.arange(n), np.diff(start))
+    bit = (mixed(flat ^ np.uint64(0x5BD1E995)) % np.uint64(SKETCH)).astype(np.int64)
+    odd = np.bincount(owner * SKETCH + bit, minlength=n * SKETCH).reshape(n, SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
+
+
 def _table(**columns) -> pa.RecordBatch:
     arrays = [c if isinstance(c, pa.Array) else pa.array(c) for c in columns.values()]
     return pa.RecordBatch.from_arrays(arrays, list(columns))
@@ -256,7 +271,8 @@ def ngram_join(
     spark = docs.sparkSession
     all_texts = corpus(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     texts = all_texts.filter("doc_id is not null")
-    schema = "kind int, doc long, n long, a long, b long"
+    parts = [f"s{k}" for k in range(SKETCH // 64)]
+    schema = "kind int, doc long, n long, a long, b long, " + ", ".join(f"{p} long" for p in parts)
     first = pin(all_texts.mapInArrow(_fingerprints(width), schema), "shingle-sets")
     sets = first.filter("kind = 0").drop("kind")
     full = sets.filter("n > 0 and doc is not null")
@@ -276,7 +292,12 @@ def ngram_join(
             near = in_band.get(k, 0) + in_band.get(k + 1, 0)
             plan.append((k, low, partner, *allocation(low, most, near)))
 
-    same = pin(_classes(full), "equal-sets")
+    same = pin(_classes(full.drop(*parts)), "equal-sets")
+    # An id with texts of its own on several rows has no sketch and is compared in full.
+    sketch = full.groupBy("doc").agg(
+        F.count("*").alias("texts"), F.max("n").alias("n"), *[F.max(p).alias(p) for p in parts]
+    )
+    sketch = sketch.filter("texts = 1").select("doc", F.struct("n", *parts).alias("sketch"))
     rows = texts.mapInArrow(_signatures(width, plan, np.sort(heavy)), "sig long, doc long, kind int")
     shared = _shared(rows)
     # One node for each class of equal sets; what is then alone in a signature goes.
@@ -284,32 +305,32 @@ def ngram_join(
     named = named.select("sig", F.coalesce("b", "doc").alias("doc"))
     candidates = pin(named, "signatures")
     links, labels, tried = same, None, None
-    open_rows = _undecided(candidates.distinct(), None)
     scores = candidates.groupBy("doc").agg(F.count("*").alias("score"))
-    open_rows = pin(open_rows.join(scores, "doc"), "open-signatures")
+    open_rows = _undecided(candidates.distinct(), None).join(scores, "doc")
+    open_rows = pin(open_rows.withColumn("sketch", F.lit(None).cast(sketch.schema["sketch"].dataType)), "open")
     centres = 1
     while not open_rows.isEmpty():
         slot = F.pmod(F.xxhash64("label", F.lit(centres)), F.lit(centres))
-        best = F.max_by("doc", F.struct("score", -F.col("doc")))
-        chosen = open_rows.groupBy("sig", slot.alias("slot")).agg(best.alias("centre"))
-        chosen = chosen.join(
-            open_rows.select(F.col("sig").alias("s"), F.col("doc").alias("d"), F.col("label").alias("its")),
-            (F.col("sig") == F.col("s")) & (F.col("centre") == F.col("d")),
-        ).select("sig", "centre", "its")
-        chosen = pin(chosen, "centres")
-        facing = open_rows.join(chosen.withColumnRenamed("sig", "at"), matching("sig", "at"))
-        facing = facing.filter("label != its").select("doc", "centre").distinct()
-        # A pair of two centres comes twice; the links are the same.
+        best = F.max_by(F.struct("doc", "label", "sketch"), F.struct("score", -F.col("doc")))
+        chosen = open_rows.groupBy("sig", slot.alias("slot")).agg(best.alias("best"))
+        chosen = pin(chosen.select(F.col("sig").alias("at"), "best"), "centres")
+        facing = open_rows.join(chosen, matching("sig", "at")).filter(
+            (F.col("label") != F.col("best.label"))
+            & _possible(F.col("sketch"), F.col("best.sketch"), percent)
+        )
+        facing = facing.select("doc", F.col("best.doc").alias("centre")).distinct()
         if tried is not None:
             facing = facing.join(tried, ["doc", "centre"], "left_anti")
         facing = pin(facing, "pairs")
         tried = facing if tried is None else tried.unionByName(facing)
-        links = links.unionByName(pin(_verified(facing, texts, percent, width), "similar"))
-        labels = pin(components(links), "components")
-        left = open_rows.select("sig", "doc", "score").join(
-            chosen.select("sig", F.col("centre").alias("doc")), ["sig", "doc"], "left_anti"
+        found = pin(_verified(facing, texts, percent, width), "similar")
+        if labels is None or not found.isEmpty():
+            links = links.unionByName(found)
+            labels = pin(components(links), "components")
+        left = open_rows.drop("label", "sketch").join(
+            chosen.select(F.col("at").alias("sig"), F.col("best.doc").alias("doc")), ["sig", "doc"], "left_anti"
         )
-        open_rows = pin(_undecided(left, labels), "open-signatures")
+        open_rows = pin(_undecided(left, labels).join(sketch, "doc", "left"), "open")
         centres *= GROWTH
     if labels is None:
         labels = components(links)
@@ -321,6 +342,16 @@ def ngram_join(
     )
 
 
+def _possible(one, other, percent: int):
+    """False for sets whose sizes or sketches already differ by too much; true where unknown."""
+    total = one["n"] + other["n"]
+    differ = sum(
+        (F.bit_count(one[f"s{k}"].bitwiseXOR(other[f"s{k}"])) for k in range(SKETCH // 64)), F.lit(0)
+    )
+    near = F.greatest(differ, F.abs(one["n"] - other["n"])) * (100 + percent) <= (100 - percent) * total
+    return F.coalesce(near, F.lit(True))
+
+
 def _undecided(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Rows (sig, doc, ..., label) of signatures with documents of more than one component."""
     if labels is None:
@@ -331,3 +362,21 @@ def _undecided(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
     ends = named.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     mixed_ = ends.filter("low < high").select(F.col("sig").alias("at"))
     return named.join(mixed_, matching("sig", "at"), "left_semi")
+
+
+def keep_one(
+    docs: DataFrame,
+    width: int = 5,
+    percent: int = 80,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` without those that are linked to a lesser id. Rows without id stay.
+
+    Only the ids that go are joined: one row per linked document.
+    """
+    found = ngram_join(docs, width, percent, id_col, text_col)
+    gone = found.filter("component_id < doc_id").select(F.col("doc_id").alias("gone_id")).distinct()
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(row, F.col(id_col).cast("long").alias("own_id"))
+    return rows.join(gone, F.col("own_id") == F.col("gone_id"), "left_anti").select("row.*")
