@@ -2,21 +2,45 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwork.llm import exact_dedup, quality_rules
+from tillwork.llm import exact_dedup, mixing, ngram_join, packing, quality_rules
 from tillwork.llm.texts import documents, pin
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go; the others lose their bad lines."""
     return quality_rules.cleaned(docs)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the one with the largest id stays."""
     return exact_dedup.keep_one(docs)
 
 
-STAGES = [("quality rules", quality), ("exact dedup", exact_copies)]
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by five-word shingles and a similarity of 0.8 the least id stays."""
+    return ngram_join.keep_one(docs)
 
-# Packing and the mix draw by hashes and tokenizers that SQL does not have.
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return mixing.mixed_documents(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of documents in sequences of tokens."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("exact dedup", exact_copies),
+    ("near duplicates", near_copies),
+    ("mixing", mixed),
+    ("packing", packed),
+]
+
+# Not given: the dynamic program of packing and the tokenizer have no SQL. The stages are tested
+# against brute force instead (tests/llm/test_pipeline.py).
 ORACLE_SQL = None
 
 
