@@ -62,21 +62,46 @@ def test_money_is_exact(spark):
     assert found[2] == Decimal("83333333333.229167")
     assert [r[0] for r in rows.select(money.revenue("p", "d")).collect()][9:12] == [0.05, -2.03, None]
     assert rows.filter("p is null").select(money.money_sum("p")).first()[0] is None
+    # Sums hold more than a long of cents.
     huge = spark.createDataFrame([(9e15,)] * 500, "p double").select(money.money_sum("p")).first()[0]
     assert huge == Decimal("4500000000000000000.00")
     assert one(spark, money.percent_change(F.lit(0), F.lit(5))) is None
     assert one(spark, money.percent(F.lit(1), F.lit(3))) == 33.33
 
 
-def test_periods():
-    assert dates.period("daily", date(2024, 2, 29)) == (date(2024, 2, 29),) * 2
-    assert dates.period("weekly", date(2024, 2, 29)) == (date(2024, 2, 26), date(2024, 3, 3))
-    assert dates.period("monthly", date(2024, 2, 10)) == (date(2024, 2, 1), date(2024, 2, 29))
-    assert dates.period("monthly", date(2023, 12, 31)) == (date(2023, 12, 1), date(2023, 12, 31))
+def test_money_rounds_by_one_rule_in_lines_and_totals(spark):
+    for value, cents in [(1.005, 1.01), (-0.125, -0.13), (261.965, 261.97), (-1.005, -1.01), (0.115, 0.12), (2.5, 2.5)]:
+        rows = spark.createDataFrame([(value, 0.0)], "p double, d double")
+        total = rows.agg(money.money_sum("p"), money.revenue_sum("p", "d")).first()
+        assert [float(x) for x in total] == [cents, cents]
+        assert rows.select(money.revenue("p", "d"), money.money("p").cast("double")).first() == (cents, cents)
+
+
+@pytest.mark.parametrize("value", [1e17, float("inf"), -3e300])
+def test_amounts_out_of_range_raise(spark, value):
+    rows = spark.createDataFrame([(value,), (value,)], "p double")
+    with pytest.raises(Exception, match="out of range|OVERFLOW|overflow"):
+        rows.agg(money.money_sum("p")).collect()
+
+
+def test_large_months_have_a_mean(spark):
+    months = spark.createDataFrame([(1e13,), (3e13,)], "p double").agg(money.money_sum("p").alias("s"), F.count("*").alias("n"))
+    assert months.select(money.ratio(F.col("s"), F.col("n"))).first()[0] == 2e13
+
+
+def test_periods(spark):
+    def found(kind, day):
+        start, end = dates.period(kind, F.lit(day))
+        return spark.range(1).select(start, end, *dates.preceding(start, end)).first()
+
+    assert found("daily", date(2024, 2, 29)) == (*(date(2024, 2, 29),) * 2, *(date(2024, 2, 28),) * 2)
+    assert found("weekly", date(2024, 2, 29))[:2] == (date(2024, 2, 26), date(2024, 3, 3))
+    assert found("monthly", date(2024, 2, 10))[:2] == (date(2024, 2, 1), date(2024, 2, 29))
+    assert found("monthly", date(2023, 12, 31))[:2] == (date(2023, 12, 1), date(2023, 12, 31))
     with pytest.raises(ValueError):
-        dates.period("yearly", date(2024, 1, 1))
+        dates.period("yearly", F.lit(date(2024, 1, 1)))
     # Equal length, not the calendar month before.
-    assert dates.preceding(date(2024, 3, 1), date(2024, 3, 31)) == (date(2024, 1, 30), date(2024, 2, 29))
+    assert found("monthly", date(2024, 3, 5))[2:] == (date(2024, 1, 30), date(2024, 2, 29))
 
 
 def test_intervals(spark):

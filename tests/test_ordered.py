@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tillwork.operators.ordered import SLICE, _slices, over_ordered
+from tillwork.operators.ordered import SLICE, _slices, over_ordered, slice_count
 
 
 @pytest.fixture(scope="module")
@@ -59,7 +59,7 @@ def test_ntile_with_more_buckets_than_rows(spark):
 
 
 def test_a_hot_group_is_cut_into_even_slices(spark, rows):
-    sliced = _slices(rows, ["g"], [("v", "asc"), ("id", "asc")])
+    sliced = _slices(rows, ["g"], [("v", "asc"), ("id", "asc")], slice_count(rows))
     sizes = [r["count"] for r in sliced.groupBy(SLICE).count().collect()]
     assert len(sizes) > 4
     assert max(sizes) < 2 * rows.count() / len(sizes)
@@ -70,3 +70,22 @@ def test_a_hot_group_is_cut_into_even_slices(spark, rows):
 def test_empty_input(spark):
     none = spark.createDataFrame([], "id long, v int")
     assert over_ordered(none, [("v", "asc"), ("id", "asc")], row_number="rn").count() == 0
+
+
+def test_slices_grow_with_the_input(spark):
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert slice_count(spark.range(10)) == least
+    assert slice_count(spark.range(10 * least + 1), per_slice=10) == least + 1
+    assert slice_count(spark.range(1000 * least), per_slice=10) == 100 * least
+
+
+def test_pairs_of_names_with_one_order_of_many_names(spark):
+    from tillwork.plans.business import pairs_of
+
+    rows = [(1, f"rare{k}", 1, 1) for k in range(300)]
+    rows += [(o, n, 1, 1) for o in range(2, 60) for n in ("a", "b", "c")]
+    named = spark.createDataFrame(rows, "l_orderkey long, p_name string, n long, same long")
+    found = pairs_of(named, 3).orderBy("product_a", "product_b").collect()
+    top = [(r[0], r[1], r[2]) for r in found if r[2] > 1]
+    assert top == [("a", "b", 58), ("a", "c", 58), ("b", "c", 58)]
+    assert len(found) == 3  # the rare names are gone before they are paired

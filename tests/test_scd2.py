@@ -101,5 +101,23 @@ def test_row_maintenance(spark):
         [(100, 1, 6), (101, 1, 6), (101, 2, 1), (102, 1, 1), (103, 7, 1)], "ord long, item long, q long"
     )
     served = {r["ord"]: r["accepted"] for r in scd2.guard_stock(orders, stock, "ord", "item", "q", "level").collect()}
-    # 101 is refused and still counts against 102; 103 wants an unknown item.
-    assert served == {100: True, 101: False, 102: False, 103: False}
+    # 101 is refused and takes nothing, so 102 is served; 103 wants an unknown item.
+    assert served == {100: True, 101: False, 102: True, 103: False}
+
+
+def test_stock_is_guarded_as_one_order_after_the_other(spark):
+    import random
+
+    rng = random.Random(3)
+    stock = {k: rng.randint(0, 40) for k in range(8)}
+    orders = {o: {rng.randrange(9): rng.randint(1, 9) for _ in range(rng.randint(1, 3))} for o in range(120)}
+    left, expected = dict(stock), {}
+    for o, items in orders.items():
+        expected[o] = all(left.get(i, -1) >= q for i, q in items.items())
+        if expected[o]:
+            for i, q in items.items():
+                left[i] -= q
+    demand = spark.createDataFrame([(o, i, q) for o, x in orders.items() for i, q in x.items()], "ord long, item long, q long")
+    levels = spark.createDataFrame(list(stock.items()), "item long, level long")
+    found = scd2.guard_stock(demand, levels, "ord", "item", "q", "level").collect()
+    assert {r["ord"]: r["accepted"] for r in found} == expected

@@ -2,34 +2,28 @@ from pyspark.sql import functions as F
 import pytest
 
 from tillwork.sources import files
+from tillwork.sources.published import append, publish
 from tillwork.sources.shared import new_folder, pin, shared_dir
 from tillwork.sources.tables import SCHEMAS
-from tillwork.sources.versions import VersionedTable
 from tillwork.streaming.bronze import land_new_files
 
 
-def test_versions_are_kept_and_a_table_can_rewrite_itself(spark):
-    table = VersionedTable(spark, new_folder(spark, "t"))
-    assert table.latest() == -1
-    with pytest.raises(Exception):
-        table.read()
-    table.publish(spark.range(3), "create")
-    table.publish(table.read().withColumn("id", F.col("id") * 10), "overwrite")
-    table.append(spark.range(1))
-    assert sorted(r["id"] for r in table.read(0).collect()) == [0, 1, 2]
-    assert sorted(r["id"] for r in table.read().collect()) == [0, 0, 10, 20]
-    assert [r["operation"] for r in table.history().orderBy("version").collect()] == ["create", "overwrite", "append"]
-    with pytest.raises(ValueError, match="no version 7"):
-        table.read(7)
-
-
-def test_a_failed_publish_leaves_the_table_as_it_was(spark):
-    table = VersionedTable(spark, new_folder(spark, "t"))
-    table.publish(spark.range(3), "create")
+def test_a_table_can_rewrite_itself_and_older_paths_stay(spark):
+    first = publish(spark.range(3).toDF("id"), "t")
+    second = publish(spark.read.parquet(first).withColumn("id", F.col("id") * 10), "t")
+    files_before = set(spark.read.parquet(second).inputFiles())
+    append(spark.range(1).toDF("id"), second)
+    ids = lambda path: sorted(r["id"] for r in spark.read.parquet(path).collect())
+    assert ids(first) == [0, 1, 2] and ids(second) == [0, 0, 10, 20]
+    assert files_before < set(spark.read.parquet(second).inputFiles())
+
+
+def test_a_failed_publish_is_followed_by_a_good_one(spark):
+    good = publish(spark.range(3), "t")
     broken = spark.range(3).select(F.raise_error(F.lit("lost")).cast("long").alias("id"))
     with pytest.raises(Exception, match="lost"):
-        table.publish(broken, "overwrite")
-    assert table.latest() == 0 and table.read().count() == 3
+        publish(broken, "t")
+    assert spark.read.parquet(publish(spark.read.parquet(good), "t")).count() == 3
 
 
 def test_csv_keeps_white_space_and_types(spark, tables):
@@ -61,17 +55,34 @@ def test_copy_only_what_is_valid(spark):
     assert size["bytes"] == sum(f["size"] for f in facts)
 
 
-def test_reports_are_bounded(spark):
-    files.write_report(spark.range(5), new_folder(spark, "report"), max_rows=5)
-    with pytest.raises(ValueError):
-        files.write_report(spark.range(6), new_folder(spark, "report"), max_rows=5)
+def test_reports_are_sorted_and_whole(spark):
+    path = new_folder(spark, "report")
+    files.write_report(spark.range(1000).select((999 - F.col("id")).alias("n")), path, "n")
+    back = files.read_csv(spark, path, "n long").groupBy(F.input_file_name().alias("f"))
+    ranges = back.agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count("*").alias("k")).orderBy("f").collect()
+    assert [r["low"] for r in ranges] == [0, *[r["high"] + 1 for r in ranges[:-1]]]
+    assert sum(r["k"] for r in ranges) == 1000
+
+
+def test_release_removes_what_this_application_pinned(spark):
+    from tillwork.sources import shared
+
+    before = shared._WORKSPACES.pop(spark.sparkContext.applicationId, None)
+    try:
+        folder = pin(spark.range(5)).inputFiles()[0]
+        shared.release(spark)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    finally:
+        if before:
+            shared._WORKSPACES[spark.sparkContext.applicationId] = before
 
 
 def test_pinned_rows_do_not_change(spark):
     random = spark.range(100).select(F.rand().alias("r"))
     pinned = pin(random)
     assert pinned.exceptAll(pinned).isEmpty()
-    assert f"{shared_dir(spark).removeprefix('file:').lstrip('/')}/tillwork/pinned-" in pinned.inputFiles()[0]
+    assert f"{shared_dir(spark).removeprefix('file:').lstrip('/')}/tillwork/" in pinned.inputFiles()[0]
 
 
 def test_new_files_land_once(spark, tables):

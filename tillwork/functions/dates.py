@@ -10,14 +10,13 @@ def day(c: str) -> Column:
     return F.col(c).cast("date")
 
 
-def within(c: str, start: date, end: date) -> Column:
+def within(c: str, start: Column, end: Column) -> Column:
     """Days from start to end, both in, as a half-open test on the bare column.
 
     Without a cast around the column the test reaches the Parquet scan.
     """
-    first = datetime.combine(start, time.min)
-    after = datetime.combine(end + timedelta(days=1), time.min)
-    return (F.col(c) >= F.lit(first)) & (F.col(c) < F.lit(after))
+    midnight = lambda day: day.cast("timestamp_ntz")
+    return (F.col(c) >= midnight(start)) & (F.col(c) < midnight(F.date_add(end, 1)))
 
 
 def after_day(c: str, limit: date) -> Column:
@@ -52,22 +51,20 @@ def elapsed_days(start: Column, end: Column) -> Column:
     return F.when(days >= 0, days)
 
 
-def period(kind: str, anchor: date) -> tuple[date, date]:
-    """The day, Monday-to-Sunday week or calendar month around ``anchor``, both ends in."""
+def period(kind: str, day: Column) -> tuple[Column, Column]:
+    """The first and last day of the day, Monday-to-Sunday week or calendar month around ``day``.
+
+    Of a literal day Spark folds both into literals, which reach the scan.
+    """
     if kind == "daily":
-        return anchor, anchor
-    if kind == "weekly":
-        monday = anchor - timedelta(days=anchor.isoweekday() - 1)
-        return monday, monday + timedelta(days=6)
-    if kind == "monthly":
-        first = anchor.replace(day=1)
-        after = date(first.year + first.month // 12, first.month % 12 + 1, 1)
-        return first, after - timedelta(days=1)
-    raise ValueError(f"no such period: {kind}")
-
-
-def preceding(start: date, end: date) -> tuple[date, date]:
+        return day, day
+    if kind not in ("weekly", "monthly"):
+        raise ValueError(f"no such period: {kind}")
+    start = F.trunc(day, "WEEK" if kind == "weekly" else "MM")
+    return start, F.date_add(start, 6) if kind == "weekly" else F.last_day(day)
+
+
+def preceding(start: Column, end: Column) -> tuple[Column, Column]:
     """The period of the same length that ends the day before ``start``."""
-    span = end - start
-    last = start - timedelta(days=1)
-    return last - span, last
+    last = F.date_sub(start, 1)
+    return F.date_sub(last, F.datediff(end, start)), last

@@ -1,10 +1,11 @@
 """Exact money arithmetic.
 
-Amounts arrive as doubles. They are summed as whole numbers of their smallest unit, so a
-total does not depend on the order in which tasks finish, and are rounded once, at the end,
-before going out as doubles. Sums keep whole and fractional parts apart: both stay plain
-longs on the way, which is several times faster than decimals, and neither can overflow
-before a total of 9e18.
+Amounts arrive as doubles. One rule turns them into whole units, in lines as in totals: the
+decimal that prints the double, rounded half away from zero. Sums add whole numbers of units, so
+a total does not depend on the order in which tasks finish, and are rounded once, at the end,
+before going out as doubles. Sums keep whole and fractional parts apart: both stay plain longs
+on the way, which is several times faster than decimals. An amount or a total beyond what a
+long holds in units raises an error; none is cut off silently.
 """
 
 from decimal import Decimal
@@ -13,7 +14,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
-RATIO = "decimal(18,6)"
+RATIO = "decimal(38,6)"
+# Above it a double has no room for a fraction that scaling could distort.
+PLAIN = 1e14
 
 
 def money(amount: str) -> Column:
@@ -21,8 +24,20 @@ def money(amount: str) -> Column:
 
 
 def _units(value: str, places: int) -> Column:
+    """Whole units of an amount. Only near a tie, where scaling could tip the rounding, and for
+    large numbers is the decimal itself asked; that is slow and rare."""
     number = F.col(value)
-    return F.when(~F.isnan(number), F.floor(number * F.lit(10.0**places) + F.lit(0.5)))
+    scaled = number * F.lit(10.0**places)
+    nearest = F.rint(scaled)
+    clear = (F.abs(scaled - nearest) < 0.4999) & (F.abs(scaled) < PLAIN)
+    exact = number.cast(f"decimal(38,{places})") * F.lit(10**places)
+    beyond = F.raise_error(F.concat(F.lit("amount out of range: "), number.cast("string")))
+    return F.when(
+        number.isNotNull() & ~F.isnan(number),
+        F.when(clear, nearest.cast("bigint"))
+        .when(F.abs(scaled) < 9.2e18, exact.cast("bigint"))
+        .otherwise(beyond.cast("bigint")),
+    )
 
 
 def _revenue_units(amount: str, discount: str) -> Column:
@@ -48,9 +63,12 @@ def money_mean(amount: str) -> Column:
     return (money_sum(amount) / F.nullif(known, F.lit(0))).cast(RATIO)
 
 
-def revenue_sum(amount: str = "l_extendedprice", discount: str = "l_discount") -> Column:
-    """Exact sum of line revenue after a discount given as a fraction."""
-    return _total(_revenue_units(amount, discount), 6)
+def revenue_sum(
+    amount: str = "l_extendedprice", discount: str = "l_discount", where: Column | None = None
+) -> Column:
+    """Exact sum of line revenue after a discount given as a fraction, of the rows ``where``."""
+    units = _revenue_units(amount, discount)
+    return _total(units if where is None else F.when(where, units), 6)
 
 
 def revenue(amount: str = "l_extendedprice", discount: str = "l_discount") -> Column:

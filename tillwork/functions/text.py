@@ -50,8 +50,8 @@ def to_integer(text: Column) -> Column:
 
 def canonical(text: Column, names: dict[str, str]) -> Column:
     """Replace known spellings, whatever their case or padding; keep unknown values."""
-    entries = [F.lit(item) for pair in names.items() for item in pair]
-    return F.coalesce(F.create_map(*entries)[F.lower(F.trim(text))], text)
+    entries = F.array(*[F.struct(F.lit(k), F.lit(v)) for k, v in names.items()])
+    return F.coalesce(F.map_from_entries(entries)[F.lower(F.trim(text))], text)
 
 
 def is_email(text: Column) -> Column:

@@ -4,12 +4,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwork.operators.quantiles import exact_quantiles, most_common
+from tillwork.sources.shared import pin
 
 
 def fill_median(df: DataFrame, *columns: str) -> DataFrame:
-    """Replace nulls by the exact median of the column, one number per column."""
-    medians = exact_quantiles(df, list(columns), {"median": 0.5}).collect()
-    return df.fillna({row["column_name"]: row["median"] for row in medians})
+    """Replace nulls by the exact median of the column."""
+    medians = pin(exact_quantiles(df, list(columns), {"median": 0.5}), "medians")
+
+    def filled(c: str) -> Column:
+        median = medians.filter(F.col("column_name") == c).select(F.max("median")).scalar()
+        return F.coalesce(F.col(c), median.cast(df.schema[c].dataType))
+
+    return df.withColumns({c: filled(c) for c in columns})
 
 
 def fill_approx_median(df: DataFrame, column: str, relative_error: float = 0.01) -> DataFrame:

@@ -21,35 +21,6 @@ def lacking_match(df: DataFrame, other: DataFrame, on: str, key: str) -> DataFra
     return df.join(keys, F.col(on) == F.col("_key"), "left_anti")
 
 
-def outer(left: DataFrame, right: DataFrame, on: str, key: str, how: str) -> DataFrame:
-    """Left, right or full join as matched rows plus unmatched rows.
-
-    In an outer join AQE cannot split a hot key on the side that may be filled with nulls.
-    An inner join it can split, and the unmatched rows come from anti joins on distinct keys.
-    """
-    matched = left.join(right, F.col(on) == F.col(key))
-    parts = [matched]
-    if how in ("left", "full"):
-        parts.append(lacking_match(left, right, on, key))
-    if how in ("right", "full"):
-        parts.append(lacking_match(right, left, key, on))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part, allowMissingColumns=True)
-    return result
-
-
-def with_dimension(
-    facts: DataFrame, dimension: DataFrame, condition, how: str = "inner", max_rows: int = 500_000
-) -> DataFrame:
-    """Broadcast the dimension only once it is known to be small; else a shuffle join.
-
-    The check reads no more than ``max_rows + 1`` rows.
-    """
-    small = dimension.limit(max_rows + 1).count() <= max_rows
-    return facts.join(F.broadcast(dimension) if small else dimension, condition, how)
-
-
 def first_pairs(left: DataFrame, right: DataFrame, left_order, right_order, n: int) -> DataFrame:
     """The first ``n`` pairs of all combinations, ordered by left and then by right.
 

@@ -1,6 +1,7 @@
-"""Bronze, silver and gold layers of the retail lake, each table a VersionedTable.
+"""Bronze, silver and gold layers of the retail lake, each table a published folder.
 
-Layers meet only through storage: a layer is written once and read back by the next.
+Layers meet only through storage: a layer is written once and read back by the next. Columns
+that a layer does not clean pass through it.
 """
 
 from datetime import date
@@ -13,7 +14,7 @@ from tillwork.operators import scd2
 from tillwork.operators.clean import first_by
 from tillwork.operators.flows import clean_orders
 from tillwork.sources.files import with_lineage
-from tillwork.sources.versions import VersionedTable
+from tillwork.sources.published import publish
 
 LINEAGE = ["_ingested_at", "_source_file"]
 
@@ -22,21 +23,16 @@ def silver_customers(bronze: DataFrame) -> DataFrame:
     """One row per customer, city in one spelling. Of several copies the first city wins."""
     tidy = bronze.withColumn("city", F.initcap(F.trim("city")))
     order = [F.col(c) for c in ("city", "customer_name", "email")]
-    return first_by(tidy, ["customer_id"], order).select("customer_id", "customer_name", "email", "city")
+    return first_by(tidy, ["customer_id"], order)
 
 
 def silver_orders(bronze: DataFrame, order: list[Column]) -> DataFrame:
-    return clean_orders(bronze, order).select(
-        "order_id", "customer_id", "product_id", "quantity", "unit_price", "order_date",
-        "delivery_date", "delivery_days", "line_revenue", "order_status", "is_valid_quantity",
-    )
+    return clean_orders(bronze, order)
 
 
 def silver_payments(bronze: DataFrame) -> DataFrame:
     order = [F.col(c) for c in ("order_id", "payment_method", "amount", "payment_status")]
-    return first_by(bronze, ["payment_id"], order).select(
-        "payment_id", "order_id", "payment_method", "amount", "payment_status"
-    )
+    return first_by(bronze, ["payment_id"], order)
 
 
 def gold_monthly_revenue(fulfilled: DataFrame) -> DataFrame:
@@ -72,19 +68,17 @@ def gold_product_performance(fulfilled: DataFrame, products: DataFrame) -> DataF
 
 
 class Lake:
-    """The whole flow below one root folder."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    """The whole flow; holds the path of the newest folder of each table."""
 
-    def table(self, layer: str, name: str) -> VersionedTable:
-        return VersionedTable(self.spark, f"{self.root}/{layer}/{name}")
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[tuple[str, str], str] = {}
 
     def read(self, layer: str, name: str) -> DataFrame:
-        return self.table(layer, name).read()
+        return self.spark.read.parquet(self.paths[layer, name])
 
-    def _publish(self, layer: str, name: str, df: DataFrame, operation: str = "overwrite") -> None:
-        self.table(layer, name).publish(df, operation)
+    def _publish(self, layer: str, name: str, df: DataFrame) -> None:
+        self.paths[layer, name] = publish(df, f"{layer}-{name}")
 
     def build_bronze(self, sources: dict[str, DataFrame]) -> None:
         """Land the sources as they are, with the time of landing and the file of each row."""
@@ -92,19 +86,17 @@ class Lake:
             self._publish("bronze", name, with_lineage(df))
 
     def build_silver(self, order: list[Column], opened: date) -> None:
-        read = lambda name: self.read("bronze", name)
+        read = lambda name: self.read("bronze", name).drop(*LINEAGE)
         self._publish("silver", "customers", silver_customers(read("customers")))
         self._publish("silver", "orders", silver_orders(read("orders"), order))
         self._publish("silver", "payments", silver_payments(read("payments")))
-        products = read("products").drop(*LINEAGE)
-        self._publish("silver", "products", scd2.init(products, opened))
+        self._publish("silver", "products", scd2.init(read("products"), opened))
 
     def reprice(self, changes: DataFrame, at: date) -> None:
         """Apply one batch of prices. One publish holds both closed and opened versions."""
         products = self.read("silver", "products")
-        self._publish(
-            "silver", "products", scd2.apply_changes(products, changes, "product_id", at, ["price"]), "scd2"
-        )
+        repriced = scd2.apply_changes(products, changes, "product_id", at, ["price"])
+        self._publish("silver", "products", repriced)
 
     def build_gold(self, statuses: list[str], segment) -> None:
         orders = self.read("silver", "orders").filter(F.col("order_status").isin(*statuses))

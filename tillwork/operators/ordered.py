@@ -3,6 +3,8 @@
 A plain window sends each group to one task, which fails for a ranking of all customers or
 for a customer that owns a third of the orders. Here the rows are range-partitioned on
 (group, order), so a large group is cut into slices, and the layout is pinned as a table.
+There is a slice for every ROWS_PER_SLICE rows, so slices do not grow with
+the input; the rows are counted first, a pass that reads no values where the input allows it.
 Windows then run per (group, slice). A group that crosses slices gets a summary row per
 slice, from which each slice learns what its group holds in the slices before it.
 """
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 from tillwork.sources.shared import pin
 
 SLICE = "_slice"
+ROWS_PER_SLICE = 2_000_000
 
 
 def over_ordered(
@@ -39,9 +42,10 @@ def over_ordered(
     work = _Windows(
         group, order, ties, bool(rank or dense_rank), running or {}, totals or {}, lag or {}
     )
-    sliced = _slices(df, group, order)
-    rows = work.within_slices(sliced)
-    carried = work.carried(_crossing(sliced, group))
+    count = slice_count(df)
+    sliced = _slices(df, group, order, count)
+    rows = work.within_slices(sliced, count)
+    carried = work.carried(_crossing(sliced, group), count)
 
     # At most two summary rows per slice, so the broadcast is bounded by the slice count.
     match = F.col(SLICE) == F.col("_at_slice")
@@ -79,13 +83,15 @@ def _sorted(order) -> list[Column]:
     return [F.desc(c) if direction == "desc" else F.asc(c) for c, direction in order]
 
 
-def _slice_count(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def slice_count(df: DataFrame, per_slice: int = ROWS_PER_SLICE) -> int:
+    """A slice for every ``per_slice`` rows, and no fewer than a shuffle has partitions."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-df.count() // per_slice))
 
 
-def _slices(df: DataFrame, group: list[str], order) -> DataFrame:
+def _slices(df: DataFrame, group: list[str], order, count: int) -> DataFrame:
     keys = [F.asc(c) for c in group] + _sorted(order)
-    ranged = df.repartitionByRange(_slice_count(df), *keys)
+    ranged = df.repartitionByRange(count, *keys)
     return pin(ranged.withColumn(SLICE, F.spark_partition_id()))
 
 
@@ -112,7 +118,7 @@ class _Windows:
         self.tie_order = order[:ties]
         self.running, self.totals, self.lag = running, totals, lag
 
-    def within_slices(self, sliced: DataFrame) -> DataFrame:
+    def within_slices(self, sliced: DataFrame, count: int) -> DataFrame:
         place = Window.partitionBy(*self.group, SLICE)
         local = place.orderBy(*_sorted(self.order))
         so_far = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -126,10 +132,10 @@ class _Windows:
         columns |= {f"_part_{n}": F.sum(c).over(place) for n, c in self.totals.items()}
         columns["_rows"] = F.count("*").over(place)
         # Ranges of whole slices spread them evenly; hashing their numbers would not.
-        spread = sliced.repartitionByRange(_slice_count(sliced), SLICE)
+        spread = sliced.repartitionByRange(count, SLICE)
         return spread.withColumns(columns)
 
-    def carried(self, crossing: DataFrame) -> DataFrame:
+    def carried(self, crossing: DataFrame, count: int) -> DataFrame:
         """What each slice has to add: one row per (crossing group, slice)."""
         columns = [F.count("*").alias("_rows")]
         columns += [F.sum(c).alias(f"_run_{n}") for n, c in self.running.items()]
@@ -137,7 +143,7 @@ class _Windows:
         rows = crossing
         if self.ranking or self.lag:
             # The first and last row of a slice matter too, so it has to be in order.
-            rows = self.within_slices(crossing)
+            rows = self.within_slices(crossing, count)
             tie = F.struct(*[c for c, _ in self.tie_order])
             columns += [F.max_by(c, "_row").alias(f"_end_{n}") for n, c in self.lag.items()]
             if self.ranking:

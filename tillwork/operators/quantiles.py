@@ -1,14 +1,9 @@
 """Exact quantiles and modes that never gather a column in one task."""
 
-import math
-from dataclasses import dataclass, replace
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A range of at most this many rows is sorted by one task.
-GATHER = 1_000_000
-ACCURACY = 10_000
+from tillwork.operators.ordered import over_ordered
 
 
 def long_values(df: DataFrame, columns: list[str], kind: str) -> DataFrame:
@@ -17,132 +12,30 @@ def long_values(df: DataFrame, columns: list[str], kind: str) -> DataFrame:
     return typed.unpivot([], columns, "column_name", "value").filter("value is not null")
 
 
-@dataclass(frozen=True)
-class _Range:
-    """Where the value at some positions of a column must lie: strictly between two bounds.
-
-    ``below`` values come before the range and ``size`` values lie in it. A range that is
-    known to be one value carries it as ``exact``.
-    """
-
-    column: str
-    positions: frozenset[int]
-    low: float = -math.inf
-    high: float = math.inf
-    below: int = 0
-    size: int = 0
-    exact: float | None = None
-
-    def cell(self) -> Column:
-        return F.col(self.column).cast("double")
-
-    def value(self) -> Column:
-        """The column's value where it lies in the range, else null."""
-        inside = (self.cell() > F.lit(self.low)) & (self.cell() < F.lit(self.high))
-        return F.when(inside, self.cell())
-
-
-def _narrow(df: DataFrame, ranges: list[_Range], slack: int) -> list[_Range]:
-    """Cut each range around its positions: a sketch proposes bounds, exact counts decide.
-
-    The sketch is off by at most size / ACCURACY ranks, so ``slack`` times that on either
-    side should enclose a position. One range per position results. If a position turns out
-    to be a bound itself, however many rows share that value, its value is known.
-    """
-    wanted = [(r, p) for r in ranges for p in sorted(r.positions)]
-    sketches = []
-    for i, (r, p) in enumerate(wanted):
-        share, margin = (p - r.below + 0.5) / r.size, slack / ACCURACY
-        ends = F.array(F.lit(max(0.0, share - margin)), F.lit(min(1.0, share + margin)))
-        sketches.append(F.percentile_approx(r.value(), ends, F.lit(ACCURACY)).alias(f"s{i}"))
-    bounds = df.agg(*sketches).first()
-
-    measures = []
-    for i, (r, _) in enumerate(wanted):
-        low, high = (F.lit(bound) for bound in bounds[f"s{i}"])
-        measures += [
-            F.count_if(r.value() < low).alias(f"before{i}"),
-            F.count_if(r.value() == low).alias(f"low{i}"),
-            F.count_if((r.value() > low) & (r.value() < high)).alias(f"between{i}"),
-            F.count_if(r.value() == high).alias(f"high{i}"),
-        ]
-    counts = df.agg(*measures).first()
-
-    cut = []
-    for i, (r, p) in enumerate(wanted):
-        low, high = bounds[f"s{i}"]
-        one = replace(r, positions=frozenset([p]))
-        first = r.below + counts[f"before{i}"]
-        second = first + counts[f"low{i}"]
-        third = second + counts[f"between{i}"]
-        if first <= p < second:
-            cut.append(replace(one, exact=low))
-        elif second <= p < third:
-            cut.append(replace(one, low=low, high=high, below=second, size=third - second))
-        elif third <= p < third + counts[f"high{i}"]:
-            cut.append(replace(one, exact=high))
-        else:
-            cut.append(one)
-    return cut
-
-
-def exact_quantiles(
-    df: DataFrame, columns: list[str], points: dict[str, float], gather: int = GATHER
-) -> DataFrame:
-    """One row per column with its linearly interpolated quantiles.
+def exact_quantiles(df: DataFrame, columns: list[str], points: dict[str, float]) -> DataFrame:
+    """One row per column with its linearly interpolated quantiles; a column without finite
+    values has none.
 
-    The q-quantile lies between the values at the positions around q * (n - 1). While too
-    many rows surround a position, a sketch of them narrows the range by three orders of
-    magnitude, at the cost of two scans and no shuffle of values. Counts decide, not the
-    sketch, so the values at the positions are exact. Only bounds and counts, a few numbers
-    per column, come to the driver.
+    Cells are counted per distinct value first, on the map side too, so a value that many rows
+    share is one row. The counts are summed up in the order of the values, in even slices, and
+    the q-quantile lies between the values that cover the positions around q * (n - 1).
     """
-    sizes = df.agg(*[F.count(_Range(c, frozenset()).value()).alias(c) for c in columns]).first()
-    spots = {(c, name): q * (sizes[c] - 1) for c in columns if sizes[c] for name, q in points.items()}
-    ranges = []
-    for c in columns:
-        at = {side(s) for (name, _), s in spots.items() if name == c for side in (math.floor, math.ceil)}
-        if at:
-            ranges.append(_Range(c, frozenset(at), size=sizes[c]))
-
-    slack = 5
-    while any(r.size > gather and r.exact is None for r in ranges):
-        large = [r for r in ranges if r.size > gather and r.exact is None]
-        ranges = [r for r in ranges if r not in large] + _narrow(df, large, slack)
-        slack *= 2
-
-    cells = [
-        F.struct(F.lit(i).alias("range"), r.value().alias("value"))
-        for i, r in enumerate(ranges)
-        if r.exact is None
-    ]
-    nothing = F.struct(F.lit(-1).alias("range"), F.lit(None).cast("double").alias("value"))
-    inside = df.select(F.explode(F.array(*cells or [nothing])).alias("cell")).select("cell.*")
-    counts = inside.filter("value is not null").groupBy("range", "value").count()
-    so_far = Window.partitionBy("range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    placed = counts.withColumn("upto", F.sum("count").over(so_far))
-
-    def value_at(column: str, position: int) -> Column:
-        i, r = next((i, r) for i, r in enumerate(ranges) if r.column == column and position in r.positions)
-        if r.exact is not None:
-            return F.lit(r.exact)
-        inner = position - r.below
-        here = (F.col("range") == i) & (F.col("upto") > inner) & (F.col("upto") - F.col("count") <= inner)
-        return F.max(F.when(here, F.col("value")))
-
-    found = []
-    for (c, name), spot in spots.items():
-        low, high = value_at(c, math.floor(spot)), value_at(c, math.ceil(spot))
-        found.append((low + (high - low) * F.lit(spot - math.floor(spot))).alias(f"{c}.{name}"))
-    one = placed.agg(F.count("*"), *found)
-    per_column = [
-        F.struct(F.lit(c).alias("column_name"), *[F.col(f"`{c}.{name}`").alias(name) for name in points])
-        for c in columns
-        if sizes[c]
-    ]
-    none = F.struct(F.lit("").alias("column_name"), *[F.lit(0.0).alias(name) for name in points])
-    listed = F.explode(F.array(*per_column)) if per_column else F.explode(F.slice(F.array(none), 1, 0))
-    return one.select(listed.alias("q")).select("q.*")
+    cells = long_values(df, columns, "double").filter(F.abs("value") < float("inf"))
+    counts = cells.groupBy("column_name", "value").agg(F.count("*").alias("n"))
+    placed = over_ordered(
+        counts, [("value", "asc")], ["column_name"], running={"upto": "n"}, totals={"size": "n"}
+    )
+
+    def value_at(position):
+        covers = (F.col("upto") > position) & (F.col("upto") - F.col("n") <= position)
+        return F.max(F.when(covers, F.col("value")))
+
+    found = {}
+    for name, q in points.items():
+        spot = F.lit(q) * (F.col("size") - 1)
+        low, high = value_at(F.floor(spot)), value_at(F.ceil(spot))
+        found[name] = low + (high - low) * F.max(spot - F.floor(spot))
+    return placed.groupBy("column_name").agg(*[v.alias(name) for name, v in found.items()])
 
 
 def most_common(df: DataFrame, column: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwork.operators.ordered import over_ordered
+from tillwork.sources.shared import pin
 
 VALIDITY = ["effective_date", "end_date", "is_current"]
 
@@ -122,14 +123,48 @@ def take_stock(stock: DataFrame, demand: DataFrame, key: str, level: str, quanti
 def guard_stock(demand: DataFrame, stock: DataFrame, order: str, item: str, quantity: str, level: str) -> DataFrame:
     """Accept the orders whose every item is still in stock when its turn comes.
 
-    ``demand`` has one row per (order, item). Orders are served in the order of their key,
-    and an order that is refused still counts against the ones behind it.
+    ``demand`` has one row per (order, item). Orders are served in the order of their key; a
+    refused one takes nothing. What an order finds depends on all orders before it, so each
+    round decides those that are certain: accepted if there is enough even if every undecided
+    order before it is served, refused if there is not even when none of them is. Refused
+    orders leave, which decides others; the first undecided order is always decided, and in
+    practice a round decides about half of the rest.
     """
-    served = over_ordered(demand, [(order, "asc")], group=[item], running={"_asked": quantity})
-    joined = served.join(stock, item, "left")
-    fits = F.coalesce(F.col("_asked") <= F.col(level), F.lit(False))
-    return joined.groupBy(order).agg(
-        F.count("*").alias("items"),
-        F.count_if(fits).alias("items_in_stock"),
-        F.every(fits).alias("accepted"),
+    rows = demand.join(stock, item, "left").select(
+        order, item, quantity, F.coalesce(level, F.lit(-1)).alias("_level"), F.lit(None).cast("boolean").alias("_taken")
+    )
+    rows = pin(rows, "demand")
+    all_rows, decided = rows, None
+
+    def served(work: DataFrame) -> DataFrame:
+        asked = work.withColumn("_sure", F.when(F.col("_taken"), F.col(quantity)).otherwise(0))
+        return over_ordered(asked, [(order, "asc")], group=[item], running={"_most": quantity, "_least": "_sure"})
+
+    while True:
+        open_rows = served(rows).filter(F.col("_taken").isNull())
+        verdicts = open_rows.groupBy(order).agg(
+            F.every(F.col("_most") <= F.col("_level")).alias("_enough"),
+            F.every(F.col("_least") + F.col(quantity) <= F.col("_level")).alias("_possible"),
+        )
+        taken = F.when(F.col("_enough"), True).when(~F.col("_possible"), False)
+        found = verdicts.select(F.col(order).alias("_order"), taken.alias("_now")).filter("_now is not null")
+        found = pin(found, "verdicts")
+        if found.isEmpty():
+            break
+        decided = found if decided is None else decided.unionByName(found)
+        met = rows.join(found, F.col(order).eqNullSafe(F.col("_order")), "left")
+        left = met.withColumn("_taken", F.coalesce("_taken", "_now")).drop("_order", "_now")
+        rows = pin(left.filter(F.coalesce("_taken", F.lit(True))), "demand")
+
+    # What each order found: the accepted ones before it, without itself.
+    last = all_rows.drop("_taken")
+    if decided is None:
+        last = last.withColumn("_taken", F.lit(False))
+    else:
+        last = last.join(decided, F.col(order).eqNullSafe(F.col("_order")), "left").drop("_order")
+        last = last.withColumnRenamed("_now", "_taken")
+    before = F.col("_least") - F.col("_sure")
+    fits = before + F.col(quantity) <= F.col("_level")
+    return served(last).groupBy(order).agg(
+        F.count("*").alias("items"), F.count_if(fits).alias("items_in_stock"), F.every(fits).alias("accepted")
     )

@@ -24,7 +24,8 @@ class Constraints:
 
 
 def _key_text(key: list[str]) -> Column:
-    return F.concat_ws("|", *[F.col(c).cast("string") for c in key])
+    """The key as text, with its nulls. Rows are grouped by the key itself, not by this."""
+    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("<null>")) for c in key])
 
 
 def violations(df: DataFrame, key: list[str], rules: Constraints) -> DataFrame:
@@ -35,8 +36,13 @@ def violations(df: DataFrame, key: list[str], rules: Constraints) -> DataFrame:
     broken = {f"not_null:{c}": F.col(c).isNull() for c in rules.not_null}
     broken |= {f"check:{name}": ~test for name, test in rules.checks.items()}
     names = F.array(*[F.when(bad, F.lit(name)) for name, bad in broken.items()])
-    per_row = df.select(_key_text(key).alias("row_key"), F.explode(F.array_compact(names)).alias("rule"))
-    found = per_row.groupBy("rule", "row_key").agg(F.count("*").alias("occurrences"))
+    per_row = df.select(*key, F.explode(F.array_compact(names)).alias("rule"))
+
+    def counted(rows: DataFrame) -> DataFrame:
+        groups = rows.groupBy("rule", *key).agg(F.count("*").alias("occurrences"))
+        return groups.select("rule", _key_text(key).alias("row_key"), "occurrences")
+
+    found = counted(per_row)
     for columns in rules.unique:
         again = copies(df.select(*columns), *columns).select(
             F.lit("unique:" + "+".join(columns)).alias("rule"),
@@ -46,10 +52,8 @@ def violations(df: DataFrame, key: list[str], rules: Constraints) -> DataFrame:
         found = found.unionByName(again)
     for column, (parent, parent_key) in rules.references.items():
         lost = lacking_match(df.filter(F.col(column).isNotNull()), parent, column, parent_key)
-        lost = lost.select(_key_text(key).alias("row_key")).groupBy("row_key").agg(
-            F.count("*").alias("occurrences")
-        )
-        found = found.unionByName(lost.withColumn("rule", F.lit(f"references:{column}")))
+        lost = lost.select(*key, F.lit(f"references:{column}").alias("rule"))
+        found = found.unionByName(counted(lost))
     return found
 
 

@@ -9,7 +9,7 @@ from tillwork.functions.money import amount, money, money_sum, revenue
 from tillwork.plans import sql
 from tillwork.plans.catalog import ORDER_CUTS, query, tier
 from tillwork.sources import files
-from tillwork.sources.shared import new_folder
+from tillwork.sources.shared import new_folder, pin
 from tillwork.sources.tables import SCHEMAS
 
 LINEITEM = "SELECT * FROM lineitem"
@@ -17,14 +17,15 @@ LINEITEM = "SELECT * FROM lineitem"
 
 # --- sources and sinks -------------------------------------------------------------------
 
-@query("SELECT * FROM orders")
+@query("SELECT *, 'int int string double timestamp string' AS inferred FROM orders")
 def scan_csv(t):
     path = new_folder(t.spark, "orders-csv")
     files.write_csv(t.orders, path)
     read = files.read_csv(t.spark, path)
-    # Inference finds ints and zoned timestamps: restore the declared types.
+    # Inference finds ints and zoned timestamps: say so, and restore the declared types.
     return read.select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in t.orders.schema.fields]
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in t.orders.schema.fields],
+        F.lit(" ".join(kind for _, kind in read.dtypes)).alias("inferred"),
     )
 
 
@@ -89,14 +90,42 @@ def validated_copy(t):
     )
 
 
-@query()
+@query("""
+SELECT 'parquet' AS format, TRUE AS has_files, FALSE AS is_larger UNION ALL SELECT 'csv', TRUE, TRUE
+""")
 def dataset_size(t):
-    """Size on disk of one table as Parquet and as CSV. Bytes have no SQL equivalent."""
+    """One table on disk as Parquet and as CSV: which takes more bytes."""
     as_csv = new_folder(t.spark, "size-csv")
     files.write_csv(t.lineitem, as_csv)
-    sizes = files.dataset_size(t.spark, t.path("lineitem")).withColumn("format", F.lit("parquet"))
-    return sizes.unionByName(
-        files.dataset_size(t.spark, as_csv).withColumn("format", F.lit("csv"))
+    parquet, csv = files.dataset_size(t.spark, t.path("lineitem")), files.dataset_size(t.spark, as_csv)
+    listed = lambda own, other, name: own.select(
+        F.lit(name).alias("format"),
+        (F.col("files") > 0).alias("has_files"),
+        (F.col("bytes") > other.select("bytes").scalar()).alias("is_larger"),
+    )
+    return listed(parquet, csv, "parquet").unionByName(listed(csv, parquet, "csv"))
+
+
+@query(f"SELECT o_orderstatus, o_orderpriority, {sql.count()} AS orders FROM orders GROUP BY 1, 2")
+def sink_report(t):
+    """A report as a sorted CSV, read back."""
+    path = new_folder(t.spark, "report")
+    counts = t.orders.groupBy("o_orderstatus", "o_orderpriority").agg(F.count("*").alias("orders"))
+    files.write_report(counts, path, "o_orderstatus", "o_orderpriority")
+    return files.read_csv(t.spark, path, "o_orderstatus string, o_orderpriority string, orders bigint")
+
+
+@query(f"""
+WITH v AS (SELECT o_custkey, SUM({sql.TOTAL}) AS spend FROM orders GROUP BY o_custkey)
+SELECT o_custkey, {sql.amount('spend')} AS spend,
+       {sql.amount('spend - (SELECT MIN(spend) FROM v)')} AS above_least FROM v
+""")
+def reuse_intermediate(t):
+    """An intermediate that two readers share is written once and not computed again."""
+    spend = pin(t.orders.groupBy("o_custkey").agg(money_sum("o_totalprice").alias("spend")), "spend")
+    least = spend.agg(F.min("spend")).scalar()
+    return spend.select(
+        "o_custkey", amount(F.col("spend")).alias("spend"), amount(F.col("spend") - least).alias("above_least")
     )
 
 

@@ -16,7 +16,7 @@ from tillwork.functions.money import (
     revenue_sum,
 )
 from tillwork.operators.joins import best_with_ties, having_match
-from tillwork.plans import sql
+from tillwork.plans import raw, sql
 from tillwork.plans.catalog import fulfilled, query
 from tillwork.plans.joining import on
 
@@ -492,14 +492,14 @@ PART_REVENUE = f"SELECT l_partkey, SUM({sql.REV}) AS revenue FROM lineitem GROUP
 
 
 @query(f"""
-SELECT p_partkey, p_name, p_type, (SELECT {sql.amount(f'SUM({sql.REV})')} FROM lineitem
-       WHERE l_partkey = p_partkey AND l_returnflag = 'R' AND l_tax > 0.07) AS product_revenue
+SELECT p_partkey, p_name, p_type, (SELECT {sql.amount(f'SUM({sql.REV})')}
+       FROM {raw.renumbered_sql("lineitem", "l_partkey")} WHERE l_partkey = p_partkey) AS product_revenue
 FROM part
 """)
 def product_revenue(t):
     """A correlated total per product; a product that never sold has none."""
-    chosen = t.lineitem.filter("l_returnflag = 'R' and l_tax > 0.07")
-    totals = chosen.groupBy("l_partkey").agg(amount(revenue_sum()).alias("product_revenue"))
+    lines = raw.renumbered(t.lineitem, "l_partkey")
+    totals = lines.groupBy("l_partkey").agg(amount(revenue_sum()).alias("product_revenue"))
     joined = t.part.join(totals, on("p_partkey", "l_partkey"), "left")
     return joined.select("p_partkey", "p_name", "p_type", "product_revenue")
 

@@ -2,6 +2,7 @@
 
 from datetime import date
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tillwork.functions.dates import day, month_label, month_of, months_between, preceding, period, within
@@ -18,6 +19,7 @@ from tillwork.plans.catalog import (
     tier,
 )
 from tillwork.plans.joining import on
+from tillwork.sources.shared import pin
 
 
 # --- customers ---------------------------------------------------------------------------
@@ -347,31 +349,58 @@ GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 50
 def bought_together(t):
     """Product names sold in one order: how many pairs of lines with two products.
 
-    The pairs of lines are counted, not built. An order shrinks to one entry per name: n
-    lines, of which ``same`` pairs (ordered, with itself) share a product. Two names then
-    meet n_a * n_b times, and a name meets itself (n * n - same) / 2 times. An entry list is
-    never longer than the list of names, and its counts add up before they are shuffled.
+    Pairs of lines are counted, not built: an order shrinks to one row per name, n lines of
+    which ``same`` pairs (ordered, with itself) share a product. Two names then meet n_a * n_b
+    times, and a name meets itself (n * n - same) / 2 times. Only names that can be in the
+    result are paired, by a join on the order that AQE can split; no basket is gathered.
     """
     lines = t.lineitem.filter(F.col("l_orderkey").isNotNull())
     parts = lines.groupBy("l_orderkey", "l_partkey").agg(F.count("*").alias("n"))
     named = parts.join(t.part, on("l_partkey", "p_partkey")).groupBy("l_orderkey", "p_name").agg(
         F.sum(F.col("n") * F.col("n")).alias("same"), F.sum("n").alias("n")
     )
-    baskets = named.groupBy("l_orderkey").agg(
-        F.sort_array(F.collect_list(F.struct("p_name", "n", "same"))).alias("basket")
-    )
-    first = baskets.select("basket", F.posexplode("basket").alias("at", "a"))
-    onwards = F.slice("basket", F.col("at") + 1, F.size("basket"))
-    met = first.select("a", F.explode(onwards).alias("b"))
+    counted = pairs_of(named.filter(F.col("p_name").isNotNull()), BASKET_PAIRS)
+    return counted.orderBy(F.desc("times_bought_together"), "product_a", "product_b").limit(BASKET_PAIRS)
+
+
+BASKET_PAIRS = 50
+
+
+def _meetings(named):
+    """How often each two names of ``named`` (l_orderkey, p_name, n, same) meet."""
+    a, b = named.alias("a"), named.alias("b")
+    met = a.join(b, on("a.l_orderkey", "b.l_orderkey") & (F.col("a.p_name") <= F.col("b.p_name")))
     itself = F.expr("(a.n * a.n - a.same) div 2")
-    times = F.when(F.col("a.p_name") == F.col("b.p_name"), itself).otherwise(
-        F.col("a.n") * F.col("b.n")
-    )
+    times = F.when(F.col("a.p_name") == F.col("b.p_name"), itself).otherwise(F.col("a.n") * F.col("b.n"))
     counted = met.groupBy(
         F.col("a.p_name").alias("product_a"), F.col("b.p_name").alias("product_b")
     ).agg(F.sum(times).alias("times_bought_together"))
-    found = counted.filter("times_bought_together > 0")
-    return found.orderBy(F.desc("times_bought_together"), "product_a", "product_b").limit(50)
+    return counted.filter("times_bought_together > 0")
+
+
+def pairs_of(named, wanted: int):
+    """The meetings of all names that can be among the ``wanted`` most frequent pairs.
+
+    In an order a name meets another no oftener than its lines times the most lines of any name
+    there, which bounds every pair from above by each of its names. The names with the highest
+    bounds give exact counts, the last of which bounds the result from below; names that stay
+    under that go before any pairing.
+    """
+    named = pin(named, "baskets")
+    whole = named.groupBy(F.col("l_orderkey").alias("order")).agg(F.max("n").alias("top"))
+    meets = F.col("n") * F.col("top")
+    most = named.join(whole, on("l_orderkey", "order")).groupBy(F.col("p_name").alias("name")).agg(
+        F.sum(meets).alias("most")
+    )
+    most = pin(most, "meetings")
+    few = most.orderBy(F.desc("most"), "name").limit(2 * wanted).select("name")
+    first = _meetings(named.join(few, on("p_name", "name"), "left_semi"))
+    ranked = first.orderBy(F.desc("times_bought_together")).limit(wanted)
+    bound = ranked.agg(
+        F.when(F.count("*") == wanted, F.min("times_bought_together")).otherwise(0)
+    ).scalar()
+    hopeful = most.filter(F.col("most") >= bound).select("name")
+    return _meetings(named.join(hopeful, on("p_name", "name"), "left_semi"))
 
 
 # --- orders ------------------------------------------------------------------------------
@@ -465,14 +494,71 @@ def event_funnel(t):
 # --- period report -----------------------------------------------------------------------
 
 REPORT_DAY = date(1998, 6, 17)
+KINDS = ["daily", "weekly", "monthly"]
+TOP = 3
+
+
+def _bounds(kind: str):
+    start, end = period(kind, F.lit(REPORT_DAY))
+    return start, end, *preceding(start, end)
+
+
+def marked_orders(t):
+    """The orders of the widest range, marked for each report as of now or of the time before."""
+    bounds = {kind: _bounds(kind) for kind in KINDS}
+    first = F.least(*[before for _, _, before, _ in bounds.values()])
+    last = F.greatest(*[end for _, end, _, _ in bounds.values()])
+    placed = day("o_orderdate")
+    marks = {}
+    for kind, (start, end, before, before_end) in bounds.items():
+        marks[f"{kind}_now"] = placed.between(start, end)
+        marks[f"{kind}_before"] = placed.between(before, before_end)
+    chosen = t.orders.filter(within("o_orderdate", first, last))
+    return chosen.select("o_orderkey", "o_custkey", *[m.alias(name) for name, m in marks.items()])
+
+
+SIDES = [f"{kind}_{side}" for kind in KINDS for side in ("now", "before")]
+
+
+def product_sales(t, chosen):
+    """Revenue per product name and mark, from one scan of the order lines."""
+    lines = t.lineitem.join(chosen, on("l_orderkey", "o_orderkey"))
+    sums = [revenue_sum(where=F.col(side)).alias(side) for side in SIDES]
+    named = lines.groupBy("l_partkey").agg(*sums).join(t.part, on("l_partkey", "p_partkey"), "left")
+    return named.groupBy(F.col("p_name").alias("product")).agg(*[F.sum(s).alias(s) for s in SIDES])
+
+
+def top_products(sales):
+    """The products of each report that earn most: report, rank, product, total."""
+    totals = [F.struct(F.lit(k).alias("report"), F.col(f"{k}_now").alias("total")) for k in KINDS]
+    long = sales.filter("product is not null").select("product", F.inline(F.array(*totals)))
+    order = Window.partitionBy("report").orderBy(F.desc("total"), "product")
+    ranked = long.filter("total is not null").withColumn("rank", F.row_number().over(order))
+    return ranked.filter(F.col("rank") <= TOP)
+
+
+def _top_sql(kind: str) -> str:
+    start, end = f"({_range_sql(kind)[0]})", f"({_range_sql(kind)[1]})"
+    return f"""
+SELECT '{kind}' AS report, ROW_NUMBER() OVER (ORDER BY SUM({sql.REV}) DESC, p_name) AS rank,
+       p_name AS product, SUM({sql.REV}) AS total
+FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_partkey
+WHERE CAST(o_orderdate AS DATE) BETWEEN {start} AND {end} GROUP BY p_name QUALIFY rank <= {TOP}"""
+
+
+def _range_sql(kind: str) -> tuple[str, str, str, str]:
+    at = f"DATE '{REPORT_DAY}'"
+    start = {"daily": at, "weekly": f"CAST(date_trunc('week', {at}) AS DATE)",
+             "monthly": f"CAST(date_trunc('month', {at}) AS DATE)"}[kind]
+    end = {"daily": at, "weekly": f"{start} + 6", "monthly": f"last_day({at})"}[kind]
+    return start, end, f"{start} - 1 - CAST({end} - {start} AS INTEGER)", f"{start} - 1"
 
 
 def _report_sql(kind: str) -> str:
-    start, end = period(kind, REPORT_DAY)
-    before, before_end = preceding(start, end)
+    start, end, before, before_end = _range_sql(kind)
 
     def part(name, first, last):
-        days = f"CAST(o_orderdate AS DATE) BETWEEN DATE '{first}' AND DATE '{last}'"
+        days = f"CAST(o_orderdate AS DATE) BETWEEN {first} AND {last}"
         return (
             f"{name} AS (SELECT COUNT(DISTINCT o_orderkey) AS orders, COUNT(DISTINCT o_custkey) AS customers,"
             f" (SELECT COALESCE(SUM({sql.REV}), 0) FROM orders JOIN lineitem ON o_orderkey = l_orderkey"
@@ -484,75 +570,63 @@ def _report_sql(kind: str) -> str:
         for c in ("orders", "revenue", "customers")
     )
     return (
-        f"WITH {part('n', start, end)}, {part('p', before, before_end)} SELECT '{kind}' AS report,"
-        f" DATE '{start}' AS start_date, DATE '{end}' AS end_date, CAST(n.orders AS BIGINT) AS total_orders,"
+        f"WITH {part('n', start, end)}, {part('p', before, before_end)}, b AS ({_top_sql(kind)}) SELECT '{kind}' AS report,"
+        f" CAST({start} AS DATE) AS start_date, CAST({end} AS DATE) AS end_date, CAST(n.orders AS BIGINT) AS total_orders,"
         f" {sql.amount('n.revenue')} AS total_revenue, CAST(n.customers AS BIGINT) AS unique_customers,"
-        f" {changes} FROM n, p"
+        f" {changes}, COALESCE((SELECT STRING_AGG(product, ', ' ORDER BY rank) FROM b), '') AS top_products FROM n, p"
     )
 
 
-def period_summary(t, kind: str, anchor: date):
-    """A period's totals and their change against the period of equal length before it."""
-    start, end = period(kind, anchor)
-    before, _ = preceding(start, end)
-    placed = day("o_orderdate")
-    chosen = t.orders.filter(within("o_orderdate", before, end)).select(
-        "o_orderkey", "o_custkey", (placed >= F.lit(start)).alias("now")
-    )
-    values = t.lineitem.join(
-        chosen.select("o_orderkey"), on("l_orderkey", "o_orderkey"), "left_semi"
-    ).groupBy("l_orderkey").agg(revenue_sum().alias("value"))
-    rows = chosen.join(values, on("o_orderkey", "l_orderkey"), "left")
-
-    def side(condition, tag):
-        return [
-            F.countDistinct(F.when(condition, F.col("o_orderkey"))).alias(f"orders_{tag}"),
-            F.countDistinct(F.when(condition, F.col("o_custkey"))).alias(f"customers_{tag}"),
-            F.coalesce(F.sum(F.when(condition, F.col("value"))), F.lit(0)).alias(f"revenue_{tag}"),
-        ]
-
-    both = rows.agg(*side(F.col("now"), "now"), *side(~F.col("now"), "before"))
-    changes = [
-        percent_change(F.col(f"{c}_before"), F.col(f"{c}_now")).alias(f"{c}_change_pct")
-        for c in ("orders", "revenue", "customers")
-    ]
-    return both.select(
-        F.lit(kind).alias("report"),
-        F.lit(start).alias("start_date"),
-        F.lit(end).alias("end_date"),
-        F.col("orders_now").alias("total_orders"),
-        amount(F.col("revenue_now")).alias("total_revenue"),
-        F.col("customers_now").alias("unique_customers"),
-        *changes,
-    )
-
-
-KINDS = ["daily", "weekly", "monthly"]
-
-
 @query(" UNION ALL ".join(f"SELECT * FROM ({_report_sql(kind)})" for kind in KINDS))
 def period_report(t):
-    reports = [period_summary(t, kind, REPORT_DAY) for kind in KINDS]
-    result = reports[0]
-    for one in reports[1:]:
-        result = result.unionByName(one)
-    return result
+    """Totals of a day, a week and a month, their change against the time before, best products.
+
+    Orders shrink to one row per customer before they are counted; order keys are unique.
+    """
+    chosen = marked_orders(t)
+    per_customer = chosen.groupBy("o_custkey").agg(*[F.count_if(s).alias(s) for s in SIDES])
+    known = F.col("o_custkey").isNotNull()
+    counts = per_customer.agg(
+        *[F.coalesce(F.sum(s), F.lit(0)).alias(f"orders_{s}") for s in SIDES],
+        *[F.count_if(known & (F.col(s) > 0)).alias(f"customers_{s}") for s in SIDES],
+    )
+    sales = product_sales(t, chosen)
+    zero = F.lit(0).cast("decimal(38,6)")
+    money = sales.agg(*[F.coalesce(F.sum(s), zero).alias(f"revenue_{s}") for s in SIDES])
+    best = top_products(sales).groupBy("report").agg(
+        F.sort_array(F.collect_list(F.struct("rank", "product"))).alias("best")  # TOP of them
+    )
 
+    def line(kind: str):
+        start, end = period(kind, F.lit(REPORT_DAY))
+        now = lambda what: F.col(f"{what}_{kind}_now")
+        changes = [
+            percent_change(F.col(f"{what}_{kind}_before"), now(what)).alias(f"{what}_change_pct")
+            for what in ("orders", "revenue", "customers")
+        ]
+        return F.struct(
+            F.lit(kind).alias("report"),
+            start.alias("start_date"),
+            end.alias("end_date"),
+            now("orders").alias("total_orders"),
+            amount(now("revenue")).alias("total_revenue"),
+            now("customers").alias("unique_customers"),
+            *changes,
+        )
 
-MONTH = period("monthly", REPORT_DAY)
+    earned = money.select(F.struct(*money.columns)).scalar()
+    totals = counts.withColumn("earned", earned).select("*", "earned.*")
+    reports = totals.select(F.inline(F.array(*map(line, KINDS))))
+    names = F.array_join(F.transform("best", lambda b: b["product"]), ", ")
+    joined = reports.join(best.withColumnRenamed("report", "of"), on("report", "of"), "left")
+    return joined.select(*reports.columns, F.coalesce(names, F.lit("")).alias("top_products"))
 
 
-@query(f"""
-SELECT p_name AS product, {sql.amount(f'SUM({sql.REV})')} AS revenue
-FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_partkey
-WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '{MONTH[0]}' AND DATE '{MONTH[1]}'
-GROUP BY p_name ORDER BY SUM({sql.REV}) DESC, p_name LIMIT 3
-""")
+@query(
+    f"SELECT report, CAST(rank AS INTEGER) AS rank, product, {sql.amount('total')} AS revenue FROM ("
+    + " UNION ALL ".join(f"({_top_sql(kind)})" for kind in KINDS)
+    + ")"
+)
 def period_top_products(t):
-    start, end = MONTH
-    chosen = t.orders.filter(within("o_orderdate", start, end))
-    lines = t.lineitem.join(chosen, on("l_orderkey", "o_orderkey"), "left_semi")
-    named = sales_per_part(lines).join(t.part, on("l_partkey", "p_partkey"))
-    grouped = named.groupBy(F.col("p_name").alias("product")).agg(F.sum("revenue").alias("total"))
-    top = grouped.orderBy(F.desc("total"), "product").limit(3)
-    return top.select("product", amount(F.col("total")).alias("revenue"))
+    best = top_products(product_sales(t, marked_orders(t)))
+    return best.select("report", "rank", "product", amount(F.col("total")).alias("revenue"))

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tillwork.functions.money import amount, money_sum, revenue, revenue_sum
 from tillwork.operators import joins
-from tillwork.plans import sql
+from tillwork.plans import raw, sql
 from tillwork.plans.catalog import fulfilled, query
 
 
@@ -96,13 +96,14 @@ FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey =
 WHERE {sql.FULFILLED} GROUP BY c_custkey, c_name, n_name
 """)
 def join_broadcast(t):
-    """Customer and nation attributes go onto spend per customer, broadcast while small."""
+    """Customer and nation attributes go onto spend per customer; Spark broadcasts what its
+    statistics or the running query show to be small."""
     spend = fulfilled(t.orders).groupBy("o_custkey").agg(
         F.count("o_orderkey").alias("total_orders"),
         amount(money_sum("o_totalprice")).alias("lifetime_spend"),
     )
-    named = joins.with_dimension(spend, t.customer, on("o_custkey", "c_custkey"))
-    placed = joins.with_dimension(named, t.nation, on("c_nationkey", "n_nationkey"))
+    named = spend.join(t.customer, on("o_custkey", "c_custkey"))
+    placed = named.join(t.nation, on("c_nationkey", "n_nationkey"))
     return placed.select(
         "c_custkey", "c_name", F.col("n_name").alias("city"), "total_orders", "lifetime_spend"
     )
@@ -110,45 +111,38 @@ def join_broadcast(t):
 
 # --- outer joins -------------------------------------------------------------------------
 
-@query(f"""
-SELECT {CUSTOMER_ORDERS_SQL}, o_totalprice FROM customer
-LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus = 'F') ON c_custkey = o_custkey
-""")
-def join_left(t):
-    joined = joins.outer(t.customer, finished(t), "c_custkey", "o_custkey", "left")
-    return joined.select(*CUSTOMER_ORDERS, "o_totalprice")
+RENUMBERED_ORDERS = raw.renumbered_sql("orders", "o_custkey")
 
 
-BUILDERS = "SELECT * FROM customer WHERE c_mktsegment = 'BUILDING'"
+def renumbered_orders(t):
+    return raw.renumbered(t.orders, "o_custkey")
 
 
-def builders(t):
-    return t.customer.filter("c_mktsegment = 'BUILDING'")
+def with_orders(t, how: str):
+    return t.customer.join(renumbered_orders(t), on("c_custkey", "o_custkey"), how)
 
 
-@query(f"SELECT {CUSTOMER_ORDERS_SQL} FROM ({BUILDERS}) RIGHT JOIN orders ON c_custkey = o_custkey")
-def join_right(t):
-    joined = joins.outer(builders(t), t.orders, "c_custkey", "o_custkey", "right")
-    return joined.select(*CUSTOMER_ORDERS)
+@query(f"""
+SELECT {CUSTOMER_ORDERS_SQL}, o_totalprice FROM customer LEFT JOIN {RENUMBERED_ORDERS} ON c_custkey = o_custkey
+""")
+def join_left(t):
+    return with_orders(t, "left").select(*CUSTOMER_ORDERS, "o_totalprice")
 
 
-FULL = f"""
-FROM ({BUILDERS}) FULL JOIN (SELECT * FROM orders WHERE o_orderstatus = 'F') ON c_custkey = o_custkey
-"""
+@query(f"SELECT {CUSTOMER_ORDERS_SQL} FROM customer RIGHT JOIN {RENUMBERED_ORDERS} ON c_custkey = o_custkey")
+def join_right(t):
+    return with_orders(t, "right").select(*CUSTOMER_ORDERS)
 
 
-@query(f"SELECT {CUSTOMER_ORDERS_SQL} {FULL}")
+@query(f"SELECT {CUSTOMER_ORDERS_SQL} FROM customer FULL JOIN {RENUMBERED_ORDERS} ON c_custkey = o_custkey")
 def join_full(t):
-    joined = joins.outer(builders(t), finished(t), "c_custkey", "o_custkey", "full")
-    return joined.select(*CUSTOMER_ORDERS)
+    return with_orders(t, "full").select(*CUSTOMER_ORDERS)
 
 
 @query(f"""
-SELECT {CUSTOMER_ORDERS_SQL} FROM ({BUILDERS})
-LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus = 'F') ON c_custkey = o_custkey
+SELECT {CUSTOMER_ORDERS_SQL} FROM customer LEFT JOIN {RENUMBERED_ORDERS} ON c_custkey = o_custkey
 UNION
-SELECT {CUSTOMER_ORDERS_SQL} FROM ({BUILDERS})
-RIGHT JOIN (SELECT * FROM orders WHERE o_orderstatus = 'F') ON c_custkey = o_custkey
+SELECT {CUSTOMER_ORDERS_SQL} FROM customer RIGHT JOIN {RENUMBERED_ORDERS} ON c_custkey = o_custkey
 """)
 def join_full_union(t):
     """A left and a right join made into a set are the full join without copies."""
@@ -158,12 +152,12 @@ def join_full_union(t):
 @query(f"""
 SELECT p_partkey, p_name, {sql.count('l_orderkey')} AS times_purchased,
        CAST(SUM(l_quantity) AS BIGINT) AS total_quantity
-FROM part LEFT JOIN (SELECT * FROM lineitem WHERE l_returnflag = 'R') ON p_partkey = l_partkey
+FROM part LEFT JOIN {raw.renumbered_sql("lineitem", "l_partkey")} ON p_partkey = l_partkey
 GROUP BY p_partkey, p_name
 """)
 def join_left_agg(t):
     """Sums per part first, so the join is one to one whatever the popularity of a part."""
-    sold = t.lineitem.filter("l_returnflag = 'R'").groupBy("l_partkey").agg(
+    sold = raw.renumbered(t.lineitem, "l_partkey").groupBy("l_partkey").agg(
         F.count("l_orderkey").alias("n"), F.sum("l_quantity").cast("bigint").alias("total_quantity")
     )
     joined = t.part.join(sold, on("p_partkey", "l_partkey"), "left")
@@ -174,12 +168,12 @@ def join_left_agg(t):
 
 # --- semi and anti joins -----------------------------------------------------------------
 
-@query("""
+@query(f"""
 SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN
-    (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_custkey IS NOT NULL)
+    (SELECT o_custkey FROM {RENUMBERED_ORDERS} WHERE o_custkey IS NOT NULL)
 """)
 def customers_without_orders(t):
-    lacking = joins.lacking_match(t.customer, finished(t), "c_custkey", "o_custkey")
+    lacking = joins.lacking_match(t.customer, renumbered_orders(t), "c_custkey", "o_custkey")
     return lacking.select("c_custkey", "c_name")
 
 

@@ -362,40 +362,44 @@ def case_delivery_speed(t):
 
 # --- constraints -------------------------------------------------------------------------
 
-@query("""
-SELECT * FROM lineitem WHERE NOT EXISTS
-    (SELECT 1 FROM orders WHERE o_orderstatus = 'F' AND o_orderkey = l_orderkey)
+@query(f"""
+SELECT * FROM {raw.renumbered_sql("lineitem", "l_orderkey")} AS lines
+WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = lines.l_orderkey)
 """)
 def orphan_rows(t):
-    """Lines without a parent in the book of finished orders."""
-    return validate.orphan_rows(
-        t.lineitem, t.orders.filter("o_orderstatus = 'F'"), "l_orderkey", "o_orderkey"
-    )
+    """Lines without a parent among the orders."""
+    lines = raw.renumbered(t.lineitem, "l_orderkey")
+    return validate.orphan_rows(lines, t.orders, "l_orderkey", "o_orderkey")
+
+
+KEY_TEXT = (
+    "COALESCE(CAST(l_orderkey AS VARCHAR), '<null>') || '|' || COALESCE(CAST(l_linenumber AS VARCHAR), '<null>')"
+)
 
 
 @query(f"""
-WITH k AS (SELECT *, concat_ws('|', l_orderkey, l_linenumber) AS row_key FROM lineitem), v AS (
-  SELECT 'check:quantity_below_50' AS rule, row_key FROM k WHERE NOT l_quantity < 50
-  UNION ALL SELECT 'check:known_flag', row_key FROM k WHERE l_returnflag NOT IN ('N', 'R')
-  UNION ALL SELECT 'not_null:l_shipdate', row_key FROM k WHERE l_shipdate IS NULL
-  UNION ALL SELECT 'references:l_orderkey', row_key FROM k
-      WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'O')
+WITH k AS ({raw.LOOSE_LINES}), v AS (
+  SELECT 'check:quantity_below_50' AS rule, l_orderkey, l_linenumber FROM k WHERE NOT l_quantity < 50
+  UNION ALL SELECT 'check:known_flag', l_orderkey, l_linenumber FROM k WHERE l_returnflag NOT IN ('N', 'R')
+  UNION ALL SELECT 'not_null:l_linenumber', l_orderkey, l_linenumber FROM k WHERE l_linenumber IS NULL
+  UNION ALL SELECT 'references:l_orderkey', l_orderkey, l_linenumber FROM k
+      WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)
 )
-SELECT rule, row_key, {sql.count()} AS occurrences FROM v GROUP BY 1, 2
-UNION ALL SELECT 'unique:l_orderkey+l_linenumber', row_key, {sql.count()} FROM k
-GROUP BY row_key HAVING COUNT(*) > 1
+SELECT rule, {KEY_TEXT} AS row_key, {sql.count()} AS occurrences FROM v GROUP BY rule, l_orderkey, l_linenumber
+UNION ALL SELECT 'unique:l_orderkey+l_linenumber', {KEY_TEXT}, {sql.count()} FROM k
+GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1
 """)
 def constraint_violations(t):
     rules = validate.Constraints(
-        not_null=["l_shipdate"],
+        not_null=["l_linenumber"],
         checks={
             "quantity_below_50": F.col("l_quantity") < 50,
             "known_flag": F.col("l_returnflag").isin("N", "R"),
         },
         unique=[["l_orderkey", "l_linenumber"]],
-        references={"l_orderkey": (t.orders.filter("o_orderstatus <> 'O'"), "o_orderkey")},
+        references={"l_orderkey": (t.orders, "o_orderkey")},
     )
-    return validate.violations(t.lineitem, ["l_orderkey", "l_linenumber"], rules)
+    return validate.violations(raw.loose_lines(t), ["l_orderkey", "l_linenumber"], rules)
 
 
 @query("SELECT p_type, p_brand, MIN(p_name) AS product_name FROM part GROUP BY p_type, p_brand")

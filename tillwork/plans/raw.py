@@ -182,6 +182,39 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 FIRST_COPY = ["product_id", "unit_price", "quantity", "order_date", "delivery_date"]
 
 
+# --- keys that do not all match ------------------------------------------------------------
+
+# Doubled keys, as after a renumbering of one system only: every second parent keeps its rows,
+# the others have none, and about half of the rows point to no parent.
+
+def renumbered(df, *keys):
+    return df.withColumns({k: F.col(k) * 2 for k in keys})
+
+
+def renumbered_sql(table, *keys):
+    doubled = ", ".join(f"{k} * 2 AS {k}" for k in keys)
+    return f"(SELECT * REPLACE ({doubled}) FROM {table})"
+
+
+def loose_lines(t):
+    """Order lines whose keys have gaps: some without order or line number, some renumbered."""
+    order, discount, tax = F.col("l_orderkey"), F.col("l_discount"), F.col("l_tax")
+    return t.lineitem.withColumns(
+        {
+            "l_orderkey": F.when(tax < 0.075, F.when(discount >= 0.095, -order - 1).otherwise(order)),
+            "l_linenumber": F.when(tax > 0.005, F.col("l_linenumber")),
+        }
+    )
+
+
+LOOSE_LINES = """
+SELECT * REPLACE (
+    CASE WHEN l_tax < 0.075 THEN CASE WHEN l_discount >= 0.095 THEN -l_orderkey - 1 ELSE l_orderkey END END AS l_orderkey,
+    CASE WHEN l_tax > 0.005 THEN l_linenumber END AS l_linenumber)
+FROM lineitem
+"""
+
+
 # --- the sources of the lake -------------------------------------------------------------
 
 def city_customers(t):
@@ -192,6 +225,7 @@ def city_customers(t):
         F.col("c_name").alias("customer_name"),
         F.concat(F.lower("c_name"), F.lit("@example.com")).alias("email"),
         F.concat(F.lit("  "), F.col("n_name")).alias("city"),
+        F.date_add(F.lit("1990-01-01").cast("date"), F.col("c_nationkey")).alias("signup_date"),
         "c_acctbal",
     )
     again = rows.filter("c_acctbal < 0").withColumn("city", F.concat(F.lower("city"), F.lit(" ")))
@@ -206,13 +240,15 @@ def payments(t):
         F.when(F.col("l_tax") < 0.03, "Card").when(F.col("l_tax") < 0.06, "Cash").otherwise("Wallet").alias("payment_method"),
         F.col("l_extendedprice").alias("amount"),
         F.when(F.col("l_linestatus") == "F", "Success").otherwise("Pending").alias("payment_status"),
+        day("l_shipdate").alias("payment_date"),
     )
 
 
 PAYMENTS = """
 SELECT concat_ws('-', l_orderkey, l_linenumber) AS payment_id, l_orderkey AS order_id,
        CASE WHEN l_tax < 0.03 THEN 'Card' WHEN l_tax < 0.06 THEN 'Cash' ELSE 'Wallet' END AS payment_method,
-       l_extendedprice AS amount, CASE l_linestatus WHEN 'F' THEN 'Success' ELSE 'Pending' END AS payment_status
+       l_extendedprice AS amount, CASE l_linestatus WHEN 'F' THEN 'Success' ELSE 'Pending' END AS payment_status,
+       CAST(l_shipdate AS DATE) AS payment_date
 FROM lineitem
 """
 

@@ -1,12 +1,16 @@
-"""Session settings the operators rely on. All are runtime SQL settings."""
+"""The local session of tests and benchmark. A cluster's own session is never changed."""
+
+import tempfile
 
 from pyspark.sql import SparkSession
 
+from tillwork.sources.shared import SETTING
+
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Row-level joins leave hot keys to AQE, which splits them at run time. Without
-    # "force" it gives up whenever a later operator could reuse the join's partitioning.
+    # Row-level joins leave hot keys to AQE, which splits them at run time. Without "force" it
+    # gives up whenever a later operator could reuse the join's partitioning.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
@@ -29,5 +33,8 @@ def local_session(cpus: int = 8, name: str = "tillwork") -> SparkSession:
         .config("spark.driver.memory", "8g")
     )
     spark = builder.getOrCreate()
+    if not spark.conf.get(SETTING, None):  # one machine: any folder of it is shared
+        spark.stop()
+        spark = builder.config(SETTING, tempfile.mkdtemp(prefix="tillwork-")).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return tune(spark)

@@ -24,11 +24,9 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).option("header", True).options(**options).csv(path)
 
 
-def write_report(df: DataFrame, path: str, max_rows: int = 100_000) -> None:
-    """A single CSV file, for results of bounded size only."""
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"more than {max_rows} rows: use write_csv")
-    write_csv(df.coalesce(1), path)
+def write_report(df: DataFrame, path: str, *order: str) -> None:
+    """A sorted CSV. A small result is one file, because Spark merges small partitions."""
+    write_csv(df.orderBy(*order), path)
 
 
 def write_partitioned(df: DataFrame, path: str, *columns: str, mode: str = "errorifexists") -> None:

@@ -1,34 +1,50 @@
 """The folder every executor can reach, and tables pinned in it."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_WORKSPACES: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only for local sessions that name none."""
+    """The cluster's shared folder. There is no fallback to a folder of one machine."""
     folder = spark.conf.get(SETTING, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder:
         raise ValueError(f"set {SETTING} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tillwork-")
-    spark.conf.set(SETTING, folder)
-    return folder
+    return folder.rstrip("/")
+
+
+def workspace(spark: SparkSession) -> str:
+    """This application's own part of the shared folder."""
+    application = spark.sparkContext.applicationId
+    if application not in _WORKSPACES:
+        _WORKSPACES[application] = f"{shared_dir(spark)}/tillwork/{application}-{uuid.uuid4().hex}"
+    return _WORKSPACES[application]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/tillwork/{label}-{uuid.uuid4().hex}"
+    return f"{workspace(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Remove everything this application has pinned or landed so far.
+
+    Frames that still read it fail afterwards, so this is for the end of an application, or of
+    a job whose result has been written elsewhere.
+    """
+    folder = _WORKSPACES.pop(spark.sparkContext.applicationId, None)
+    if folder:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def pin(df: DataFrame, label: str = "pinned") -> DataFrame:
     """Write ``df`` once and read it back.
 
     Cuts the lineage, so several uses see the same rows in the same layout even when an
-    executor is lost, and none of them recomputes the input.
+    executor is lost, and none of them recomputes the input. The copy stays until ``release``.
     """
     spark = df.sparkSession
     path = new_folder(spark, label)
