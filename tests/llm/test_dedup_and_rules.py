@@ -62,18 +62,19 @@ def test_measures_equal_brute_force(spark):
 
 def test_bad_lines_go_and_gutted_documents_too(spark):
     good = "This line has plain words and stands as it is written here today."
+    more = "Another one goes on with quite different things for anybody who reads it."
     nav = "home | news | sport | games | music | about"
     rows = [
-        (1, "\n".join([good, good + " Two.", nav])),
-        (2, "\n".join([nav] * 3 + [good])),
-        (3, "\n".join([good, good + " Two.", "Copyright 2020 somebody"])),
-        (4, "\n".join([good] * 2 + ["Odd*** lines### have$$$ signs***"])),
-        (5, "\n\n".join([good, good + " Three."])),
+        (1, "\n".join([good, more, nav])),
+        (2, "\n".join([nav, nav.upper(), nav.title(), good])),
+        (3, "\n".join([good, more, "Copyright 2020 somebody"])),
+        (4, "\n".join([good, more, "Odd*** lines### have$$$ signs***"])),
+        (5, "\n\n".join([good, more])),
     ]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     kept = {r.doc_id: r.text for r in quality_rules.cleaned(docs).collect()}
     assert set(kept) == {1, 3, 4, 5}
-    assert kept[1] == kept[3] == "\n".join([good, good + " Two."])
+    assert kept[1] == kept[3] == kept[4] == "\n".join([good, more])
     assert kept[5] == rows[4][1]
 
 

@@ -174,13 +174,15 @@ def report(assigned: DataFrame) -> DataFrame:
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Parquet files of whole shards (folder shard=N), in the order of their slots.
 
-    Rows that repeat id and text are written once for each of their slots.
+    Rows that repeat id and text are written once for each of their slots. Columns of the input
+    that are named shard or slot are replaced.
     """
     assigned = assign(docs, shards, id_col, text_col)
     key = F.struct(F.col(id_col).alias("doc_id"), F.sha2(whole(text_col), 256).alias("text_sha256"))
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    others = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
+    row = F.struct(*[F.col(f"`{c}`") for c in others])
     rows = docs.select(key.alias("key"), row.alias("row")).groupBy("key").agg(F.first("row").alias("row"))
     places = assigned.select(F.struct("doc_id", "text_sha256").alias("its"), "shard", "slot")
-    met = rows.join(places, F.col("key").eqNullSafe(F.col("its"))).select("row", "shard", "slot")
+    met = rows.join(places, F.col("key").eqNullSafe(F.col("its"))).select("row.*", "shard", "slot")
     ranged = met.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
     ranged.write.partitionBy("shard").parquet(path)

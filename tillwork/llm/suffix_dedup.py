@@ -15,7 +15,9 @@ pairs at the borders of slices come from their first and last rows.
 
 Defined results: spans count words [start, end) split at ASCII white space, case counts. Missing
 and short texts have no spans, and a row without id is not looked at. Rows that repeat an id are
-one document. A passage repeated inside one document only is not reported. An empty table gives
+one document. A passage repeated inside one document only is not reported. A passage is reported
+as far as its neighbours share it; where one other document alone shares a few words more, those
+may be left out. An empty table gives
 no rows.
 """
 
