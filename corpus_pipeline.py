@@ -1,14 +1,20 @@
 """From raw documents to packed sequences, in stages that each write and read whole tables."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillwork.llm import exact_dedup, mixing, ngram_join, packing, quality_rules
 from tillwork.llm.texts import documents, pin
 
 
+def _recounted(docs: DataFrame) -> DataFrame:
+    """Texts that were cut have other lengths."""
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; the others lose their bad lines."""
-    return quality_rules.cleaned(docs)
+    return _recounted(quality_rules.cleaned(docs))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,7 +29,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
-    return mixing.mixed_documents(docs)
+    return _recounted(mixing.mixed_documents(docs))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -78,13 +78,18 @@ def repeated_words(words: Column) -> Column:
         )
 
     half = WINDOW // 2
-    halves = F.transform(
-        words, lambda w, i: F.xxhash64(w, *[F.get(words, i + k) for k in range(1, half)])
-    )
-    found = let(
-        halves, lambda h: F.transform(h, lambda x, i: F.xxhash64(x, F.get(h, i + half)))
-    )
-    return F.when(F.size(words) > WINDOW, let(found, count)).otherwise(0).cast("long")
+
+    def halves(w: Column) -> Column:
+        near = lambda x, i: F.xxhash64(x, *[F.get(w, i + k) for k in range(1, half)])
+        return F.transform(w, near)
+
+    def doubled(h: Column) -> Column:
+        return F.transform(h, lambda x, i: F.xxhash64(x, F.get(h, i + half)))
+
+    # The words are bound too: a filter on the result may move below the column that holds them,
+    # and would then split the text anew for every word.
+    hashed = let(words, lambda w: F.when(F.size(w) > WINDOW, let(let(halves(w), doubled), count)))
+    return F.coalesce(hashed, F.lit(0)).cast("long")
 
 
 def _bad(line: Column) -> Column:
