@@ -41,7 +41,7 @@ SPARE = 0.25  # x as a share of H + 1
 PLAIN, HEAVY = 16, 1  # what a shingle adds to the strength of its segment
 HEAVY_SHARE = 0.002  # of the documents hold a heavy shingle
 MAX_HEAVY = 1 << 16  # bound of the broadcast; which shingles are heavy only moves cost
-CHANCE = 0.02  # that two documents of a band agree in one shingle
+CHANCE = HEAVY_SHARE  # that a document has a given shingle; those with more are left out first
 BUCKETS = 1 << 20  # bound of the broadcast that thins the texts before they are shuffled
 SKETCH = 256  # bits, in longs
 GROWTH = 16  # centres per signature, from one round to the next
