@@ -45,7 +45,7 @@ CHANCE = HEAVY_SHARE  # that a document has a given shingle; those with more are
 BUCKETS = 1 << 20  # bound of the broadcast that thins the texts before they are shuffled
 SKETCH = 256  # bits, in longs
 GROWTH = 16  # centres per signature, from one round to the next
-BATCH_TEXTS = 2_000
+BATCH_TEXTS = 1_000
 
 
 def max_difference(small: int, large: int, percent: int) -> int:

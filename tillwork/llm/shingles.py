@@ -5,7 +5,7 @@ from itertools import chain
 import numpy as np
 import xxhash
 
-CACHED_WORDS = 1_000_000  # of a Python worker; beyond it the cache starts anew
+CACHED_WORDS = 200_000  # of a Python worker; beyond it the cache starts anew
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer: every input bit moves every output bit."""
