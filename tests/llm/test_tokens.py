@@ -94,11 +94,15 @@ def test_long_documents_go_on_in_the_next_block(spark, monkeypatch):
         assert sum(r.length for r in parts) == parts[0].doc_tokens
 
 
+def spare(length, limit):
+    return packing.padding(length, limit) if length >= limit // 16 else limit - length
+
+
 def cheapest(cuts, penalties, limit):
     best = [0] + [None] * (len(cuts) - 1)
     for j in range(1, len(cuts)):
         best[j] = min(
-            best[i] + packing.padding(cuts[j] - cuts[i], limit) + packing.SEQUENCE + penalties[j]
+            best[i] + spare(cuts[j] - cuts[i], limit) + packing.SEQUENCE + penalties[j]
             for i in range(j)
             if cuts[j] - cuts[i] <= limit
         )
@@ -113,7 +117,7 @@ def test_cuts_are_the_cheapest(steps, seed):
     penalties = [0, *[rng.choice([0, 24, 96]) for _ in steps]]
     ends = packing.windows(np.array(cuts), np.array(penalties), 64)
     cost = sum(
-        packing.padding(b - a, 64) + packing.SEQUENCE + penalties[cuts.index(b)]
+        spare(b - a, 64) + packing.SEQUENCE + penalties[cuts.index(b)]
         for a, b in zip([0, *ends], ends)
     )
     assert ends[-1] == cuts[-1] and cost == cheapest(cuts, penalties, 64)

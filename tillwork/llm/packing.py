@@ -27,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from tillwork.llm.texts import corpus
+from tillwork.llm.token_counts import Merger, normal, split_words
 from tillwork.llm.tokens import CACHED_PIECES, pieces, tokenizer_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -39,48 +40,74 @@ SENTENCE_CUT, HARD_CUT, SEQUENCE = 24, 96, 48  # in tokens of padding
 SENTENCE_ENDS = (".", "!", "?", "…", "。", "！", "？")
 
 
+class _Numbers(dict):
+    """Numbers pieces in the order in which they are first asked for, and notes the new ones."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, piece):
+        self.new.append(piece)
+        number = self[piece] = len(self)
+        return number
+
+
 class Encoder:
     """Token ids of whole texts, and where their sentences end. Pieces between white space are
-    encoded by the tokenizer once and kept, flat, in a cache of bounded size."""
+    encoded once, many side by side as in token_counts, and kept, flat, in a cache of bounded
+    size; texts with special strings are left to the library."""
 
     def __init__(self, path: str):
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.merger = Merger(path)
+        self.words = regex.compile(self.merger.pattern)
         self._forget()
 
     def _forget(self):
-        self.index: dict[str, int] = {}
+        self.number = _Numbers()
         self.ids = np.zeros(0, np.uint32)
         self.start = np.zeros(1, np.int64)
         self.ends = np.zeros(0, bool)
 
-    def _learn(self, new: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]
-        sizes = np.array([len(x) for x in found], dtype=np.int64)
-        flat = np.fromiter((i for x in found for i in x), np.uint32, int(sizes.sum()))
-        ends = np.array([p.rstrip("\"')]»”").endswith(SENTENCE_ENDS) for p in new])
-        self.index.update(zip(new, range(len(self.ends), len(self.ends) + len(new))))
-        self.ids = np.concatenate([self.ids, flat])
-        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(sizes)])
-        self.ends = np.concatenate([self.ends, ends])
+    def _learn(self) -> None:
+        new, self.number.new = self.number.new, []
+        found = [split_words(self.words, normal(piece)) for piece in new]
+        unique: dict[str, int] = {}
+        parts = [unique.setdefault(w, len(unique)) for one in found for w in one]
+        flat, sizes = self.merger.merged([w.encode() for w in unique]) if unique else (self.ids, self.start[:0])
+        starts = np.cumsum(sizes) - sizes
+        parts = np.array(parts, dtype=np.int64)
+        size = sizes[parts]
+        begin = np.repeat(starts[parts] - (np.cumsum(size) - size), size)
+        # Pieces hold some words each: their tokens are those of the words in a row.
+        after = np.concatenate([[0], np.cumsum(size)])
+        words = np.cumsum([len(one) for one in found])
+        self.ids = np.concatenate([self.ids, flat[begin + np.arange(len(begin))].astype(np.uint32)])
+        self.start = np.concatenate([self.start, self.start[-1] + after[words]])
+        ends = [p.rstrip("\"')]»”").endswith(SENTENCE_ENDS) for p in new]
+        self.ends = np.concatenate([self.ends, np.array(ends, dtype=bool)])
 
     def __call__(self, texts: list[str]):
         """(ids, positions after a sentence) of each text."""
-        split = [None if any(s in t for s in self.special) else pieces(t) for t in texts]
-        if len(self.index) > CACHED_PIECES:
+        if len(self.number) > CACHED_PIECES:
             self._forget()
-        new = set().union(*[s for s in split if s]).difference(self.index)
-        if new:
-            self._learn(sorted(new))
-        look = self.index.__getitem__
-        for text, one in zip(texts, split):
-            if one is None:  # special strings: as the library takes them, whole
+        look, numbers = self.number.__getitem__, []
+        for text in texts:
+            if "<|" in text and any(s in text for s in self.merger.special):
+                numbers.append(None)
+            else:
+                one = pieces(text)
+                numbers.append(np.fromiter(map(look, one), np.int64, len(one)))
+        if self.number.new:
+            self._learn()
+        for text, at in zip(texts, numbers):
+            if at is None:
                 ids = self.tokenizer.encode(text, add_special_tokens=False).ids
                 yield np.array(ids, dtype=np.uint32), np.zeros(0, np.int64)
                 continue
-            at = np.fromiter(map(look, one), np.int64, len(one))
             size = self.start[at + 1] - self.start[at]
             after = np.cumsum(size)
             begin = np.repeat(self.start[at] - (after - size), size)
@@ -93,9 +120,10 @@ def padding(length: int, limit: int) -> int:
 
 def windows(cuts: np.ndarray, penalties: np.ndarray, limit: int) -> list[int]:
     """The cheapest ends of sequences. ``cuts`` are sorted positions, 0 and the end among them,
-    at most ``limit`` apart."""
+    at most ``limit`` apart. Shorter sequences than a sixteenth of the limit count as padded, so
+    that texts are not cut into crumbs."""
     position, penalty = cuts.tolist(), penalties.tolist()
-    powers = [1 << k for k in range(limit.bit_length())]
+    powers = [limit >> k for k in range(5)]
     exact: dict[int, list[int]] = {}
     for power in powers:
         at = np.searchsorted(cuts, cuts - power)

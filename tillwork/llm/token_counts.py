@@ -60,16 +60,16 @@ class Merger:
         split = spec["pre_tokenizer"]["pretokenizers"][0]
         self.pattern = split["pattern"]["Regex"]
 
-    def counts(self, words: list[bytes]) -> np.ndarray:
-        """How many symbols are left of each non-empty word."""
+    def merged(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """What is left of non-empty words: all symbols in a row, and how many of each word."""
         sizes = np.array([len(w) for w in words], dtype=np.int64)
-        result = sizes.copy()
         ends = np.cumsum(sizes)
         raw = np.frombuffer(b"".join(words), dtype=np.uint8)
         ids = self.inner[raw]
         ids[ends - 1] = self.last[raw[ends - 1]]
         owner = np.repeat(np.arange(len(words)), sizes)
-        while len(ids) > 1:
+        final_ids, final_owners = [], []
+        while len(ids):
             key = ids[:-1] * self.base + ids[1:]
             at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
             known = (self.keys[at] == key) & (owner[:-1] == owner[1:])
@@ -77,22 +77,17 @@ class Merger:
             first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
             lowest = np.minimum.reduceat(rank, first)
             size = np.diff(np.append(first, len(ids)))
-            merge = (rank == np.repeat(lowest, size)) & (rank != NEVER)
-            merge = _leftmost(merge)
-            left = np.flatnonzero(merge)
-            if not len(left):
-                result[owner[first]] = size
-                break
+            done = np.repeat(lowest == NEVER, size)
+            final_ids.append(ids[done])
+            final_owners.append(owner[done])
+            left = np.flatnonzero(_leftmost((rank == np.repeat(lowest, size)) & ~done))
             ids[left] = self.made[at[left]]
-            gone = np.zeros(len(ids), bool)
-            gone[left + 1] = True
-            done = lowest == NEVER
-            result[owner[first[done]]] = size[done]
-            keep = ~gone & ~np.repeat(done, size)
+            keep = ~done
+            keep[left + 1] = False
             ids, owner = ids[keep], owner[keep]
-            if len(ids) == 1:
-                result[owner] = 1
-        return result
+        owners = np.concatenate(final_owners)
+        order = np.argsort(owners, kind="stable")
+        return np.concatenate(final_ids)[order], np.bincount(owners, minlength=len(words))
 
 
 def _leftmost(merge: np.ndarray) -> np.ndarray:
@@ -107,6 +102,19 @@ def _leftmost(merge: np.ndarray) -> np.ndarray:
     return merge
 
 
+def normal(piece: str) -> str:
+    """NFC and lower case as the tokenizer file asks for."""
+    if piece.isascii():
+        return piece.lower()
+    # Character by character: a final sigma is not treated apart.
+    return unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower()
+
+
+def split_words(pattern, piece: str) -> list[str]:
+    """The pre-tokens; letters alone are one, whatever else the pattern looks for."""
+    return [piece] if piece.isalpha() else pattern.findall(piece)
+
+
 class TokenCounter:
     def __init__(self, path: str):
         import regex
@@ -116,16 +124,10 @@ class TokenCounter:
         self.specials = regex.compile("|".join(map(regex.escape, self.merger.special)) or r"(?!)")
         self.known: dict[str, int] = {}
 
-    def _normal(self, piece: str) -> str:
-        if piece.isascii():
-            return piece.lower()
-        # Character by character: a final sigma is not treated apart.
-        return unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower()
-
     def _learn(self, new: list[str]) -> None:
-        found = [self.words.findall(self._normal(piece)) for piece in new]
+        found = [split_words(self.words, normal(piece)) for piece in new]
         unique = list({w: None for w in chain.from_iterable(found)})
-        of = dict(zip(unique, self.merger.counts([w.encode() for w in unique]).tolist())) if unique else {}
+        of = dict(zip(unique, self.merger.merged([w.encode() for w in unique])[1].tolist())) if unique else {}
         for piece, parts in zip(new, found):
             self.known[piece] = sum(map(of.__getitem__, parts))
 
