@@ -115,3 +115,26 @@ def test_awkward_rows_and_empty_tables(spark):
     assert suffix_dedup.repeated_passages(no_docs(spark)).count() == 0
     assert secret_scan.scan(awkward_docs(spark)).count() == len(awkward())
     assert secret_scan.scan(no_docs(spark)).count() == 0
+
+
+def exact_spans(rows, spans):
+    """The spans are what brute force over windows of LEAST words finds, no more and no less."""
+    got = defaultdict(set)
+    for r in spans:
+        got[r.doc_id].update(range(r.start, r.end))
+    assert dict(got) == covered(rows, suffix_dedup.LEAST)
+
+
+def test_every_place_of_a_passage_is_found(spark, monkeypatch):
+    rng = random.Random(3)
+    p, q = prose(rng, 50), prose(rng, 60)
+    rows = [(1, " ".join(f"{p} {prose(rng, 30)}" for _ in range(3))), (2, f"{prose(rng, 9)} {p}")]
+    # Many places in one document, beside few documents that hold the passage once.
+    rows += [(10 + k, " ".join(f"{prose(rng, 7)} {q}" for _ in range(1 if k % 4 else 9))) for k in range(12)]
+    rows += [(40, " ".join([prose(rng, 80)] * 2))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(suffix_dedup, "ROWS_PER_SLICE", 100, raising=False)  # groups cross slices
+    spans = suffix_dedup.repeated_spans(suffix_dedup.repeated_passages(docs)).collect()
+    exact_spans(rows, spans)
+    assert len([r for r in spans if r.doc_id == 1]) == 3
+    assert {r.other_id for r in spans if r.doc_id > 10} == {10} and 40 not in {r.doc_id for r in spans}

@@ -1,44 +1,45 @@
 """Passages that repeat across documents, by a sparse suffix array.
 
-Of all suffixes of a text, word by word, only those are kept that start at a minimiser: where the
-hash of the next GRAM words is least among WINDOW neighbours. Equal passages of GRAM + WINDOW - 1
-words or more hold equal minimisers, whatever surrounds them, so every passage of LEAST words is
-met. The kept suffixes are sorted by their content (the hash of the first GRAM words, then of the
-words that follow, then document and place) and each is compared with its neighbours; inside a
-slice a second order, by the words before, finds neighbours that agree more to the left. Along
-the diagonal of two neighbours the whole texts are compared word by word, which extends matches
-left and right to where they end; runs of LEAST words or more count.
+Of all suffixes of a text, word by word, only those are kept that may begin a repeated passage.
+The first LEAST words of a suffix hold WINDOW grams of GRAM words, and the least hash among them
+(the minimiser) is the same wherever these words stand. A first pass lists the minimisers of each
+document; those that two documents hold are given back to their documents, and a second pass
+keeps the suffixes that have one of them.
+
+The kept suffixes are sorted by their first LEAST words (the minimiser, then the hash of the
+words), then by document and place, so equal ones stand together. Each is given the least other
+document with the same words: the first document of its group, or the second one for the rows of
+the first. Nothing is sampled and no place is left out: each suffix whose first LEAST words stand
+in another document is found, however many documents hold them, however often one document does
+and whatever surrounds them. Suffixes at neighbouring places make up longer passages.
 
 The sort is a range partition on all its keys, so a passage that a third of the documents share
-is cut into even slices. Neighbours are linear in the suffixes: no pairs within a group. The
-pairs at the borders of slices come from their first and last rows.
-
-Defined results: spans count words [start, end) split at ASCII white space, case counts. Missing
-and short texts have no spans, and a row without id is not looked at. Rows that repeat an id are
-one document. A passage repeated inside one document only is not reported. A passage is reported
-as far as its neighbours share it; where one other document alone shares a few words more, those
-may be left out. An empty table gives
-no rows.
+is cut into even slices, and a slice holds the rows of one document at most. Groups that cross
+the border of slices are settled by the first two documents that each slice saw of them: at most
+four rows a slice. Rows are linear in the words that lie in passages: no pairs within a group.
+
+Defined results: spans count words [start, end) split at ASCII white space, case counts. Words
+are equal if two 64-bit hashes, of the minimiser and of all LEAST words, are. Missing and short
+texts have no spans, and a row without id is not looked at. Rows that repeat an id are one
+document. A passage repeated inside one document only is not reported. An empty table gives no
+rows.
 """
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwork.llm.shingles import CACHED_WORDS, WordHashes, mixed
-from tillwork.llm.texts import corpus, pin, slices
+from tillwork.llm.texts import corpus, matching, pin, slices
 
 LEAST = 50
 GRAM = 32  # a power of two
 WINDOW = LEAST - GRAM + 1
-REACH = 2  # neighbours on each side
-CONTEXT = 8  # words that sort suffixes with an equal start
 BUCKETS = 1 << 20  # bound of the broadcast that thins the texts before they are shuffled
-WORDS_PER_SLICE = 20_000_000
-_SORT = ("gram", "after", "doc", "place")
-_ROWS = "gram long, after int, before int, doc long, place int"
+ROWS_PER_SLICE = 20_000_000
+_SORT = ("gram", "words", "doc", "place")
+_ROWS = "gram long, words long, doc long, place int"
 
 
 def _extreme(values: np.ndarray, width: int, pick) -> np.ndarray:
@@ -67,183 +68,190 @@ def _doubled(hashes: np.ndarray, words: int) -> np.ndarray:
     return hashes
 
 
-def _suffixes(batches):
+def _hashed(batches):
+    """The columns of each batch and, for its texts of LEAST words or more, (row, word hashes)."""
     hashes = WordHashes()
     for batch in batches:
         if len(hashes) > CACHED_WORDS:
             hashes.clear()
-        look, found = hashes.__getitem__, []
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        look, rows = hashes.__getitem__, []
+        columns = [c.to_pylist() for c in batch.columns]
+        for row, text in enumerate(columns[1]):
             words = text.encode().split()
-            if len(words) < LEAST:
-                continue
-            h = np.fromiter(map(look, words), np.uint64, len(words))
-            near = _doubled(h, CONTEXT)
+            if len(words) >= LEAST:
+                rows.append((row, np.fromiter(map(look, words), np.uint64, len(words))))
+        yield columns, rows
+
+
+def _batch(names, parts):
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)], list(names))
+
+
+def _grams(batches):
+    """The distinct minimisers of each text."""
+    for columns, rows in _hashed(batches):
+        found = []
+        for row, h in rows:
             grams = _doubled(h, GRAM)
-            at = minimisers(grams, WINDOW)
-            # Of a gram that a text repeats, the first and the last place stand for all.
-            heads = np.unique(grams[at], return_index=True)[1]
-            tails = len(at) - 1 - np.unique(grams[at][::-1], return_index=True)[1]
-            at = at[np.union1d(heads, tails)]
-            after = np.zeros(len(at), np.uint64)
-            has = at + GRAM < len(near)
-            after[has] = near[at[has] + GRAM]
-            before = np.zeros(len(at), np.uint64)
-            has = at >= CONTEXT
-            before[has] = near[at[has] - CONTEXT]
-            found.append((grams[at], after, before, np.full(len(at), doc, np.int64), at))
+            kept = np.unique(grams[minimisers(grams, WINDOW)]).view(np.int64)
+            found.append((kept, np.full(len(kept), columns[0][row], np.int64)))
         if found:
-            gram, after, before, doc, at = (np.concatenate(c) for c in zip(*found))
-            arrays = [
-                pa.array(gram.view(np.int64)),
-                pa.array((after >> np.uint64(33)).astype(np.int32)),
-                pa.array((before >> np.uint64(33)).astype(np.int32)),
-                pa.array(doc),
-                pa.array(at.astype(np.int32)),
-            ]
-            yield pa.RecordBatch.from_arrays(arrays, ["gram", "after", "before", "doc", "place"])
-
-
-def _pairs(columns, order):
-    """Neighbours in ``order`` that start with the same words, in different documents."""
-    gram, _, _, doc, place = (c[order] for c in columns)
-    first, second = [], []
-    for step in range(1, REACH + 1):
-        same = np.flatnonzero((gram[step:] == gram[:-step]) & (doc[step:] != doc[:-step]))
-        first.append(same)
-        second.append(same + step)
-    first, second = np.concatenate(first), np.concatenate(second)
-    a, b, p, q = doc[first], doc[second], place[first], place[second]
-    swap = a > b
-    a, b, p, q = np.where(swap, b, a), np.where(swap, a, b), np.where(swap, q, p), np.where(swap, p, q)
-    return a, b, q.astype(np.int64) - p
-
-
-_NEIGHBOURS = "slice int, last boolean, gram long, a long, b long, shift long"
-
-
-def _neighbours(batches):
-    """Of a sorted slice: distinct (a, b, shift), and its first and last row as (gram, a: doc,
-    b: place, slice). A few batches are held at a time, with one row of overlap."""
-    number, first, held = TaskContext.get().partitionId(), None, None
-
-    def table(a, b, shift, gram=None, last=None):
-        n = len(a)
-        edge = gram is not None
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.full(n, number, np.int32)) if edge else pa.nulls(n, pa.int32()),
-                pa.array([last] * n, pa.bool_()),
-                pa.array(gram) if edge else pa.nulls(n, pa.int64()),
-                pa.array(a),
-                pa.array(b),
-                pa.array(shift),
-            ],
-            ["slice", "last", "gram", "a", "b", "shift"],
-        )
+            yield _batch(("gram", "doc"), found)
+
+
+def _suffixes(batches):
+    """Of each text, the suffixes of LEAST words or more whose minimiser is asked for."""
+    for columns, rows in _hashed(batches):
+        found = []
+        for row, h in rows:
+            grams = _doubled(h, GRAM)
+            least = _extreme(grams, WINDOW, np.minimum)
+            at = np.flatnonzero(np.isin(least.view(np.int64), np.array(columns[2][row], np.int64)))
+            # Two grams that overlap cover the LEAST words.
+            words = mixed(grams[at] * np.uint64(5) ^ grams[at + LEAST - GRAM])
+            doc = np.full(len(at), columns[0][row], np.int64)
+            found.append((least[at].view(np.int64), words.view(np.int64), doc, at.astype(np.int32)))
+        if found:
+            yield _batch(_SORT, found)
+
+
+_SETTLED, _OPEN, _SEEN = 0, 1, 2
+_OTHERS = "kind int, gram long, words long, doc long, place int, other long, other_place int"
+
+
+def _others(batches):
+    """Of a sorted slice: its rows with the least other document of their group (settled), rows
+    whose group may have more in other slices (open), and the first row of each of the first two
+    documents of the groups at the ends of the slice (seen)."""
+    top = None  # the group that the slice begins with
+    held = None  # rows of the last group: those without another document, or two that stand for it
+
+    def table(kind, columns, at, other=None):
+        n = len(at)
+        if other is None:
+            others = [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32())]
+        else:
+            others = [pa.array(columns[2][other]), pa.array(columns[3][other])]
+        arrays = [pa.array(np.full(n, kind, np.int32)), *[pa.array(c[at]) for c in columns[:4]], *others]
+        return pa.RecordBatch.from_arrays(arrays, ["kind", *_SORT, "other", "other_place"])
+
+    def seen(columns):
+        """``held`` has one or two documents; the first row of each."""
+        doc = columns[2]
+        return np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
 
     for batch in batches:
         columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
         if not len(columns[0]):
             continue
-        if first is None:
-            first = [c[:1] for c in columns]
-        else:
+        columns.append(np.zeros(len(columns[0]), bool))  # told already
+        if held is not None:
             columns = [np.concatenate([h, c]) for h, c in zip(held, columns)]
-        gram, _, before, doc, place = columns
-        by_right = _pairs(columns, np.arange(len(gram)))
-        by_left = _pairs(columns, np.lexsort((place, doc, before, gram)))
-        rows = np.stack([np.concatenate(c) for c in zip(by_right, by_left)], axis=1)
-        if len(rows):
-            rows = np.unique(rows, axis=0)
-            yield table(rows[:, 0].copy(), rows[:, 1].copy(), rows[:, 2].copy())
-        held = [c[-1:] for c in columns]
-    for edge, last in ((first, False), (held, True)):
-        if edge is not None:
-            yield table(edge[3], edge[4].astype(np.int64), np.zeros(1, np.int64), edge[0], last)
-
-
-def _across(edges: DataFrame) -> DataFrame:
-    """Pairs of the last row of a slice and the first of the next: two rows per slice."""
-    order = Window.orderBy("slice", "last")
-    nearby = edges.withColumns(
-        {
-            "other_gram": F.lead("gram").over(order),
-            "other": F.lead("a").over(order),
-            "at": F.lead("b").over(order),
-        }
-    )
-    same = F.col("last") & (F.col("gram") == F.col("other_gram")) & (F.col("a") != F.col("other"))
-    shift = F.col("at") - F.col("b")
-    return nearby.filter(same).select(
-        F.least("a", "other").alias("a"),
-        F.greatest("a", "other").alias("b"),
-        F.when(F.col("a") < F.col("other"), shift).otherwise(-shift).alias("shift"),
-    )
+        gram, words, doc, _, told = columns
+        if top is None:
+            top = (gram[0], words[0])
+        fresh = np.concatenate([[True], (gram[1:] != gram[:-1]) | (words[1:] != words[:-1])])
+        group, first = np.cumsum(fresh) - 1, np.flatnonzero(fresh)
+        change = np.concatenate([[True], fresh[1:] | (doc[1:] != doc[:-1])])
+        changes = np.append(np.flatnonzero(change), len(doc))
+        ends = np.append(first[1:], len(doc))
+        second = changes[np.searchsorted(changes, first) + 1]
+        second = np.where(second < ends, second, -1)
+        other = np.where(doc == doc[first][group], second[group], first[group])
+        at_top = (gram == top[0]) & (words == top[1])
+        waits = (group == group[-1]) & (second[-1] < 0)
+        settled = np.flatnonzero(~told & ~at_top & (other >= 0))
+        if len(settled):
+            yield table(_SETTLED, columns, settled, other[settled])
+        opened = np.flatnonzero(~told & at_top & ~waits)
+        if len(opened):
+            yield table(_OPEN, columns, opened)
+        if at_top[0] and not at_top[-1]:
+            ahead = [first[0], second[0]] if second[0] >= 0 else [first[0]]
+            yield table(_SEEN, columns, np.array(ahead))
+        if second[-1] < 0:
+            held = [c[first[-1] :] for c in columns]
+        else:
+            held = [c[[first[-1], second[-1]]] for c in columns]
+            held[4][:] = True
+    if held is not None:
+        left = np.flatnonzero(~held[4])
+        if len(left):
+            yield table(_OPEN, held, left)
+        yield table(_SEEN, held, seen(held))
 
 
-def _extended(least: int):
-    """Maximal runs of equal words along the diagonals of two texts."""
-
-    def run(batches):
-        hashes, known, theirs = WordHashes(), None, None
-        for batch in batches:
-            if len(hashes) > CACHED_WORDS:
-                hashes.clear()
-            look = hashes.__getitem__
-            columns = {n: batch.column(n).to_pylist() for n in batch.schema.names}
-            found = []
-            for a, b, shifts, mine, other in zip(*(columns[n] for n in ("a", "b", "shifts", "mine", "theirs"))):
-                if other != known or theirs is None:
-                    words_b = other.encode().split()
-                    theirs, known = np.fromiter(map(look, words_b), np.uint64, len(words_b)), other
-                words_a = mine.encode().split()
-                own = np.fromiter(map(look, words_a), np.uint64, len(words_a))
-                for shift in shifts:
-                    low, high = max(0, -shift), min(len(own), len(theirs) - shift)
-                    if high - low < least:
-                        continue
-                    equal = own[low:high] == theirs[low + shift : high + shift]
-                    ends = np.flatnonzero(np.diff(np.concatenate([[0], equal, [0]])))
-                    for start, end in zip(ends[::2] + low, ends[1::2] + low):
-                        if end - start >= least and words_a[start:end] == words_b[start + shift : end + shift]:
-                            found.append((a, int(start), int(end), b, int(start) + shift))
-                            found.append((b, int(start) + shift, int(end) + shift, a, int(start)))
-            if found:
-                names = ["doc_id", "start", "end", "other_id", "other_start"]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in zip(*found)], names
-                )
-
-    return run
+_FOUND = ("doc", "place", "other", "other_place")
+_MATCHES = "doc_id long, start long, end long, other_id long, other_start long"
+
+
+def _runs(batches):
+    """Suffixes at neighbouring places with neighbouring places in the other document, united."""
+    held = None
+    names = ["doc_id", "start", "end", "other_id", "other_start"]
+    for batch in batches:
+        columns = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]
+        if not len(columns[0]):
+            continue
+        doc, place, other, other_place = columns
+        shift = other_place - place
+        goes_on = (doc[1:] == doc[:-1]) & (place[1:] - place[:-1] <= 1)
+        goes_on &= (other[1:] == other[:-1]) & (shift[1:] == shift[:-1])
+        first = np.flatnonzero(np.concatenate([[True], ~goes_on]))
+        last = np.append(first[1:], len(doc)) - 1
+        runs = [doc[first], place[first], place[last] + LEAST, other[first], other_place[first]]
+        if held is not None:
+            joins = held[0] == runs[0][0] and held[3] == runs[3][0] and held[2] - LEAST + 1 >= runs[1][0]
+            if joins and held[4] - held[1] == runs[4][0] - runs[1][0]:
+                runs[1][0], runs[4][0] = held[1], held[4]
+            else:
+                runs = [np.concatenate([[h], r]) for h, r in zip(held, runs)]
+        held = [r[-1] for r in runs]
+        if len(runs[0]) > 1:
+            yield pa.RecordBatch.from_arrays([pa.array(r[:-1]) for r in runs], names)
+    if held is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([int(h)], pa.int64()) for h in held], names)
 
 
 def _bucket(column: str):
     return F.pmod(F.xxhash64(column), F.lit(BUCKETS)).cast("int")
 
 
+def _settled(rows: DataFrame) -> DataFrame:
+    """The rows with the least other document of their group, the open ones from what the slices
+    have seen of it. One row of the broadcast at most meets a row."""
+    seen = F.array_sort(F.collect_set(F.struct("doc", "place")))
+    groups = rows.filter(F.col("kind") == _SEEN).groupBy("gram", "words").agg(seen.alias("seen"))
+    groups = groups.withColumn("first", F.get("seen", F.lit(0)))
+    strange = F.filter("seen", lambda s: s["doc"] != F.col("first.doc"))
+    groups = groups.withColumn("second", F.get(strange, F.lit(0))).drop("seen")
+    met = rows.filter(F.col("kind") != _SEEN).join(F.broadcast(groups), ["gram", "words"], "left")
+    known = F.when(F.col("doc") == F.col("first.doc"), F.col("second")).otherwise(F.col("first"))
+    told = F.when(F.col("kind") == _SETTLED, F.struct(F.col("other").alias("doc"), F.col("other_place").alias("place")))
+    met = met.select("doc", "place", F.coalesce(told, known).alias("of")).filter("of is not null")
+    return met.select("doc", "place", F.col("of.doc").alias("other"), F.col("of.place").alias("other_place"))
+
+
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Matches (doc_id, start, end, other_id, other_start), each from both sides."""
+    """Matches (doc_id, start, end, other_id, other_start): each place of each document whose next
+    LEAST words another document holds lies in one, with the least such document."""
     texts = corpus(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     texts = texts.filter("doc_id is not null")
-    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = slices(texts.sparkSession, size // 6, WORDS_PER_SLICE)  # about six bytes a word
-    suffixes = texts.mapInArrow(_suffixes, _ROWS)
-    array = suffixes.repartitionByRange(parts, *_SORT).sortWithinPartitions(*_SORT)
-    compared = pin(array.mapInArrow(_neighbours, _NEIGHBOURS), "neighbours")
-    inner = compared.filter("slice is null").select("a", "b", "shift")
-    pairs = inner.unionByName(_across(compared.filter("slice is not null")))
-    # A pair has one diagonal for each way its texts line up: fewer than minimisers in a text.
-    diagonals = pairs.groupBy("a", "b").agg(F.collect_set("shift").alias("shifts"))
-    diagonals = pin(diagonals, "diagonals")
-    asked = diagonals.select(F.explode(F.array("a", "b")).alias("id"))
-    buckets = F.broadcast(asked.select(_bucket("id").alias("bucket")).distinct())
+    grams = pin(texts.mapInArrow(_grams, "gram long, doc long"), "grams")
+    ends = grams.groupBy("gram").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
+    shared = ends.filter("low < high").select(F.col("gram").alias("shared"))
+    # A document has fewer minimisers than words.
+    asked = grams.join(shared, matching("gram", "shared"), "left_semi").groupBy("doc")
+    asked = pin(asked.agg(F.collect_set("gram").alias("grams")), "asked")
+    buckets = F.broadcast(asked.select(_bucket("doc").alias("bucket")).distinct())
     few = texts.join(buckets, _bucket("doc_id") == F.col("bucket"), "left_semi")
-    mine = few.select(F.col("doc_id").alias("a"), F.col("text").alias("mine"))
-    theirs = few.select(F.col("doc_id").alias("b"), F.col("text").alias("theirs"))
-    both = diagonals.join(mine, "a").join(theirs, "b")
-    schema = "doc_id long, start long, end long, other_id long, other_start long"
-    return both.mapInArrow(_extended(LEAST), schema)
+    both = few.join(asked, F.col("doc_id") == F.col("doc")).select("doc_id", "text", "grams")
+    suffixes = pin(both.mapInArrow(_suffixes, _ROWS), "suffixes")
+    parts = slices(texts.sparkSession, suffixes.count(), ROWS_PER_SLICE)
+    array = suffixes.repartitionByRange(parts, *_SORT).sortWithinPartitions(*_SORT)
+    compared = pin(array.mapInArrow(_others, _OTHERS), "others")
+    found = _settled(compared).repartition("doc")
+    return found.sortWithinPartitions(*_FOUND).mapInArrow(_runs, _MATCHES)
 
 
 def repeated_spans(matches: DataFrame) -> DataFrame:
