@@ -138,3 +138,13 @@ def test_every_place_of_a_passage_is_found(spark, monkeypatch):
     exact_spans(rows, spans)
     assert len([r for r in spans if r.doc_id == 1]) == 3
     assert {r.other_id for r in spans if r.doc_id > 10} == {10} and 40 not in {r.doc_id for r in spans}
+
+
+def test_passages_around_a_frequent_core_are_found(spark):
+    rng = random.Random(4)
+    footer, rows = prose(rng, 45), []
+    for k in range(600):
+        beside = prose(rng, 10)
+        rows += [(k, f"{prose(rng, 20)} {beside} {footer}"), (5000 + 7 * k, f"{prose(rng, 20)} {beside} {footer}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    exact_spans(rows, suffix_dedup.repeated_spans(suffix_dedup.repeated_passages(docs)).collect())
