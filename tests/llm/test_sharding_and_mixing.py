@@ -1,3 +1,4 @@
+import hashlib
 import random
 from collections import Counter, defaultdict
 
@@ -124,3 +125,16 @@ def test_documents_come_as_often_as_they_are_taken(spark):
     for r in plan:
         if r.doc_id is not None:
             assert counted[r.doc_id, r.size] == r.taken
+
+
+def test_the_mix_comes_shard_by_shard_and_shuffled(spark):
+    docs = awkward_docs(spark).filter("doc_id not in (307, 308)")
+    want = []
+    for r in mixing.mix(docs, 5).collect():
+        for k, size, shard in ((0, r.words_0, r.shard_0), (1, r.words_1, r.shard_1)):
+            if size > 0:
+                draw = hashlib.md5(f"{mixing.SEED}/{shard}/{k}/{r.doc_id}".encode()).hexdigest()
+                want.append((shard, draw, r.doc_id, size))
+    assert len({shard for shard, *_ in want}) == 5
+    got = [(r.doc_id, len(words(r.text))) for r in mixing.mixed_documents(docs, 5).collect()]
+    assert got == [(i, size) for _, _, i, size in sorted(want)]

@@ -9,8 +9,13 @@ is walked until the target is reached, twice at most; the last document is cut.
 cut into blocks of equal length. A tree splits the blocks among the shards: the left half of a
 node draws its number of blocks out of all blocks of the node without replacement, so the counts
 by source are multivariate hypergeometric and the quotas of all shards add up exactly. A shard
-takes the next blocks of each line, so no block is drawn twice, and orders its documents by a
-hash of its own. There are BLOCKS blocks a shard whatever the size of the corpus, so the tree is
+takes the next blocks of each line, so no block is drawn twice. Documents are not cut at the
+borders of blocks: one belongs to the block where it starts, so a shard has more or fewer words
+than its quota by what reaches over these borders, and a document longer than a block leaves
+the blocks it covers without words of their own.
+
+Shuffle. ``mixed_documents`` writes shard after shard, each in the order of a hash of its own
+(MD5 of seed, shard, pass and id), by a range partition on both. There are BLOCKS blocks a shard whatever the size of the corpus, so the tree is
 small; all that grows are running sums, which over_ordered cuts into even slices, so a source
 with a third of all rows is spread like any other.
 
@@ -152,21 +157,42 @@ def taken(mixed: DataFrame) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, shards: int = SHARDS, **columns: str) -> DataFrame:
-    """The rows of the mix: a document as often as it is taken, the last of a source cut.
+    """The rows of the mix: a document as often as it is taken, the last of a source cut, shard
+    after shard and shuffled inside each.
 
-    The texts are shuffled once, to meet the few columns of the plan.
+    The texts are shuffled twice, to meet the few columns of the plan and into their order.
     """
     id_col, text_col = columns.get("id_col", "doc_id"), columns.get("text_col", "text")
     plan = mix(docs, shards, **columns)
+    # Words and shard of a pass as one number, so that rows that repeat share both.
+    both = lambda k: F.col(f"words_{k}") * shards + F.coalesce(f"shard_{k}", F.lit(0))
     plan = plan.groupBy(F.struct("doc_id", "text_key").alias("key"), F.col("size")).agg(
-        F.max("words_0").alias("words_0"), F.max("words_1").alias("words_1")
+        *[F.max(both(k)).alias(f"pass_{k}") for k in range(MOST)]
     )
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     text_key = F.xxhash64(whole(text_col)).alias("text_key")
     rows = docs.select(row, F.struct(F.col(id_col).alias("doc_id"), text_key).alias("key"))
-    part = F.explode(F.filter(F.array("words_0", "words_1"), lambda n: n > 0)).alias("part")
+    passes = [
+        F.struct(
+            F.floor(F.col(f"pass_{k}") / shards).alias("words"),
+            F.pmod(f"pass_{k}", F.lit(shards)).alias("shard"),
+            F.lit(k).alias("number"),
+        )
+        for k in range(MOST)
+    ]
+    part = F.explode(F.filter(F.array(*passes), lambda p: p["words"] > 0)).alias("part")
     met = rows.join(plan.withColumnRenamed("key", "its"), F.col("key").eqNullSafe(F.col("its")))
-    pieces = met.select("row", "size", part)
+    pieces = met.select("row", "size", "key", part)
+    pieces = pieces.select(
+        "row",
+        "size",
+        "key",
+        F.col("part.words").alias("part"),
+        F.col("part.shard").alias("shard"),
+        _draw(F.col("part.shard"), F.col("part.number"), F.col("key.doc_id")).alias("at"),
+    )
+    order = ["shard", "at", F.col("key.text_key")]
+    pieces = pieces.repartitionByRange(*order).sortWithinPartitions(*order)
     text = F.col("row").getField(text_col)
     # Possessive, so that the match is one loop without a stack.
     first = F.concat(F.lit(rf"\A(?:[{SPACE}]*+[^{SPACE}]++){{"), F.col("part").cast("string"), F.lit("}+"))
