@@ -85,3 +85,12 @@ def test_columns_stay_and_empty_tables_work(spark):
     assert quality_rules.cleaned(no_docs(spark)).count() == 0
     assert exact_dedup.exact_dedup(no_docs(spark)).count() == 0
     assert exact_dedup.keep_one(no_docs(spark)).count() == 0
+
+
+def test_a_paragraph_that_begins_like_a_notice_stays(spark):
+    said = " ".join(f"word{k}" for k in range(40))
+    notice = "Copyright " + " ".join(f"holder{k}" for k in range(quality_rules.MAX_NOTICE_WORDS - 1))
+    rows = [(1, f"Copyright {said}"), (2, f"Sign up {said}\nplus a good line"), (3, f"{said}\n{notice}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id: r.text for r in quality_rules.cleaned(docs).collect()}
+    assert kept == {1: rows[0][1], 2: rows[1][1], 3: said}

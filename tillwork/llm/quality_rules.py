@@ -1,9 +1,10 @@
 """Quality rules, line first: bad lines go, then documents that lose too much of their text.
 
 Per line: a line of symbol-laden words (punctuation), of short cells between bars (navigation),
-or a known notice (boilerplate) is removed. A document is rejected if it fails the base rules
-(too few words, or too many words in repeated 8-word windows), if fewer than MIN_SHARE of its
-words are left in good lines, or if most of its words shout.
+of shouting marks, or that is short and begins with a known notice (boilerplate) is removed. A
+longer line that begins so is a paragraph and stays. A document is rejected if it fails the base
+rules (too few words, or too many words in repeated 8-word windows) or if fewer than MIN_SHARE of
+its words are left in good lines.
 
 All of it is expressions over one row: no shuffle, no Python. Windows are compared by 64-bit
 hashes, sorted inside the row, so a document of many equal windows costs n log n.
@@ -22,6 +23,7 @@ WINDOW = 8
 MAX_REPEATED_PERCENT = 30
 MIN_SHARE = 0.5  # of the words have to be in good lines
 MAX_CELL_WORDS = 3
+MAX_NOTICE_WORDS = 20
 SYMBOLS = "#*$%&|<>"
 NOTICE = (
     r"(?i)^[^\p{L}\p{N}]*(copyright|all rights reserved|licensed under|released under"
@@ -103,7 +105,8 @@ def _bad(line: Column) -> Column:
         return cells | laden | shouting
 
     suspicious = line.rlike(r"[#*$%&|<>!]")
-    return line.rlike(NOTICE) | F.when(
+    short = F.regexp_count(line, F.lit(WORD)) <= MAX_NOTICE_WORDS
+    return (line.rlike(NOTICE) & short) | F.when(
         suspicious, let(F.regexp_count(line, F.lit(WORD)), symbols)
     ).otherwise(False)
 
