@@ -15,9 +15,10 @@ from tillwork.llm.secret_scan import scan
 from tillwork.llm.sharding import assign
 from tillwork.llm.sharding import report as shard_report
 from tillwork.llm.suffix_dedup import repeated_passages, repeated_spans
-from tillwork.llm.texts import documents, labels
+from tillwork.llm.texts import documents, embeddings, labels
 from tillwork.llm.token_counts import token_counts
 from tillwork.llm.toxicity import toxicity
+from tillwork.llm.whitening import whiten
 
 
 def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -60,6 +61,10 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(documents(spark, folder))
 
 
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten(embeddings(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     build.__name__: build
     for build in (
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity,
         op9_token_counts,
         op10_packing,
+        op13_whitening,
     )
 }
 

@@ -21,6 +21,10 @@ def labels(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/labels.parquet")
 
 
+def embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder.rstrip('/')}/embeddings.parquet")
+
+
 def whole(text: str | Column) -> Column:
     """The whole text; a missing one counts as empty."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
