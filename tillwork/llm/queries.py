@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillwork.llm import oracles
 from tillwork.llm.exact_dedup import exact_dedup
+from tillwork.llm.language_id import language_id
 from tillwork.llm.mixing import mix, taken
 from tillwork.llm.ngram_join import ngram_join
 from tillwork.llm.packing import pack
@@ -61,6 +62,10 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(documents(spark, folder))
 
 
+def op12_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id(documents(spark, folder))
+
+
 def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whiten(embeddings(spark, folder))
 
@@ -78,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity,
         op9_token_counts,
         op10_packing,
+        op12_language_id,
         op13_whitening,
     )
 }
