@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillwork.llm import oracles
+from tillwork.llm.alignment import alignment
 from tillwork.llm.exact_dedup import exact_dedup
 from tillwork.llm.language_id import language_id
 from tillwork.llm.mixing import mix, taken
@@ -62,6 +63,10 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(documents(spark, folder))
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment(documents(spark, folder))
+
+
 def op12_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id(documents(spark, folder))
 
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity,
         op9_token_counts,
         op10_packing,
+        op11_alignment,
         op12_language_id,
         op13_whitening,
     )
