@@ -14,21 +14,30 @@ Sizes fall into bands; a document emits the scheme of its own band and, if it ca
 of a pair, the one of the band below.
 
 A signature that many documents share is combined inside each Arrow batch, so the shuffle gets
-a row per batch of it. Documents of one signature are not paired with each other: in each round
-some centres (first the one with most shared signatures) are compared with the others, and only
-signatures whose documents are still in different components go on, with GROWTH times as many
-centres. The rounds end when every pair of a signature is compared or connected. From the second
-round on, a parity sketch of each set bounds the difference of two sets from below, so that most
-pairs are settled without their texts. Equal sets are one class before any of this. What a pair
-is worth is decided on the shingles themselves.
+a row per batch of it. Equal sets (the same size and the same two 64-bit sums over the hashes of
+the shingles) are one class before any of this. Documents of one signature are not paired with
+each other. First come rounds of one pair per document: the signature's best known document is
+its centre, and a document is compared with the centre it shares most signatures with. What links
+is merged, signatures left with one component go, and the rounds end when they merge little. So a
+family of near copies, however large, costs a pair per document and a round. Then every open
+signature compares its documents with one centre, then with GROWTH times as many, until all pairs
+of different components have been compared.
+
+A parity sketch of each set, as long as the set is large, bounds the difference of two sets from
+below: of all pairs only those it lets through are compared on their texts, and what a pair is
+worth is decided on the shingles themselves. Merges are handed on as pairs of labels, never as
+pairs of documents.
 
 Defined results: texts without words have an empty set and link with nothing; a row without id
 is returned with a null component and links with nothing; rows that repeat an id are one node
-and link as soon as one of their texts does. An empty table gives no rows.
+and link as soon as one of their texts does. Ids must be whole numbers or cast to them: others
+become null. Very long texts are shingled whole, in a batch of their own. Columns of other names
+are never read. An empty table gives no rows.
 """
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,9 +52,10 @@ HEAVY_SHARE = 0.002  # of the documents hold a heavy shingle
 MAX_HEAVY = 1 << 16  # bound of the broadcast; which shingles are heavy only moves cost
 CHANCE = HEAVY_SHARE  # that a document has a given shingle; those with more are left out first
 BUCKETS = 1 << 20  # bound of the broadcast that thins the texts before they are shuffled
-SKETCH = 256  # bits, in longs
+SKETCH = 64  # bits of the shortest sketch; a longer one is this times a power of two
 GROWTH = 16  # centres per signature, from one round to the next
-BATCH_TEXTS = 1_000
+FEW = 0.02  # of the open documents: fewer merges end the rounds of one pair per document
+BATCH_TEXTS, BATCH_CHARS = 500, 1 << 21
 
 
 def max_difference(small: int, large: int, percent: int) -> int:
@@ -73,43 +83,57 @@ def allocation(low: int, most: int, documents: int) -> tuple[int, int, bool]:
     return (near, 0, True) if near_cost < plain_cost else (plain, spare, False)
 
 
+def _batches(batch: pa.RecordBatch):
+    """(ids, texts) of parts of a batch, bounded in rows and, but for single texts, in size."""
+    sizes = pc.binary_length(batch.column(1)).to_pylist()
+    first = size = 0
+    for k, own in enumerate([*sizes, None]):
+        if k > first and (own is None or k - first == BATCH_TEXTS or size + own > BATCH_CHARS):
+            ids = batch.column(0).slice(first, k - first).cast(pa.int64())  # may hold nulls
+            yield ids, batch.column(1).slice(first, k - first).to_pylist()
+            first, size = k, 0
+        size += own or 0
+
+
 def _fingerprints(width: int):
-    """Rows of documents (kind 0: doc, size, set hash in two halves) and of frequent shingles."""
+    """Rows of documents (kind 0: doc, size, set hash in two halves, sketch) and of frequent
+    shingles."""
 
     def run(batches):
         shingle = Shingler(width)
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for at in range(0, len(texts), BATCH_TEXTS):
-                flat, start = shingle(texts[at : at + BATCH_TEXTS])
-                ids = batch.column(0).slice(at, BATCH_TEXTS).cast(pa.int64())  # may hold nulls
-                n = np.diff(start)
-                a, b = _sums(mixed(flat), start), _sums(mixed(~flat), start)
-                values, counts = np.unique(flat, return_counts=True)
-                often = counts >= max(3, HEAVY_SHARE * len(n) / 2)
-                heavy = values[often].view(np.int64)
-                zeros = np.zeros(len(heavy), np.int64)
-                parity = _sketches(flat, start)
-                yield _table(
-                    kind=np.concatenate([np.zeros(len(n)), np.ones(len(heavy))]).astype(np.int32),
-                    doc=pa.concat_arrays([ids, pa.array(zeros)]),
-                    n=np.concatenate([n, counts[often]]),
-                    a=np.concatenate([a.view(np.int64), heavy]),
-                    b=np.concatenate([b.view(np.int64), zeros]),
-                    **{f"s{k}": np.concatenate([parity[:, k], zeros]) for k in range(SKETCH // 64)},
-                )
+        for ids, texts in (part for batch in batches for part in _batches(batch)):
+            flat, start = shingle(texts)
+            n = np.diff(start)
+            a, b = _sums(mixed(flat), start), _sums(mixed(~flat), start)
+            values, counts = np.unique(flat, return_counts=True)
+            often = counts >= max(3, HEAVY_SHARE * len(n) / 2)
+            heavy = values[often].view(np.int64)
+            zeros = np.zeros(len(heavy), np.int64)
+            yield _table(
+                kind=np.concatenate([np.zeros(len(n)), np.ones(len(heavy))]).astype(np.int32),
+                doc=pa.concat_arrays([ids, pa.array(zeros)]),
+                n=np.concatenate([n, counts[often]]),
+                a=np.concatenate([a.view(np.int64), heavy]),
+                b=np.concatenate([b.view(np.int64), zeros]),
+                sketch=pa.concat_arrays([sketches(flat, start), pa.nulls(len(heavy), pa.list_(pa.int64()))]),
+            )
 
     return run
 
 
-def _sketches(flat: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Whether the shingles that fall on each of SKETCH bits are odd in number. Two sets differ
-    in at least as many shingles as their sketches differ in bits."""
-    n = len(start) - 1
-    owner = np.repeat(np.arange(n), np.diff(start))
-    bit = (mixed(flat ^ np.uint64(0x5BD1E995)) % np.uint64(SKETCH)).astype(np.int64)
-    odd = np.bincount(owner * SKETCH + bit, minlength=n * SKETCH).reshape(n, SKETCH) & 1
-    return np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
+def sketches(flat: np.ndarray, start: np.ndarray) -> pa.Array:
+    """For each bit of a sketch, whether the shingles that fall on it are odd in number. Two sets
+    differ in at least as many shingles as their sketches differ in bits. A sketch has the least
+    SKETCH * 2^k bits that are no fewer than the shingles, in longs; the two halves of a longer
+    one, taken together by exclusive or, are the shorter one."""
+    n = np.diff(start)
+    bits = SKETCH << np.maximum(np.ceil(np.log2(np.maximum(n, 1) / SKETCH)), 0).astype(np.int64)
+    first = np.concatenate([[0], np.cumsum(bits)])
+    owner = np.repeat(np.arange(len(n)), n)
+    place = (mixed(flat ^ np.uint64(0x5BD1E995)) & (bits[owner] - 1).astype(np.uint64)).astype(np.int64)
+    odd = np.bincount(first[owner] + place, minlength=first[-1]) & 1
+    longs = np.packbits(odd.astype(np.uint8)).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array((first // 64).astype(np.int32)), pa.array(longs))
 
 
 def _table(**columns) -> pa.RecordBatch:
@@ -163,11 +187,9 @@ def _signatures(width: int, plan: list, heavy: np.ndarray):
     def run(batches):
         shingle = Shingler(width)
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            texts = batch.column(1).to_pylist()
-            for at in range(0, len(texts), BATCH_TEXTS):
-                flat, start = shingle(texts[at : at + BATCH_TEXTS])
-                part = ids[at : at + BATCH_TEXTS]
+            for ids, texts in _batches(batch):
+                flat, start = shingle(texts)
+                part = ids.to_numpy(zero_copy_only=False)
                 sizes = np.diff(start)
                 same = np.stack([_sums(mixed(flat), start), _sums(mixed(~flat), start)], axis=1)
                 first = np.unique(same, axis=0, return_index=True)[1]  # one of equal sets
@@ -268,11 +290,9 @@ def ngram_join(
     text_col: str = "text",
 ) -> DataFrame:
     """doc_id, n_shingles, component_id of every row: components of the similarity graph."""
-    spark = docs.sparkSession
     all_texts = corpus(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     texts = all_texts.filter("doc_id is not null")
-    parts = [f"s{k}" for k in range(SKETCH // 64)]
-    schema = "kind int, doc long, n long, a long, b long, " + ", ".join(f"{p} long" for p in parts)
+    schema = "kind int, doc long, n long, a long, b long, sketch array<long>"
     first = pin(all_texts.mapInArrow(_fingerprints(width), schema), "shingle-sets")
     sets = first.filter("kind = 0").drop("kind")
     full = sets.filter("n > 0 and doc is not null")
@@ -292,48 +312,62 @@ def ngram_join(
             near = in_band.get(k, 0) + in_band.get(k + 1, 0)
             plan.append((k, low, partner, *allocation(low, most, near)))
 
-    same = pin(_classes(full.drop(*parts)), "equal-sets")
+    same = pin(_classes(full.drop("sketch")), "equal-sets")
     # An id with texts of its own on several rows has no sketch and is compared in full.
     sketch = full.groupBy("doc").agg(
-        F.count("*").alias("texts"), F.max("n").alias("n"), *[F.max(p).alias(p) for p in parts]
+        F.count("*").alias("texts"), F.max("n").alias("n"), F.max("sketch").alias("sketch")
     )
-    sketch = sketch.filter("texts = 1").select("doc", F.struct("n", *parts).alias("sketch"))
+    sketch = sketch.filter("texts = 1").select("doc", "n", "sketch")
     rows = texts.mapInArrow(_signatures(width, plan, np.sort(heavy)), "sig long, doc long, kind int")
-    shared = _shared(rows)
+    labels = pin(components(same), "components")
+
+    def linked(facing: DataFrame) -> DataFrame:
+        return pin(_verified(_possible(facing, sketch, percent), texts, percent, width), "similar")
+
+    def merged(found: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """What the links merge, as (label, to), and the labels after it."""
+        ends = _labelled(_labelled(found, labels, "a"), labels, "b")
+        merges = pin(components(ends.filter("a != b")), "merges").select(
+            F.col("doc").alias("label"), F.col("component").alias("to")
+        )
+        moved = _moved(labels.select("doc", F.col("component").alias("label")), merges)
+        new = merges.select(F.col("label").alias("doc"), F.col("to").alias("label"))
+        after = moved.unionByName(new).withColumnRenamed("label", "component")
+        return merges, pin(after, "components")
+
     # One node for each class of equal sets; what is then alone in a signature goes.
-    named = shared.join(same.withColumnRenamed("a", "doc"), "doc", "left")
-    named = named.select("sig", F.coalesce("b", "doc").alias("doc"))
-    candidates = pin(named, "signatures")
-    links, labels, tried = same, None, None
+    candidates = _labelled(_shared(rows), same, "doc", "b").distinct()
+    candidates = pin(_mixed(_labelled(candidates.withColumn("label", F.col("doc")), labels, "label")), "signatures")
     scores = candidates.groupBy("doc").agg(F.count("*").alias("score"))
-    open_rows = _undecided(candidates.distinct(), None).join(scores, "doc")
-    open_rows = pin(open_rows.withColumn("sketch", F.lit(None).cast(sketch.schema["sketch"].dataType)), "open")
+    open_rows = candidates.join(scores, "doc")
+    tried = None
+    while True:  # one pair per document
+        open_rows = pin(open_rows, "open")
+        facing = _untried(_one_centre(open_rows), tried)
+        facing = pin(facing, "pairs")
+        tried = facing if tried is None else tried.unionByName(facing)
+        found = linked(facing)
+        merges, labels = merged(found, labels)
+        open_rows = _mixed(_moved(open_rows, merges))
+        if merges.count() <= FEW * facing.count():
+            break
+    open_rows = pin(open_rows, "open")
     centres = 1
     while not open_rows.isEmpty():
-        slot = F.pmod(F.xxhash64("label", F.lit(centres)), F.lit(centres))
-        best = F.max_by(F.struct("doc", "label", "sketch"), F.struct("score", -F.col("doc")))
-        chosen = open_rows.groupBy("sig", slot.alias("slot")).agg(best.alias("best"))
-        chosen = pin(chosen.select(F.col("sig").alias("at"), "best"), "centres")
-        facing = open_rows.join(chosen, matching("sig", "at")).filter(
-            (F.col("label") != F.col("best.label"))
-            & _possible(F.col("sketch"), F.col("best.sketch"), percent)
-        )
+        chosen = pin(_centres(open_rows, centres), "centres")
+        facing = open_rows.join(chosen, matching("sig", "at")).filter(F.col("label") != F.col("best.label"))
         facing = facing.select("doc", F.col("best.doc").alias("centre")).distinct()
-        if tried is not None:
-            facing = facing.join(tried, ["doc", "centre"], "left_anti")
-        facing = pin(facing, "pairs")
-        tried = facing if tried is None else tried.unionByName(facing)
-        found = pin(_verified(facing, texts, percent, width), "similar")
-        if labels is None or not found.isEmpty():
-            links = links.unionByName(found)
-            labels = pin(components(links), "components")
-        left = open_rows.drop("label", "sketch").join(
+        facing = pin(_untried(facing, tried), "pairs")
+        tried = tried.unionByName(facing)
+        found = linked(facing)
+        left = open_rows.join(
             chosen.select(F.col("at").alias("sig"), F.col("best.doc").alias("doc")), ["sig", "doc"], "left_anti"
         )
-        open_rows = pin(_undecided(left, labels).join(sketch, "doc", "left"), "open")
+        if not found.isEmpty():
+            merges, labels = merged(found, labels)
+            left = _moved(left, merges)
+        open_rows = pin(_mixed(left), "open")
         centres *= GROWTH
-    if labels is None:
-        labels = components(links)
     found = sets.select("doc", "n").join(labels, "doc", "left")
     return found.select(
         F.col("doc").alias("doc_id"),
@@ -342,26 +376,74 @@ def ngram_join(
     )
 
 
-def _possible(one, other, percent: int):
-    """False for sets whose sizes or sketches already differ by too much; true where unknown."""
-    total = one["n"] + other["n"]
-    differ = sum(
-        (F.bit_count(one[f"s{k}"].bitwiseXOR(other[f"s{k}"])) for k in range(SKETCH // 64)), F.lit(0)
+def _labelled(rows: DataFrame, labels: DataFrame, column: str, to: str = "component") -> DataFrame:
+    """``rows`` with the label of ``column`` in its place. ``labels`` has a row per id that has
+    another label than itself, in ``doc`` or ``a``."""
+    key = "doc" if "doc" in labels.columns else "a"
+    named = labels.select(F.col(key).alias("named_id"), F.col(to).alias("named_to"))
+    joined = rows.join(named, matching(column, "named_id"), "left")
+    return joined.withColumn(column, F.coalesce("named_to", column)).drop("named_id", "named_to")
+
+
+def _moved(rows: DataFrame, merges: DataFrame) -> DataFrame:
+    return _labelled(rows, merges.withColumnRenamed("label", "doc"), "label", "to")
+
+
+def _one_centre(open_rows: DataFrame) -> DataFrame:
+    """(doc, centre): for each document the centre with which it shares most signatures."""
+    chosen = _centres(open_rows, 1)
+    facing = open_rows.join(chosen, matching("sig", "at")).filter(F.col("label") != F.col("best.label"))
+    shared = facing.groupBy("doc", F.col("best.doc").alias("centre")).agg(F.count("*").alias("n"))
+    best = F.max_by("centre", F.struct("n", -F.col("centre")))
+    return shared.groupBy("doc").agg(best.alias("centre"))
+
+
+def _centres(open_rows: DataFrame, centres: int) -> DataFrame:
+    """(at, best): up to ``centres`` documents of each signature, those with most signatures."""
+    slot = F.pmod(F.xxhash64("label", F.lit(centres)), F.lit(centres))
+    best = F.max_by(F.struct("doc", "label"), F.struct("score", -F.col("doc")))
+    chosen = open_rows.groupBy("sig", slot.alias("slot")).agg(best.alias("best"))
+    return chosen.select(F.col("sig").alias("at"), "best")
+
+
+def _untried(facing: DataFrame, tried: DataFrame | None) -> DataFrame:
+    return facing if tried is None else facing.join(tried, ["doc", "centre"], "left_anti")
+
+
+def _possible(facing: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
+    """Pairs without those whose sizes or sketches already differ by too much."""
+    mine = sketch.select(F.col("doc").alias("my_id"), F.struct("n", "sketch").alias("mine"))
+    theirs = sketch.select(F.col("doc").alias("their_id"), F.struct("n", "sketch").alias("theirs"))
+    both = facing.join(mine, matching("doc", "my_id"), "left").join(theirs, matching("centre", "their_id"), "left")
+    total = F.col("mine.n") + F.col("theirs.n")
+    apart = F.abs(F.col("mine.n") - F.col("theirs.n"))
+    sized = apart * (100 + percent) <= (100 - percent) * total
+    one, other = F.col("mine.sketch"), F.col("theirs.sketch")
+    # Sizes that may be similar are less than twice each other: one fold is enough.
+    one, other = (
+        F.when(F.size(x) > F.size(y), _folded(x)).otherwise(x) for x, y in ((one, other), (other, one))
+    )
+    bits = F.aggregate(
+        F.zip_with(one, other, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, k: total + k
+    )
+    near = sized & (bits * (100 + percent) <= (100 - percent) * total)
+    return both.filter(F.coalesce(near, F.lit(True))).select("doc", "centre")
+
+
+def _folded(sketch):
+    half = F.size(sketch) / 2
+    return F.zip_with(
+        F.slice(sketch, F.lit(1), half.cast("int")),
+        F.slice(sketch, half.cast("int") + 1, half.cast("int")),
+        lambda x, y: x.bitwiseXOR(y),
     )
-    near = F.greatest(differ, F.abs(one["n"] - other["n"])) * (100 + percent) <= (100 - percent) * total
-    return F.coalesce(near, F.lit(True))
-
-
-def _undecided(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Rows (sig, doc, ..., label) of signatures with documents of more than one component."""
-    if labels is None:
-        named = rows.withColumn("label", F.col("doc"))
-    else:
-        rows = rows.drop("label")
-        named = rows.join(labels, "doc", "left").withColumn("label", F.coalesce("component", "doc")).drop("component")
-    ends = named.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    mixed_ = ends.filter("low < high").select(F.col("sig").alias("at"))
-    return named.join(mixed_, matching("sig", "at"), "left_semi")
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """Rows (sig, ..., label) of signatures with documents of more than one component."""
+    ends = rows.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    open_ = ends.filter("low < high").select(F.col("sig").alias("open_sig"))
+    return rows.join(open_, matching("sig", "open_sig"), "left_semi")
 
 
 def keep_one(
