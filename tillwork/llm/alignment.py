@@ -162,7 +162,7 @@ class Writer:
     def __call__(self, ids: np.ndarray, last: np.ndarray, side: np.ndarray) -> str:
         """``ids`` in order; ``last`` of their side in a group; ``side`` 0 or 1."""
         kind = np.where(last, side + 1, 0)
-        text = self.table[kind * self.ids + ids].tobytes().replace(b"\0", b"")
+        text = self.table[kind * self.ids + ids].tobytes().translate(None, b"\0")
         return hashlib.sha256(text[:-1]).hexdigest()  # no separator after the last group
 
 
