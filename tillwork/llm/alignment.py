@@ -24,6 +24,7 @@ of other names are never read. An empty table gives no rows.
 """
 
 import hashlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwork.llm.texts import pin
-from tillwork.llm.tokens import tokenizer_path
+from tillwork.llm.tokens import CACHED_PIECES, tokenizer_path
 
 BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 PIECE = 1 << 14  # steps of the merge path
@@ -68,9 +69,51 @@ class Tokens:
             piece = self.b.id_to_piece(k)
             byte = self.b.is_byte(k)
             b_bytes.append(bytes([int(piece[3:5], 16)]) if byte else piece.replace(SPACE, " ").encode())
+        # No piece has a space inside but those of spaces alone, so the words of a text are
+        # encoded apart wherever single spaces part them.
+        joined = [p for p in b_bytes if b" " in p[1:] and p.strip(b" ")]
+        self.by_words = not joined
+        self._forget()
         self.bytes = a_bytes, b_bytes
         self.sizes = [np.array([len(x) for x in side], dtype=np.int64) for side in self.bytes]
 
+    def _forget(self):
+        self.number: dict[str, int] = {}
+        self.flat = np.zeros(0, np.int64)
+        self.start = np.zeros(1, np.int64)
+        self.sound = np.zeros(0, bool)
+
+    def _learn(self, words: list[str]) -> None:
+        for word in words:
+            self.number[word] = len(self.number)
+        ids = self.b.encode(words, num_threads=1)
+        sound = [self._gives(own, 1, (" " + word).encode()) for own, word in zip(ids, words)]
+        sizes = np.array([len(own) for own in ids], dtype=np.int64)
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.int64, int(sizes.sum()))])
+        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(sizes)])
+        self.sound = np.concatenate([self.sound, sound])
+
+    def _pieces(self, texts: list[str]) -> list[np.ndarray | None]:
+        """B's ids of each text, None where they do not give it back."""
+        if len(self.number) > CACHED_PIECES:
+            self._forget()
+        split = [t.split(" ") if self.by_words else [""] for t in texts]
+        plain = ["" not in words for words in split]  # else spaces meet or stand at an end
+        new = set().union(*[w for w, p in zip(split, plain) if p]).difference(self.number)
+        if new:
+            self._learn(sorted(new))
+        found = []
+        for text, words, whole in zip(texts, split, plain):
+            if not whole:
+                ids = self.b.encode(text)
+                found.append(np.array(ids, np.int64) if self._gives(ids, 1, (" " + text).encode()) else None)
+                continue
+            at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+            size = self.start[at + 1] - self.start[at]
+            begin = np.repeat(self.start[at] - (np.cumsum(size) - size), size)
+            found.append(self.flat[begin + np.arange(len(begin))] if self.sound[at].all() else None)
+        return found
+
     def __call__(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Ids of A and B of each text; empty where it has no tokens."""
         none = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -80,11 +123,11 @@ class Tokens:
             chosen = some[at[0] : at[1]]
             spaced = [" " + texts[k] for k in chosen]
             first = self.a.encode_batch_fast(spaced, add_special_tokens=False)
-            second = self.b.encode([texts[k] for k in chosen], num_threads=1)
-            for k, text, one, ids in zip(chosen, spaced, first, second):
-                a, b, raw = one.ids, ids, text.encode()
-                if self._gives(a, 0, raw) and self._gives(b, 1, raw):
-                    found[k] = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+            second = self._pieces([texts[k] for k in chosen])
+            for k, text, one, b in zip(chosen, spaced, first, second):
+                a = one.ids
+                if b is not None and self._gives(a, 0, text.encode()):
+                    found[k] = np.array(a, dtype=np.int64), b
         return found
 
     def _gives(self, ids: list[int], side: int, raw: bytes) -> bool:
