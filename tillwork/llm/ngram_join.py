@@ -19,9 +19,10 @@ the shingles) are one class before any of this. Documents of one signature are n
 each other. First come rounds of one pair per document: the signature's best known document is
 its centre, and a document is compared with the centre it shares most signatures with. What links
 is merged, signatures left with one component go, and the rounds end when they merge little. So a
-family of near copies, however large, costs a pair per document and a round. Then every open
-signature compares its documents with one centre, then with GROWTH times as many, until all pairs
-of different components have been compared.
+family of near copies, however large, costs a pair per document and a round. Then the documents
+of every signature that is still open are compared in sketches, block with block where there are
+many, and only pairs that pass go on: each document with its closest one, what links is merged,
+pairs inside one component go, until none is left.
 
 A parity sketch of each set, as long as the set is large, bounds the difference of two sets from
 below: of all pairs only those it lets through are compared on their texts, and what a pair is
@@ -53,7 +54,8 @@ MAX_HEAVY = 1 << 16  # bound of the broadcast; which shingles are heavy only mov
 CHANCE = HEAVY_SHARE  # that a document has a given shingle; those with more are left out first
 BUCKETS = 1 << 20  # bound of the broadcast that thins the texts before they are shuffled
 SKETCH = 64  # bits of the shortest sketch; a longer one is this times a power of two
-GROWTH = 16  # centres per signature, from one round to the next
+SPARSE = 4  # bits of a sketch for each shingle, at least
+BLOCK = 512  # documents of a signature that are compared with each other in one place
 FEW = 0.02  # of the open documents: fewer merges end the rounds of one pair per document
 BATCH_TEXTS, BATCH_CHARS = 500, 1 << 21
 
@@ -124,10 +126,10 @@ def _fingerprints(width: int):
 def sketches(flat: np.ndarray, start: np.ndarray) -> pa.Array:
     """For each bit of a sketch, whether the shingles that fall on it are odd in number. Two sets
     differ in at least as many shingles as their sketches differ in bits. A sketch has the least
-    SKETCH * 2^k bits that are no fewer than the shingles, in longs; the two halves of a longer
-    one, taken together by exclusive or, are the shorter one."""
+    SKETCH * 2^k bits that are no fewer than SPARSE times the shingles, in longs; the parts of a
+    longer one, taken together by exclusive or, are the shorter one."""
     n = np.diff(start)
-    bits = SKETCH << np.maximum(np.ceil(np.log2(np.maximum(n, 1) / SKETCH)), 0).astype(np.int64)
+    bits = SKETCH << np.maximum(np.ceil(np.log2(np.maximum(n, 1) * SPARSE / SKETCH)), 0).astype(np.int64)
     first = np.concatenate([[0], np.cumsum(bits)])
     owner = np.repeat(np.arange(len(n)), n)
     place = (mixed(flat ^ np.uint64(0x5BD1E995)) & (bits[owner] - 1).astype(np.uint64)).astype(np.int64)
@@ -319,7 +321,11 @@ def ngram_join(
     )
     sketch = sketch.filter("texts = 1").select("doc", "n", "sketch")
     rows = texts.mapInArrow(_signatures(width, plan, np.sort(heavy)), "sig long, doc long, kind int")
-    labels = pin(components(same), "components")
+    # Links to the least of a class are stars already, unless an id is in several classes.
+    several = sets.groupBy("doc").count().filter("count > 1 and doc is not null")
+    labels = same.select(F.col("a").alias("doc"), F.col("b").alias("component"))
+    if not several.isEmpty():
+        labels = pin(components(same), "components")
 
     def linked(facing: DataFrame) -> DataFrame:
         return pin(_verified(_possible(facing, sketch, percent), texts, percent, width), "similar")
@@ -347,27 +353,26 @@ def ngram_join(
         facing = pin(facing, "pairs")
         tried = facing if tried is None else tried.unionByName(facing)
         found = linked(facing)
+        if found.isEmpty():
+            break
         merges, labels = merged(found, labels)
         open_rows = _mixed(_moved(open_rows, merges))
         if merges.count() <= FEW * facing.count():
             break
-    open_rows = pin(open_rows, "open")
-    centres = 1
-    while not open_rows.isEmpty():
-        chosen = pin(_centres(open_rows, centres), "centres")
-        facing = open_rows.join(chosen, matching("sig", "at")).filter(F.col("label") != F.col("best.label"))
-        facing = facing.select("doc", F.col("best.doc").alias("centre")).distinct()
-        facing = pin(_untried(facing, tried), "pairs")
-        tried = tried.unionByName(facing)
-        found = linked(facing)
-        left = open_rows.join(
-            chosen.select(F.col("at").alias("sig"), F.col("best.doc").alias("doc")), ["sig", "doc"], "left_anti"
-        )
+    # Then all pairs of the open signatures that the sketches let through, the closest first.
+    near = _untried(pin(_near(open_rows, sketch, percent), "near"), tried)
+    near = _labelled(_labelled(near.withColumns({"one": F.col("doc"), "other": F.col("centre")}), labels, "one"), labels, "other")
+    near = pin(near.filter("one != other"), "near")
+    while not near.isEmpty():
+        closest = near.groupBy("doc").agg(F.min_by("centre", F.struct("apart", "centre")).alias("centre"))
+        closest = pin(closest, "pairs")
+        found = pin(_verified(closest, texts, percent, width), "similar")
+        near = near.join(closest, ["doc", "centre"], "left_anti")
         if not found.isEmpty():
             merges, labels = merged(found, labels)
-            left = _moved(left, merges)
-        open_rows = pin(_mixed(left), "open")
-        centres *= GROWTH
+            merges = merges.withColumnRenamed("label", "doc")
+            near = _labelled(_labelled(near, merges, "one", "to"), merges, "other", "to")
+        near = pin(near.filter("one != other"), "near")
     found = sets.select("doc", "n").join(labels, "doc", "left")
     return found.select(
         F.col("doc").alias("doc_id"),
@@ -391,19 +396,92 @@ def _moved(rows: DataFrame, merges: DataFrame) -> DataFrame:
 
 def _one_centre(open_rows: DataFrame) -> DataFrame:
     """(doc, centre): for each document the centre with which it shares most signatures."""
-    chosen = _centres(open_rows, 1)
+    chosen = _centres(open_rows)
     facing = open_rows.join(chosen, matching("sig", "at")).filter(F.col("label") != F.col("best.label"))
     shared = facing.groupBy("doc", F.col("best.doc").alias("centre")).agg(F.count("*").alias("n"))
     best = F.max_by("centre", F.struct("n", -F.col("centre")))
     return shared.groupBy("doc").agg(best.alias("centre"))
 
 
-def _centres(open_rows: DataFrame, centres: int) -> DataFrame:
-    """(at, best): up to ``centres`` documents of each signature, those with most signatures."""
-    slot = F.pmod(F.xxhash64("label", F.lit(centres)), F.lit(centres))
+def _centres(open_rows: DataFrame) -> DataFrame:
+    """(at, best): of each signature the document with most signatures."""
     best = F.max_by(F.struct("doc", "label"), F.struct("score", -F.col("doc")))
-    chosen = open_rows.groupBy("sig", slot.alias("slot")).agg(best.alias("best"))
-    return chosen.select(F.col("sig").alias("at"), "best")
+    return open_rows.groupBy("sig").agg(best.alias("best")).select(F.col("sig").alias("at"), "best")
+
+
+def _near(open_rows: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
+    """(doc, centre, apart): pairs of different components in an open signature whose sketches let
+    them be similar. Signatures with more than BLOCK documents are cut into blocks, and each two
+    blocks are compared in one place: rows that move grow with the blocks, not with the pairs,
+    and only pairs that pass are written."""
+    rows = open_rows.select("sig", "doc", "label")
+    sizes = rows.groupBy("sig").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    sizes = sizes.select(F.col("sig").alias("at"), "blocks")
+    rows = rows.join(sizes, matching("sig", "at")).drop("at")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
+    known = sketch.select(F.col("doc").alias("its"), "n", "sketch")
+    rows = rows.join(known, matching("doc", "its"), "left").drop("its")
+    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    keys = ["sig", "low", "high"]
+    dealt = rows.select(
+        "sig", F.least("own", "with").alias("low"), F.greatest("own", "with").alias("high"), "own", "doc", "label", "n", "sketch"
+    )
+    dealt = dealt.repartition(*keys).sortWithinPartitions(*keys)
+    found = dealt.mapInArrow(_compared(percent), "doc long, centre long, apart int")
+    return found.groupBy("doc", "centre").agg(F.min("apart").alias("apart"))
+
+
+def _compared(percent: int):
+    def run(batches):
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
+            if not table.num_rows:
+                continue
+            keys = np.stack([table.column(c).to_numpy() for c in ("sig", "low", "high")])
+            first = np.flatnonzero(np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)]))
+            for start, end in zip(first[:-1], first[1:]):
+                yield from _pairs(table.slice(start, end - start), percent)
+            held = table.slice(first[-1]).to_batches()[0]
+        if held is not None:
+            yield from _pairs(pa.Table.from_batches([held]), percent)
+
+    return run
+
+
+def _pairs(group: pa.Table, percent: int):
+    """The pairs of a group (of two blocks, or of one) that may be similar."""
+    doc, label, own = (group.column(c).to_numpy() for c in ("doc", "label", "own"))
+    n = group.column("n").to_numpy(zero_copy_only=False).astype(float)
+    lists = group.column("sketch").to_pylist()
+    blind = np.array([x is None for x in lists])
+    sizes = [len(x) for x in lists if x is not None]
+    width = min(sizes, default=1)
+    table = np.zeros((len(doc), width), np.uint64)
+    for k, x in enumerate(lists):
+        if x is not None:  # halves taken together until it is as short as the shortest
+            table[k] = np.bitwise_xor.reduce(np.array(x, np.int64).view(np.uint64).reshape(-1, width), axis=0)
+    one_block = group.column("low")[0].as_py() == group.column("high")[0].as_py()
+    found = []
+    for k in range(len(doc)):
+        other = np.arange(k + 1, len(doc))
+        other = other[(label[other] != label[k]) & (doc[other] != doc[k])]
+        if not one_block:
+            other = other[own[other] != own[k]]
+        if not blind[k]:
+            reach = (100 - percent) * (n[other] + n[k])
+            other = other[blind[other] | (np.abs(n[other] - n[k]) * (100 + percent) <= reach)]
+        if not len(other):
+            continue
+        apart = np.bitwise_count(table[other] ^ table[k]).sum(axis=1).astype(np.int64)
+        unsure = blind[other] | blind[k]
+        apart[unsure] = 0
+        near = unsure | (apart * (100 + percent) <= (100 - percent) * (n[other] + n[k]))
+        other, apart = other[near], apart[near]
+        if len(other):
+            found.append((np.maximum(doc[other], doc[k]), np.minimum(doc[other], doc[k]), apart.astype(np.int32)))
+    if found:
+        yield _table(**{c: np.concatenate(x) for c, x in zip(("doc", "centre", "apart"), zip(*found))})
 
 
 def _untried(facing: DataFrame, tried: DataFrame | None) -> DataFrame:
