@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tillwork.operators.ordered import SLICE, _slices, over_ordered, slice_count
+from tillwork.operators.ordered import SLICE, over_ordered, slice_count, slices
 
 
 @pytest.fixture(scope="module")
@@ -59,7 +59,7 @@ def test_ntile_with_more_buckets_than_rows(spark):
 
 
 def test_a_hot_group_is_cut_into_even_slices(spark, rows):
-    sliced = _slices(rows, ["g"], [("v", "asc"), ("id", "asc")], slice_count(rows))
+    sliced = slices(rows, ["g"], [("v", "asc"), ("id", "asc")], slice_count(rows))
     sizes = [r["count"] for r in sliced.groupBy(SLICE).count().collect()]
     assert len(sizes) > 4
     assert max(sizes) < 2 * rows.count() / len(sizes)
@@ -89,3 +89,30 @@ def test_pairs_of_names_with_one_order_of_many_names(spark):
     top = [(r[0], r[1], r[2]) for r in found if r[2] > 1]
     assert top == [("a", "b", 58), ("a", "c", 58), ("b", "c", 58)]
     assert len(found) == 3  # the rare names are gone before they are paired
+
+
+def test_the_input_runs_once_and_is_shuffled_once(spark, rows):
+    seen = spark.sparkContext.accumulator(0)
+    counted = F.udf(lambda v: seen.add(1) or v, "int")
+    upstream = rows.select("id", "g", counted("v").alias("v"))
+    found = over_ordered(
+        upstream, [("v", "desc"), ("id", "asc")], group=["g"], ties=1, row_number="rn", rank="rk",
+        dense_rank="dr", ntile=("nt", 4), running={"run": "v"}, totals={"tot": "v"}, lag={"prev": "id"},
+    )
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == rows.count() == seen.value
+    # The one full shuffle is the layout. What is left gathers two rows a slice.
+    moved = [line for line in plan.split("\n") if "Exchange" in line]
+    whole = [line for line in plan[: plan.index("BroadcastExchange")].split("\n") if "Exchange " in line]
+    assert not whole and "rangepartitioning" not in plan
+    assert len([line for line in moved if "Broadcast" not in line]) <= 2, moved
+
+
+def test_tables_go_with_the_release(spark):
+    from tillwork.sources import shared
+
+    few = spark.createDataFrame([(1, 10), (2, 20)], "id long, v int")
+    before = {t.name for t in spark.catalog.listTables()}
+    assert over_ordered(few, [("v", "asc")], row_number="rn").count() == 2
+    made = {t.name for t in spark.catalog.listTables()} - before
+    assert len(made) == 1 and made <= set(shared._TABLES[spark.sparkContext.applicationId])

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillwork.operators.clean import fill_approx_median, fill_median, fill_mode, require_complete
+from tillwork.operators import quantiles
 from tillwork.operators.quantiles import exact_quantiles, most_common
 
 POINTS = {"least": 0.0, "q1": 0.25, "median": 0.5, "q77": 0.77, "most": 1.0}
@@ -56,3 +57,37 @@ def test_require_complete(spark):
     assert require_complete(rows.filter("v is not null"), "v").count() == 1
     with pytest.raises(Exception, match="null in column v"):
         require_complete(rows, "v").collect()
+
+
+def test_bands_are_narrowed_and_opened_again(values, monkeypatch):
+    monkeypatch.setattr(quantiles, "BAND_ROWS", 20)
+    monkeypatch.setattr(quantiles, "ACCURACY", 100)
+    columns = ["hot", "spread", "few", "none"]
+    shares = F.array(*[F.lit(p) for p in POINTS.values()])
+
+    def check():
+        found = {r["column_name"]: r for r in exact_quantiles(values, columns, POINTS).collect()}
+        assert set(found) == {"hot", "spread", "few"}
+        for c in found:
+            expected = values.agg(F.percentile(c, shares)).first()[0]
+            assert [found[c][p] for p in POINTS] == pytest.approx(expected, abs=1e-12)
+
+    check()
+    narrow = quantiles._narrow
+
+    def wrong(df, of, spots):  # a sketch that is far off
+        narrow(df, of, spots)
+        for k, p in enumerate(spots):
+            p.low, p.high = (p.low + 1, p.high + 1) if k % 2 else (p.low - 2, p.low - 1)
+
+    monkeypatch.setattr(quantiles, "_narrow", wrong)
+    check()
+
+
+def test_only_a_band_is_put_in_order(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "BAND_ROWS", 1_000)
+    found = exact_quantiles(spark.range(1_000_000).select("id"), ["id"], {"m": 0.5})
+    assert found.first()["m"] == 499_999.5
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    bands = [p for p in plan.split("\n") if "Window" in p]
+    assert len(bands) == 1 and "Generate" in plan

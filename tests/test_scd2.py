@@ -121,3 +121,57 @@ def test_stock_is_guarded_as_one_order_after_the_other(spark):
     levels = spark.createDataFrame(list(stock.items()), "item long, level long")
     found = scd2.guard_stock(demand, levels, "ord", "item", "q", "level").collect()
     assert {r["ord"]: r["accepted"] for r in found} == expected
+
+
+def test_a_chain_of_dependent_orders_and_a_hot_item(spark):
+    # Order k wants items k and k + 1, of which there is one each: every other order is served.
+    demand = [(k, i, 1) for k in range(8) for i in (k, k + 1)]
+    # A third item is in every order, beyond what is left of it for the last ones.
+    demand += [(k, 1000, 2) for k in range(100, 300)] + [(None, 1000, 1), (301, None, 1)]
+    stock = spark.createDataFrame([(k, 1) for k in range(9)] + [(1000, 201)], "item long, level long")
+    orders = spark.createDataFrame(demand, "ord long, item long, q long").repartition(5)
+    found = {r["ord"]: r for r in scd2.guard_stock(orders, stock, "ord", "item", "q", "level").collect()}
+    assert all(found[k]["accepted"] == (k % 2 == 0) for k in range(8))
+    assert all(found[k]["accepted"] == (k < 200) for k in range(100, 300))
+    assert found[None]["accepted"] and not found[301]["accepted"]
+    assert found[1]["items"] == 2 and found[1]["items_in_stock"] == 1 and found[299]["items_in_stock"] == 0
+
+
+def test_rounds_hand_on_only_what_is_undecided(spark, monkeypatch):
+    sizes, pin = [], scd2.pin
+
+    def counted(df, label="x"):
+        kept = pin(df, label)
+        sizes.append(kept.filter("_state is null or _state = 1").count())
+        return kept
+
+    monkeypatch.setattr(scd2, "pin", counted)
+    demand = [(k, 0, 1) for k in range(500)] + [(1000 + k, i, 1) for k in range(6) for i in (k + 1, k + 2)]
+    stock = spark.createDataFrame([(0, 500)] + [(k, 1) for k in range(1, 8)], "item long, level long")
+    orders = spark.createDataFrame(demand, "ord long, item long, q long")
+    scd2.guard_stock(orders, stock, "ord", "item", "q", "level").collect()
+    assert sizes[0] == 512 and max(sizes[2:]) <= 12 and sizes[-1] <= 4
+
+
+def test_as_of_a_product_with_very_many_versions(spark):
+    first = date(1900, 1, 1)
+    many = spark.range(100_000).select(
+        (F.col("id") / 40_000).cast("long").alias("id"), F.col("id").alias("price"),
+        F.date_add(F.lit(first), (F.col("id") % 40_000).cast("int")).alias("effective_date"),
+    )
+    # The last version of each product is closed the day after it began.
+    versions = many.withColumn("end_date", F.date_add("effective_date", 1)).withColumn("is_current", F.lit(False))
+    sales = spark.range(50_000).select(
+        F.col("id").alias("sale"), F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id") % 4).alias("sold"),
+        F.date_add(F.lit(first), (F.col("id") % 41_000 - 500).cast("int")).alias("d"),
+    )
+    found = as_of(sales, versions, "sold", "id", "d")
+    sold, day = F.col("sold"), F.col("sale") % 41_000 - 500
+    size = F.when(sold == 2, 20_000).when(sold < 2, 40_000).otherwise(0)
+    expected = sales.filter((day >= 0) & (day < size)).select("sale", (sold * 40_000 + day).alias("price"))
+    got = found.select("sale", "price")
+    assert got.count() == expected.count() > 25_000
+    assert got.exceptAll(expected).isEmpty()
+    assert found.columns == [*sales.columns, *versions.columns]
+    assert as_of(sales.limit(0), versions, "sold", "id", "d").isEmpty()
+    assert as_of(sales, versions.limit(0), "sold", "id", "d").isEmpty()

@@ -1,8 +1,10 @@
 """Joins that stay balanced when one key holds a large share of the rows."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillwork.operators.ordered import SLICE, slice_count, slices
+
 
 def keys_of(df: DataFrame, *columns: str) -> DataFrame:
     """Distinct non-null keys. Copies collapse before the shuffle, so no key is heavy."""
@@ -42,13 +44,47 @@ def first_pairs(left: DataFrame, right: DataFrame, left_order, right_order, n: i
 def as_of(facts: DataFrame, versions: DataFrame, on: str, key: str, at: str) -> DataFrame:
     """Attach the version in force: ``effective_date <= at < end_date``, open end allowed.
 
-    An equi-join on the key with a range residue. ``versions`` holds one row per change, and
-    a hot key among the facts is split by AQE because an inner join may split either side.
+    The versions of a key do not overlap, so only the last one that began can be in force. Facts
+    and versions are put in one order by (key, time), in even slices, and each version is carried
+    forward to the facts behind it; what a slice begins with comes from one row per slice. No
+    fact meets another version than its own, however many versions a key has, and a key that
+    most facts have is cut like any other.
     """
-    in_force = (F.col(at) >= F.col("effective_date")) & (
-        F.col("end_date").isNull() | (F.col(at) < F.col("end_date"))
+    own, theirs = facts.schema, versions.schema
+    rows = facts.filter(F.col(on).isNotNull() & F.col(at).isNotNull()).select(
+        F.col(on).alias("_key"), F.col(at).cast("date").alias("_time"), F.lit(1).alias("_kind"),
+        F.struct(*facts.columns).alias("_fact"), F.lit(None).cast(theirs).alias("_version"),
+    )
+    begun = versions.filter(F.col(key).isNotNull()).select(
+        F.col(key).alias("_key"), F.col("effective_date").cast("date").alias("_time"), F.lit(0).alias("_kind"),
+        F.lit(None).cast(own).alias("_fact"), F.struct(*versions.columns).alias("_version"),
+    )
+    both = rows.unionByName(begun)
+    order = [("_time", "asc"), ("_kind", "asc")]
+    count = slice_count(both)
+    sliced = slices(both, ["_key"], order, count)
+    place = Window.partitionBy("_key", SLICE).orderBy("_time", "_kind")
+    so_far = place.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carried = sliced.repartitionByRange(count, SLICE).withColumn(
+        "_last", F.last("_version", ignorenulls=True).over(so_far)
+    )
+    # The last version of a key in each slice, for the slices in which the key goes on.
+    ends = sliced.groupBy("_key", SLICE).agg(
+        F.max_by("_version", F.when(F.col("_kind") == 0, F.col("_time"))).alias("_end")
+    )
+    earlier = Window.partitionBy("_key").orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    handed = ends.select(
+        F.col("_key").alias("_at_key"), F.col(SLICE).alias("_at_slice"),
+        F.last("_end", ignorenulls=True).over(earlier).alias("_handed"),
+    ).filter("_handed is not null")
+    # A slice begins with one key at most that began before: one row per slice.
+    met = carried.filter("_kind = 1").join(
+        F.broadcast(handed), (F.col("_key") == F.col("_at_key")) & (F.col(SLICE) == F.col("_at_slice")), "left"
     )
-    return facts.join(versions, (F.col(on) == F.col(key)) & in_force)
+    found = met.select("_fact", "_time", F.coalesce("_last", "_handed").alias("_version"))
+    end = F.col("_version.end_date")
+    in_force = F.col("_version").isNotNull() & (end.isNull() | (F.col("_time") < end))
+    return found.filter(in_force).select("_fact.*", "_version.*")
 
 
 def best_with_ties(df: DataFrame, key: str, value: str) -> DataFrame:

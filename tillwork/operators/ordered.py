@@ -1,20 +1,23 @@
 """Ranks, running totals and lags over groups of any size.
 
 A plain window sends each group to one task, which fails for a ranking of all customers or
-for a customer that owns a third of the orders. Here the rows are range-partitioned on
-(group, order), so a large group is cut into slices, and the layout is pinned as a table.
-There is a slice for every ROWS_PER_SLICE rows, so slices do not grow with
-the input; the rows are counted first, a pass that reads no values where the input allows it.
-Windows then run per (group, slice). A group that crosses slices gets a summary row per
-slice, from which each slice learns what its group holds in the slices before it.
+for a customer that owns a third of the orders. Here the rows are laid out once: range-partitioned
+on (group, order), so a large group is cut into slices, and written sorted, in a table bucketed by
+slice. That is the only full shuffle, and what came before it runs once: it is written first, as
+its number of rows and the sample for the ranges are then read from files. There is a slice for
+every ROWS_PER_SLICE rows, so slices do not grow with the input.
+
+Windows then run per (group, slice), and one row per (group, slice) is counted together, both
+from the bucketed table without a shuffle. The groups at the ends of a slice, two rows a slice at
+most, tell each slice what its group holds in the slices before it.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwork.sources.shared import pin
+from tillwork.sources.shared import pin, pin_bucketed
 
-SLICE = "_slice"
+SLICE, PLACE = "_slice", "_place"
 ROWS_PER_SLICE = 2_000_000
 
 
@@ -42,10 +45,9 @@ def over_ordered(
     work = _Windows(
         group, order, ties, bool(rank or dense_rank), running or {}, totals or {}, lag or {}
     )
-    count = slice_count(df)
-    sliced = _slices(df, group, order, count)
-    rows = work.within_slices(sliced, count)
-    carried = work.carried(_crossing(sliced, group), count)
+    laid = layout(df, group, order)
+    rows = work.within_slices(laid)
+    carried = work.carried(laid)
 
     # At most two summary rows per slice, so the broadcast is bounded by the slice count.
     match = F.col(SLICE) == F.col("_at_slice")
@@ -89,25 +91,20 @@ def slice_count(df: DataFrame, per_slice: int = ROWS_PER_SLICE) -> int:
     return max(least, -(-df.count() // per_slice))
 
 
-def _slices(df: DataFrame, group: list[str], order, count: int) -> DataFrame:
+def slices(df: DataFrame, group: list[str], order, count: int) -> DataFrame:
     keys = [F.asc(c) for c in group] + _sorted(order)
     ranged = df.repartitionByRange(count, *keys)
     return pin(ranged.withColumn(SLICE, F.spark_partition_id()))
 
 
-def _crossing(sliced: DataFrame, group: list[str]) -> DataFrame:
-    """Rows of the groups that may cross a slice border: the first and last of each slice."""
-    if not group:
-        return sliced
-    ends = sliced.select(SLICE, F.struct(*group).alias("g")).groupBy(SLICE).agg(
-        F.array(F.min("g"), F.max("g")).alias("ends")
-    )
-    edges = ends.select(F.explode("ends").alias("g")).distinct()
-    edges = edges.select([F.col(f"g.{c}").alias(f"_at_{c}") for c in group])
-    same = F.lit(True)
-    for c in group:
-        same = same & F.col(c).eqNullSafe(F.col(f"_at_{c}"))
-    return sliced.join(F.broadcast(edges), same, "left_semi")
+def layout(df: DataFrame, group: list[str], order) -> DataFrame:
+    """The rows in slices by (group, order), with their slice and their place in the whole."""
+    base = pin(df, "rows")
+    count = slice_count(base)
+    keys = [F.asc(c) for c in group] + _sorted(order)
+    ranged = base.repartitionByRange(count, *keys).sortWithinPartitions(*keys)
+    placed = ranged.withColumns({SLICE: F.spark_partition_id(), PLACE: F.monotonically_increasing_id()})
+    return pin_bucketed(placed, SLICE, count, "slices")
 
 
 class _Windows:
@@ -118,7 +115,7 @@ class _Windows:
         self.tie_order = order[:ties]
         self.running, self.totals, self.lag = running, totals, lag
 
-    def within_slices(self, sliced: DataFrame, count: int) -> DataFrame:
+    def within_slices(self, laid: DataFrame) -> DataFrame:
         place = Window.partitionBy(*self.group, SLICE)
         local = place.orderBy(*_sorted(self.order))
         so_far = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -131,30 +128,39 @@ class _Windows:
             columns["_dense"] = F.dense_rank().over(tied).cast("long")
         columns |= {f"_part_{n}": F.sum(c).over(place) for n, c in self.totals.items()}
         columns["_rows"] = F.count("*").over(place)
-        # Ranges of whole slices spread them evenly; hashing their numbers would not.
-        spread = sliced.repartitionByRange(count, SLICE)
-        return spread.withColumns(columns)
-
-    def carried(self, crossing: DataFrame, count: int) -> DataFrame:
-        """What each slice has to add: one row per (crossing group, slice)."""
-        columns = [F.count("*").alias("_rows")]
-        columns += [F.sum(c).alias(f"_run_{n}") for n, c in self.running.items()]
-        columns += [F.sum(c).alias(f"_part_{n}") for n, c in self.totals.items()]
-        rows = crossing
-        if self.ranking or self.lag:
-            # The first and last row of a slice matter too, so it has to be in order.
-            rows = self.within_slices(crossing, count)
-            tie = F.struct(*[c for c, _ in self.tie_order])
-            columns += [F.max_by(c, "_row").alias(f"_end_{n}") for n, c in self.lag.items()]
-            if self.ranking:
-                columns += [
-                    F.max("_rank").alias("_rank"),
-                    F.max("_dense").alias("_dense"),
-                    F.min_by(tie, "_row").alias("_head"),
-                    F.max_by(tie, "_row").alias("_tail"),
-                ]
-            columns[0] = F.max("_row").alias("_rows")
-        slices = rows.groupBy(*self.group, SLICE).agg(*columns)
+        return laid.withColumns(columns)
+
+    def summary(self, laid: DataFrame) -> DataFrame:
+        """One row per (group, slice): numbers of rows and of ties, sums, the first and last row."""
+        sums = {f"_run_{n}": c for n, c in self.running.items()} | {f"_part_{n}": c for n, c in self.totals.items()}
+        ends = {f"_end_{n}": c for n, c in self.lag.items()}
+        tie = F.struct(*[c for c, _ in self.tie_order])
+        keys = [*self.group, SLICE]
+        if self.ranking:  # first together what is tied
+            laid = laid.groupBy(*keys, tie.alias("_tie")).agg(
+                F.count("*").alias("_n"), F.min(PLACE).alias("_first"), F.max(PLACE).alias("_to"),
+                *[F.sum(c).alias(n) for n, c in sums.items()], *[F.max_by(c, PLACE).alias(n) for n, c in ends.items()],
+            )
+            sums, ends = {n: n for n in sums}, {n: n for n in ends}
+            more = [
+                (F.sum("_n") - F.max_by("_n", "_to") + 1).alias("_rank"), F.count("*").alias("_dense"),
+                F.min_by("_tie", "_first").alias("_head"), F.max_by("_tie", "_to").alias("_tail"),
+            ]
+        else:
+            laid = laid.withColumns({"_n": F.lit(1).cast("long"), "_first": F.col(PLACE), "_to": F.col(PLACE)})
+            more = []
+        return laid.groupBy(*keys).agg(
+            F.sum("_n").alias("_rows"), F.min("_first").alias("_first"), F.max("_to").alias("_to"), *more,
+            *[F.sum(c).alias(n) for n, c in sums.items()], *[F.max_by(c, "_to").alias(n) for n, c in ends.items()],
+        )
+
+    def carried(self, laid: DataFrame) -> DataFrame:
+        """What each slice has to add: a row for the first and for the last group of a slice."""
+        in_slice = Window.partitionBy(SLICE)
+        ends = self.summary(laid).withColumns(
+            {"_opens": F.min("_first").over(in_slice), "_closes": F.max("_to").over(in_slice)}
+        )
+        slices = ends.filter((F.col("_first") == F.col("_opens")) | (F.col("_to") == F.col("_closes")))
 
         whole = Window.partitionBy(*self.group)
         ordered = whole.orderBy(SLICE)

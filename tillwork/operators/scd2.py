@@ -6,10 +6,10 @@ current one has no end. One key has one current version and no overlapping inter
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwork.operators.ordered import over_ordered
+from tillwork.operators.ordered import SLICE, slice_count, slices
 from tillwork.sources.shared import pin
 
 VALIDITY = ["effective_date", "end_date", "is_current"]
@@ -120,51 +120,80 @@ def take_stock(stock: DataFrame, demand: DataFrame, key: str, level: str, quanti
     return joined.withColumn(level, left.cast(stock.schema[level].dataType)).select(*stock.columns)
 
 
+SERVED, COUNTED, REFUSED = 1, 2, 0  # states of a row of demand, none while it is undecided
+
+
 def guard_stock(demand: DataFrame, stock: DataFrame, order: str, item: str, quantity: str, level: str) -> DataFrame:
     """Accept the orders whose every item is still in stock when its turn comes.
 
     ``demand`` has one row per (order, item). Orders are served in the order of their key; a
     refused one takes nothing. What an order finds depends on all orders before it, so each
     round decides those that are certain: accepted if there is enough even if every undecided
-    order before it is served, refused if there is not even when none of them is. Refused
-    orders leave, which decides others; the first undecided order is always decided, and in
-    practice a round decides about half of the rest.
+    order before it is served, refused if there is not even when none of them is. Only rows of
+    undecided and of just accepted orders go into the next round: what earlier ones took before
+    a row is carried in the row. So rounds cost in proportion to what is undecided, about half
+    as much each time; the first undecided order is always decided, so a chain of orders that
+    each depend on the one before takes a round per order, over few rows.
+
+    The rows are cut into ranges of orders once. A running sum is a window inside (item, range)
+    plus the sums of the ranges before, so an item that most orders want is no single task.
     """
     rows = demand.join(stock, item, "left").select(
-        order, item, quantity, F.coalesce(level, F.lit(-1)).alias("_level"), F.lit(None).cast("boolean").alias("_taken")
+        order,
+        item,
+        F.col(quantity).alias("_asked"),
+        F.coalesce(level, F.lit(-1)).alias("_level"),
+        F.lit(0).cast("long").alias("_before"),
+        F.lit(None).cast("int").alias("_state"),
     )
-    rows = pin(rows, "demand")
-    all_rows, decided = rows, None
-
-    def served(work: DataFrame) -> DataFrame:
-        asked = work.withColumn("_sure", F.when(F.col("_taken"), F.col(quantity)).otherwise(0))
-        return over_ordered(asked, [(order, "asc")], group=[item], running={"_most": quantity, "_least": "_sure"})
-
+    all_rows = slices(rows, [], [(order, "asc")], slice_count(rows))
+    rows, decided = all_rows, None
     while True:
-        open_rows = served(rows).filter(F.col("_taken").isNull())
-        verdicts = open_rows.groupBy(order).agg(
-            F.every(F.col("_most") <= F.col("_level")).alias("_enough"),
-            F.every(F.col("_least") + F.col(quantity) <= F.col("_level")).alias("_possible"),
-        )
-        taken = F.when(F.col("_enough"), True).when(~F.col("_possible"), False)
-        found = verdicts.select(F.col(order).alias("_order"), taken.alias("_now")).filter("_now is not null")
-        found = pin(found, "verdicts")
-        if found.isEmpty():
-            break
+        rows = pin(_guard_step(rows, order, item), "demand")
+        found = rows.filter("_state is not null").select(F.col(order).alias("_order"), (F.col("_state") > 0).alias("_taken"))
         decided = found if decided is None else decided.unionByName(found)
-        met = rows.join(found, F.col(order).eqNullSafe(F.col("_order")), "left")
-        left = met.withColumn("_taken", F.coalesce("_taken", "_now")).drop("_order", "_now")
-        rows = pin(left.filter(F.coalesce("_taken", F.lit(True))), "demand")
+        rows = rows.filter(F.col("_state").isNull() | (F.col("_state") == SERVED))
+        if rows.filter("_state is null").isEmpty():
+            break
 
     # What each order found: the accepted ones before it, without itself.
-    last = all_rows.drop("_taken")
-    if decided is None:
-        last = last.withColumn("_taken", F.lit(False))
-    else:
-        last = last.join(decided, F.col(order).eqNullSafe(F.col("_order")), "left").drop("_order")
-        last = last.withColumnRenamed("_now", "_taken")
-    before = F.col("_least") - F.col("_sure")
-    fits = before + F.col(quantity) <= F.col("_level")
-    return served(last).groupBy(order).agg(
+    verdicts = decided.groupBy("_order").agg(F.max("_taken").alias("_taken"))
+    last = all_rows.join(verdicts, F.col(order).eqNullSafe(F.col("_order")), "left")
+    last = _sums_before(last, order, item, _before_all=F.when(F.col("_taken"), F.col("_asked")).otherwise(0))
+    fits = F.col("_before_all") + F.col("_asked") <= F.col("_level")
+    return last.groupBy(order).agg(
         F.count("*").alias("items"), F.count_if(fits).alias("items_in_stock"), F.every(fits).alias("accepted")
     )
+
+
+def _guard_step(rows: DataFrame, order: str, item: str) -> DataFrame:
+    """One round: states of the orders that are certain now, and what was taken before the rest."""
+    state = F.col("_state")
+    served = F.when(state == SERVED, F.col("_asked")).otherwise(0)
+    waiting = F.when(state.isNull(), F.col("_asked")).otherwise(0)
+    known = _sums_before(rows, order, item, _served=served, _waiting=waiting)
+    known = known.withColumn("_before", F.col("_before") + F.col("_served"))
+    needed = F.col("_before") + F.col("_asked")
+    verdicts = known.filter(state.isNull()).groupBy(order).agg(
+        F.every(needed + F.col("_waiting") <= F.col("_level")).alias("_enough"),
+        F.every(needed <= F.col("_level")).alias("_possible"),
+    )
+    now = F.when(F.col("_enough"), SERVED).when(~F.col("_possible"), REFUSED)
+    verdicts = verdicts.select(F.col(order).alias("_order"), now.alias("_now")).filter("_now is not null")
+    met = known.join(verdicts, F.col(order).eqNullSafe(F.col("_order")), "left")
+    after = F.when(state == SERVED, COUNTED).otherwise(F.coalesce(state, F.col("_now")))
+    return met.withColumn("_state", after).select(*rows.columns)
+
+
+def _sums_before(rows: DataFrame, order: str, item: str, **amounts: Column) -> DataFrame:
+    """For each row the sums of the amounts over earlier orders of its item."""
+    local = Window.partitionBy(item, SLICE).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("_item").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    parts = rows.groupBy(F.col(item).alias("_item"), F.col(SLICE).alias("_at")).agg(
+        *[F.sum(a).alias(f"_part{n}") for n, a in amounts.items()]
+    )
+    parts = parts.select("_item", "_at", *[F.sum(f"_part{n}").over(earlier).alias(f"_part{n}") for n in amounts])
+    sums = rows.withColumns({n: F.sum(a).over(local) for n, a in amounts.items()})
+    joined = sums.join(parts, F.col(item).eqNullSafe(F.col("_item")) & (F.col(SLICE) == F.col("_at")))
+    whole = {n: F.coalesce(n, F.lit(0)) + F.coalesce(f"_part{n}", F.lit(0)) for n in amounts}
+    return joined.withColumns(whole).select(*rows.columns, *amounts)

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 _WORKSPACES: dict[str, str] = {}
+_TABLES: dict[str, list[str]] = {}
+MOST_BUCKETS = 100_000  # that Spark allows a table
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -34,6 +36,8 @@ def release(spark: SparkSession) -> None:
     Frames that still read it fail afterwards, so this is for the end of an application, or of
     a job whose result has been written elsewhere.
     """
+    for name in _TABLES.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     folder = _WORKSPACES.pop(spark.sparkContext.applicationId, None)
     if folder:
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
@@ -50,3 +54,15 @@ def pin(df: DataFrame, label: str = "pinned") -> DataFrame:
     path = new_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def pin_bucketed(df: DataFrame, column: str, buckets: int, label: str = "bucketed") -> DataFrame:
+    """Like ``pin``, in a table whose files are bucketed by ``column``: what groups by it or is a
+    window over it reads the table without a shuffle. The table is external, in the shared
+    folder; ``release`` drops it."""
+    spark = df.sparkSession
+    path, name = new_folder(spark, label), f"tillwork_{uuid.uuid4().hex}"
+    writer = df.write.format("parquet").option("path", path).bucketBy(min(buckets, MOST_BUCKETS), column)
+    writer.saveAsTable(name)
+    _TABLES.setdefault(spark.sparkContext.applicationId, []).append(name)
+    return spark.table(name)
