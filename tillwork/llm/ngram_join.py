@@ -21,8 +21,8 @@ its centre, and a document is compared with the centre it shares most signatures
 is merged, signatures left with one component go, and the rounds end when they merge little. So a
 family of near copies, however large, costs a pair per document and a round. Then the documents
 of every signature that is still open are compared in sketches, block with block where there are
-many, and only pairs that pass go on: each document with its closest one, what links is merged,
-pairs inside one component go, until none is left.
+many, and only pairs that pass go on: each document with its closest one, then with GROWTH times
+as many; what links is merged, pairs inside one component go, until none is left.
 
 A parity sketch of each set, as long as the set is large, bounds the difference of two sets from
 below: of all pairs only those it lets through are compared on their texts, and what a pair is
@@ -54,6 +54,7 @@ MAX_HEAVY = 1 << 16  # bound of the broadcast; which shingles are heavy only mov
 CHANCE = HEAVY_SHARE  # that a document has a given shingle; those with more are left out first
 BUCKETS = 1 << 20  # bound of the broadcast that thins the texts before they are shuffled
 SKETCH = 64  # bits of the shortest sketch; a longer one is this times a power of two
+GROWTH = 16  # partners of a document that are compared on their texts, from one round to the next
 SPARSE = 4  # bits of a sketch for each shingle, at least
 BLOCK = 512  # documents of a signature that are compared with each other in one place
 FEW = 0.02  # of the open documents: fewer merges end the rounds of one pair per document
@@ -363,9 +364,11 @@ def ngram_join(
     near = _untried(pin(_near(open_rows, sketch, percent), "near"), tried)
     near = _labelled(_labelled(near.withColumns({"one": F.col("doc"), "other": F.col("centre")}), labels, "one"), labels, "other")
     near = pin(near.filter("one != other"), "near")
+    many, order = 1, Window.partitionBy("doc").orderBy("apart", "centre")
     while not near.isEmpty():
-        closest = near.groupBy("doc").agg(F.min_by("centre", F.struct("apart", "centre")).alias("centre"))
-        closest = pin(closest, "pairs")
+        ranked = near.withColumn("rank", F.row_number().over(order))
+        closest = pin(ranked.filter(F.col("rank") <= many).select("doc", "centre"), "pairs")
+        many *= GROWTH
         found = pin(_verified(closest, texts, percent, width), "similar")
         near = near.join(closest, ["doc", "centre"], "left_anti")
         if not found.isEmpty():
