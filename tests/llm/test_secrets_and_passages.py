@@ -3,6 +3,10 @@ import random
 import re
 from collections import defaultdict
 
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
 from tests.llm.cases import awkward, awkward_docs, no_docs, prose
 from tillwork.llm import secret_scan, suffix_dedup
 
@@ -45,6 +49,42 @@ def test_spans_equal_plain_regular_expressions(spark):
     assert "jwt:" in by_id[9006].spans and "url_password:" in by_id[9006].spans
 
 
+@pytest.mark.parametrize("rule", secret_scan.RULES, ids=lambda r: r.kind)
+def test_derived_queries_are_necessary(rule):
+    clauses = secret_scan.derived(rule.pattern)
+    plain = rule.pattern.replace("++", "+").replace("*+", "*").replace("(?<![a-z0-9+.-])", "")
+
+    @settings(max_examples=60, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.from_regex(re.compile(plain, re.A), fullmatch=True))
+    def holds(text):
+        found = secret_scan.trigrams(text)
+        assert all(any(branch <= found for branch in clause) for clause in clauses)
+
+    holds()
+
+
+def test_queries_derived_from_patterns():
+    query = lambda p: [[sorted(b) for b in c] for c in secret_scan.derived(p)]
+    assert query("abcd") == [[["abc", "bcd"]]]
+    assert query("ab(?:cd|e)f") == [[["abc", "bcd", "cdf"], ["abe", "bef"]]]
+    assert query("abc+de") == [[["abc"]]] and query("(?i:ABC)x?") == [[["abc"]]]
+    assert query("abc.*def") == [[["abc"]], [["def"]]]
+    assert query("(?:abc[0-9]+|xyz)") == [[["abc"], ["xyz"]]]
+    assert query("(?:abc|[0-9]+)") == [] and query("ab*c") == [] and query("[0-9a-f]{16,}") == []
+    assert query("(?:ab){2}") == [[["aba", "bab"]]] and query("(?<!x)a[bc]d") == [[["abd"], ["acd"]]]
+
+
+def test_long_passwords_and_very_many_matches_in_one_text(spark):
+    long = "see ftp+x://" + "u" * 300 + ":" + "p" * 300 + "@host -----BEGIN " + "VERY " * 20 + "PRIVATE KEY-----"
+    many = "0123456789abcdef " * 100_000
+    docs = spark.createDataFrame([(1, long), (2, many), (3, "a1.b" * 500_000)], "doc_id long, text string")
+    found = {r.doc_id: r for r in secret_scan.report(secret_scan.scan(docs)).collect()}
+    assert "url_password:4:614" in found[1].spans and "private_key:619:" in found[1].spans
+    want = ",".join(f"hex:{17 * k}:{17 * k + 16}" for k in range(100_000))
+    assert found[2].n_hex == 100_000 and found[2].spans == want
+    assert found[3].spans == ""
+
+
 def test_queries_need_all_trigrams_of_a_branch(spark):
     rows = [(1, "pass swo wor ord"), (2, "PASSWORD"), (3, "the drowssap"), (4, "akIA")]
     texts = spark.createDataFrame(rows, "doc_id long, text string")
