@@ -13,7 +13,8 @@ other half fits the curve. Documents are then scored one by one, whole, without
 
 Defined results: a missing text counts as empty and gets the score of a text without hits; rows
 without id are scored and count as not held out. Rows that repeat an id share its label. Without
-any usable label every score is 0. An empty table gives no rows.
+any usable label every score is 0. Very long texts are scored whole, in time linear in their
+length and hits. Columns of other names are never read. An empty table gives no rows.
 """
 
 import math
@@ -34,8 +35,6 @@ STEMS = range(4, 9)
 MIN_DOCUMENTS = 3
 MIN_SHARE = 0.004  # of the toxic documents have an entry
 MIN_LOG_ODDS = 1.5
-MAX_CANDIDATES = 50_000
-MAX_ENTRIES = 5_000
 BATCH_TEXTS = 1_000
 
 # Look-alike letters, and what digits and signs stand for inside a word.
@@ -137,9 +136,7 @@ class Lexicon:
             for weight, stem in kinds:
                 if stem == after.isalpha() and weight > best.get(start, (0.0,))[0]:
                     best[start] = (weight, word)
-        hits = [
-            best[s] for s in best if not any(first <= s <= last for first, last in excepted)
-        ]
+        hits = [best[s] for s in _outside(sorted(best), sorted(excepted))]
         if not hits:
             return 0.0, 0.0, 0.0, 0.0
         words = folded.count(" ") + folded.count("\n") + 20
@@ -152,6 +149,17 @@ class Lexicon:
         )
 
 
+def _outside(places: list[int], spans: list[tuple[int, int]]):
+    """The places in no span; both are sorted and swept once."""
+    at, reach = 0, -1
+    for place in places:
+        while at < len(spans) and spans[at][0] <= place:
+            reach = max(reach, spans[at][1])
+            at += 1
+        if place > reach:
+            yield place
+
+
 def _row(f) -> list[float]:
     return [1.0, math.log1p(f[0]), math.log1p(f[1]), f[2], f[3]]
 
@@ -204,20 +212,14 @@ def learn(texts: DataFrame, labels: DataFrame) -> tuple[dict[str, float], list[f
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     least = max(MIN_DOCUMENTS, int(MIN_SHARE * toxic))
     found = _counted(first.filter("toxic = 1")).filter(F.col("documents") >= least)
-    common = {
-        r["entry"]: r["documents"]
-        for r in found.orderBy(F.desc("documents"), "entry").limit(MAX_CANDIDATES).collect()
-    }
-    others = dict(
-        _counted(first.filter("toxic = 0"), frozenset(common)).limit(MAX_CANDIDATES).collect()
-    )
+    common = dict(found.collect())  # entries of SAMPLE texts at most
+    others = dict(_counted(first.filter("toxic = 0"), frozenset(common)).collect())
     odds = {
         entry: math.log((n + 0.5) / (toxic + 1)) - math.log((others.get(entry, 0) + 0.5) / (clean + 1))
         for entry, n in common.items()
     }
     ranked = sorted(odds, key=lambda e: (-odds[e] * math.sqrt(common[e]), e))
     weights = {e: round(odds[e], 4) for e in ranked if odds[e] >= MIN_LOG_ODDS}
-    weights = dict(list(weights.items())[:MAX_ENTRIES])
     second = rows.filter("half = 1").select("toxic", "text")
     measured = second.mapInArrow(_scored(weights, None, 1), "toxic int, result array<double>").collect()
     if not measured:
