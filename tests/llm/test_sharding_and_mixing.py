@@ -51,6 +51,40 @@ def test_a_group_beyond_a_share_is_cut(spark):
     assert len(sizes) == 6 and max(sizes) < 1.02 * min(sizes)
 
 
+def test_a_group_with_many_rows_and_few_bytes_stays_whole(spark):
+    rows = [(k, "") for k in range(200)] + [(1000 + k, "word " * (100 + k % 40)) for k in range(1800)]
+    found = sharding.assign(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len({r.shard for r in found if r.doc_id < 200}) == 1
+    sizes = Counter()
+    for r in found:
+        sizes[r.shard] += r.size
+    assert len(sizes) == 24 and max(sizes.values()) <= 1.02 * min(sizes.values())
+
+
+def test_the_query_gives_size_hash_and_even_shards(spark):
+    import zlib
+
+    from tests.conftest import DATA
+    from tillwork.llm import queries
+    from tillwork.llm.texts import documents
+
+    texts = {r.doc_id: (r.text or "").encode() for r in documents(spark, DATA).collect()}
+    rows = queries.op2_sharding(spark, DATA).collect()
+    assert len(rows) == len(texts)
+    sizes, slots = Counter(), defaultdict(list)
+    for r in rows:
+        assert r["size"] == len(texts[r.doc_id]) + 8 and r.text_crc32 == zlib.crc32(texts[r.doc_id])
+        assert r.law == "bytes" and r.grown_shard is None
+        sizes[r.shard] += r["size"]
+        slots[r.shard].append(r.slot)
+    assert set(sizes) <= set(range(24)) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    # No shard is beyond the mean by more than the largest single group.
+    groups = Counter()
+    for text in texts.values():
+        groups[text] += len(text) + 8
+    assert max(sizes.values()) <= sum(sizes.values()) / 24 + max(groups.values())
+
+
 def test_written_shards_hold_every_row_in_order(spark, tmp_path):
     docs = awkward_docs(spark)
     sharding.write_shards(docs, str(tmp_path / "shards"), 3)

@@ -1,8 +1,8 @@
 """Shards of nearly equal bytes: best-fit-decreasing bin packing of groups of equal texts.
 
-A group of equal texts stays in one shard unless it is larger than a shard's fair share of bytes
-or rows; there are at most 2 * shards such groups, and each is cut by a hash of the ids into
-pieces of about half a share. Groups enter by size, largest first, the open shard with the
+A group of equal texts stays in one shard unless it is larger than a shard's fair share of bytes;
+there are at most as many such groups as shards, and each is cut by a hash of the ids into pieces
+of about half a share. Groups enter by size, largest first, the open shard with the
 tightest remaining capacity that holds them, found in a balanced tree; the capacity is the
 smallest, to a hundred thousandth, for which the shards suffice.
 
@@ -13,7 +13,8 @@ their shard from their rank among the groups of their size, and documents their
 rank in the shard; both ranks are computed in even slices (over_ordered).
 
 Defined results: a missing text has no bytes and is equal to an empty one. Rows that repeat an id
-and a text get a slot each. Fewer groups than shards leave shards empty; an empty table gives no
+and a text get a slot each. Very long texts count whole; only their size and hash are shuffled.
+Columns of other names are never read. Fewer groups than shards leave shards empty; an empty table gives no
 rows.
 """
 
@@ -134,10 +135,10 @@ def assign(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_c
         ),
         "sizes",
     )
-    number, total = rows.agg(F.count("*"), F.sum("size")).first()
+    total = rows.agg(F.sum("size")).first()[0]
     groups = rows.groupBy("text_sha256").agg(F.count("*").alias("n"), F.max("size").alias("size"))
-    shares = shards * F.greatest(F.col("n") * F.col("size") / (total or 1), F.col("n") / (number or 1))
-    # Groups beyond a fair share of the bytes or the rows: at most 2 * shards of them.
+    shares = shards * F.col("n") * F.col("size") / (total or 1)
+    # Groups beyond a fair share of the bytes: at most as many as shards.
     large = groups.filter((F.col("n") > 1) & (shares > 1)).select(
         F.col("text_sha256").alias("sha"), F.ceil(2 * shares).cast("long").alias("pieces")
     )
