@@ -52,7 +52,7 @@ def test_a_group_beyond_a_share_is_cut(spark):
 
 
 def test_a_group_with_many_rows_and_few_bytes_stays_whole(spark):
-    rows = [(k, "") for k in range(200)] + [(1000 + k, "word " * (100 + k % 40)) for k in range(1800)]
+    rows = [(k, "") for k in range(200)] + [(1000 + k, f"{k} " + "word " * (100 + k % 40)) for k in range(1800)]
     found = sharding.assign(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert len({r.shard for r in found if r.doc_id < 200}) == 1
     sizes = Counter()
