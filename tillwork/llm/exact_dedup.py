@@ -9,7 +9,8 @@ side, so a text that a third of the rows share is one row per task.
 
 Defined results: a missing text equals an empty one. Of equal texts the row with the largest
 id stays; a missing id loses against any other. Rows equal in id and text are one document:
-all of them are marked kept, and ``keep_one`` leaves one. An empty table gives no rows.
+all of them are marked kept, and ``keep_one`` leaves one. Very long texts are hashed whole. Columns
+of other names are never read. An empty table gives no rows.
 """
 
 from pyspark.sql import DataFrame
@@ -31,14 +32,17 @@ def _shared(keys: DataFrame) -> DataFrame:
     return F.broadcast(twice.select(_bucket("key").alias("bucket")).distinct())
 
 
-def _survivors(texts: DataFrame) -> DataFrame:
-    """Rows that agree with another one in length and in the hash of length and prefix."""
+def _marked(texts: DataFrame) -> DataFrame:
+    """``twin``: whether the row agrees with another one in length and in the hash of length and
+    prefix. The buckets are joined where the rows are; no text is shuffled."""
     bytes_ = F.octet_length("text").cast("long")
     prefix = F.xxhash64(bytes_, F.substring("text", 1, PREFIX_CHARS))
-    same_length = _shared(texts.select(bytes_.alias("key")))
-    sized = texts.join(same_length, _bucket(bytes_) == F.col("bucket"), "left_semi")
-    same_prefix = _shared(sized.select(prefix.alias("key")))
-    return sized.join(same_prefix, _bucket(prefix) == F.col("bucket"), "left_semi")
+    same_length = _shared(texts.select(bytes_.alias("key"))).withColumnRenamed("bucket", "its_length")
+    sized = texts.join(same_length, _bucket(bytes_) == F.col("its_length"), "left")
+    long_enough = sized.filter(F.col("its_length").isNotNull())
+    same_prefix = _shared(long_enough.select(prefix.alias("key"))).withColumnRenamed("bucket", "its_prefix")
+    met = sized.join(same_prefix, F.col("its_length").isNotNull() & (_bucket(prefix) == F.col("its_prefix")), "left")
+    return met.withColumn("twin", F.col("its_prefix").isNotNull()).drop("its_length", "its_prefix")
 
 
 def copies(texts: DataFrame) -> DataFrame:
@@ -46,7 +50,7 @@ def copies(texts: DataFrame) -> DataFrame:
 
     ``keep_rows`` counts the rows that carry ``keep_id``, more than one only for repeated rows.
     """
-    hashed = _survivors(texts).select("doc_id", F.sha2("text", 256).alias("sha"))
+    hashed = _marked(texts).filter("twin").select("doc_id", F.sha2("text", 256).alias("sha"))
     per_id = hashed.groupBy("sha", "doc_id").agg(F.count("*").alias("n"))
     best = F.max(F.struct("doc_id", "n"))  # nulls sort first
     # A key of its own, so that equal texts are combined again before they are shuffled.
@@ -78,11 +82,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, one for each text, with all their columns."""
     texts = wrapped(docs, id_col, text_col)
-    groups = copies(texts).withColumnRenamed("sha", "group_sha")
-    hashed = texts.select("doc_id", "row", F.sha2("text", 256).alias("sha"))
-    found = hashed.join(groups, matching("sha", "group_sha"), "left")
+    marked = _marked(texts)
+    groups = copies(texts.select("doc_id", "text")).withColumnRenamed("sha", "group_sha")
+    # Only what may have a copy is hashed and joined; the other rows stay where they are.
+    twins = marked.filter("twin").select("doc_id", "row", F.sha2("text", 256).alias("sha"))
+    found = twins.join(groups, matching("sha", "group_sha"), "left")
     alone = F.col("group_sha").isNull()
     stays = F.col("doc_id").eqNullSafe(F.col("keep_id"))
     once = found.filter(alone | (stays & (F.col("keep_rows") == 1)))
     tied = found.filter(stays & (F.col("keep_rows") > 1)).groupBy("sha").agg(F.first("row").alias("row"))
-    return once.select("row.*").unionByName(tied.select("row.*"))
+    unlike = marked.filter(~F.col("twin")).select("row.*")
+    return unlike.unionByName(once.select("row.*")).unionByName(tied.select("row.*"))
