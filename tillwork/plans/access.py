@@ -153,6 +153,21 @@ def preview_head(t):
     return t.orders.orderBy("o_orderkey").limit(10)
 
 
+@query("""
+SELECT CAST(25 AS BIGINT) AS rows_taken, CAST(25 AS BIGINT) AS rows_known, CAST(25 AS BIGINT) AS rows_unlike
+FROM (SELECT COUNT(*) AS n FROM orders) WHERE n >= 25
+""")
+def limit_unordered(t):
+    """Any 25 rows, whichever come first: which ones is free, so they are counted and looked up."""
+    some = t.orders.select("o_orderkey").limit(25)
+    known = some.join(t.orders.select(F.col("o_orderkey").alias("key")), F.col("o_orderkey") == F.col("key"), "left")
+    return known.agg(
+        F.count_distinct("o_orderkey").alias("rows_taken"),
+        F.count("key").alias("rows_known"),
+        F.count_distinct("key").alias("rows_unlike"),
+    )
+
+
 @query("SELECT * FROM orders ORDER BY o_orderkey DESC LIMIT 10")
 def preview_tail(t):
     return t.orders.orderBy(F.desc("o_orderkey")).limit(10)
