@@ -58,8 +58,8 @@ MORE = (
     Rule("stripe", r"[rs]k_live_[A-Za-z0-9]{16,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
-    # From the start of a run of scheme characters, so that a long run is read once.
-    Rule("url_password", r"(?<![a-z0-9+.-])[a-z][a-z0-9+.-]*+://[^\s/:@]++:[^\s/:@]++@"),
+    # Longer runs of scheme characters count from their last 21, so that they are read once.
+    Rule("url_password", r"[a-z][a-z0-9+.-]{1,20}://[^\s/:@]+:[^\s/:@]+@"),
 )
 RULES = BASE + MORE
 STRINGS = 64  # that a row of literals, alternatives and small classes may stand for
