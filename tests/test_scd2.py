@@ -70,12 +70,32 @@ def test_history_is_not_closed_again(spark, products):
 
 
 def test_change_in_the_past_and_double_change_fail(spark, products):
-    with pytest.raises(Exception, match="precedes the current version"):
+    with pytest.raises(Exception, match="precedes the first version"):
         apply(spark, products, date(2023, 1, 1), (1, 1.5)).collect()
     with pytest.raises(Exception, match="several changes"):
         apply(spark, products, CHANGED, (1, 1.5), (1, 1.6)).collect()
 
 
+def test_a_late_change_splits_the_version_in_force(spark, products):
+    table = apply(spark, apply(spark, products, CHANGED, (1, 1.5)), date(2024, 9, 1), (1, 1.9), (2, 2.5))
+    late = apply(spark, table, date(2024, 7, 1), (1, 1.7), (2, 2.2), (9, 1.0))
+    check_invariants(late)
+    versions = [(r["price"], r["effective_date"], r["end_date"]) for r in scd2.history(late, "id", 1).collect()]
+    assert versions == [
+        (1.0, OPENED, CHANGED), (1.5, CHANGED, date(2024, 7, 1)),
+        (1.7, date(2024, 7, 1), date(2024, 9, 1)), (1.9, date(2024, 9, 1), None),
+    ]
+    assert [r["price"] for r in scd2.history(late, "id", 2).collect()] == [2.0, 2.2, 2.5]
+    assert late.count() == table.count() + 2
+    # Again, on the first day of a version, and with the value that was in force: no new rows.
+    again = apply(spark, late, date(2024, 7, 1), (1, 1.7), (2, 2.2))
+    assert again.exceptAll(late).isEmpty() and late.exceptAll(again).isEmpty()
+    replaced = apply(spark, late, date(2024, 7, 1), (1, 1.8))
+    assert replaced.count() == late.count()
+    assert [r["price"] for r in scd2.history(replaced, "id", 1).collect()] == [1.0, 1.5, 1.8, 1.9]
+    assert apply(spark, late, date(2024, 8, 1), (1, 1.7)).exceptAll(late).isEmpty()
+
+
 def test_as_of(spark, products):
     table = apply(spark, products, CHANGED, (1, 1.5))
     assert scd2.as_of(table, date(2024, 5, 31)).filter("id = 1").first()["price"] == 1.0

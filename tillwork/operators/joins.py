@@ -4,6 +4,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwork.operators.ordered import SLICE, slice_count, slices
+from tillwork.sources.shared import pin
+
+HOT_ROWS = 1_000_000  # of one key, which one task may join
+HOT_KEYS = 100_000  # a side, at most
 
 
 def keys_of(df: DataFrame, *columns: str) -> DataFrame:
@@ -23,6 +27,77 @@ def lacking_match(df: DataFrame, other: DataFrame, on: str, key: str) -> DataFra
     return df.join(keys, F.col(on) == F.col("_key"), "left_anti")
 
 
+def outer_join(
+    left: DataFrame, right: DataFrame, on: str, key: str, how: str, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """A left, right or full join on ``on = key``, also when the side that is filled with nulls has
+    hot keys, which Spark cannot split there. The two sides share no column names.
+
+    A key is hot if it has over ``hot_rows`` rows, or a HOT_KEYS-th of all rows of its side if that
+    is more; so there are at most HOT_KEYS hot keys a side, and they may be broadcast. Without any,
+    this is the plain join. Rows of hot keys meet in an inner join of their own: the side with more
+    rows is dealt into parts of ``hot_rows``, by a hash of the whole row, so a task that runs again
+    deals alike; the other side is repeated for each part. Rows whose hot key is missing on the
+    other side need no join. All other rows, those without key too, are joined as usual.
+    """
+    matches = F.col(on) == F.col(key)
+    filled = {"left": [(right, key)], "right": [(left, on)], "full": [(left, on), (right, key)]}[how]
+    heavy = [_heavy(df, c, hot_rows) for df, c in filled]
+    found = pin(heavy[0].unionByName(heavy[1]).distinct() if len(heavy) > 1 else heavy[0], "hot-keys")
+    if found.isEmpty():
+        return left.join(right, matches, how)
+
+    sizes = _sizes(left, on, found, "_lefts").join(_sizes(right, key, found, "_rights"), "_hot", "full")
+    most = F.greatest("_lefts", "_rights")
+    hot = pin(
+        sizes.na.fill(0).withColumns(
+            {"_parts": F.ceil(most / hot_rows), "_split": F.when(F.col("_rights") >= F.col("_lefts"), "right").otherwise("left")}
+        ),
+        "hot-keys",
+    )
+    both = hot.filter("_lefts > 0 and _rights > 0")
+    dealt = _dealt(left, on, both, "left").withColumnRenamed("_part", "_part_left")
+    met = dealt.join(_dealt(right, key, both, "right"), matches & (F.col("_part_left") == F.col("_part")))
+
+    columns = [*left.columns, *right.columns]
+    found = F.broadcast(hot.select("_hot"))
+    usual = left.join(found, F.col(on) == F.col("_hot"), "left_anti").join(
+        right.join(found, F.col(key) == F.col("_hot"), "left_anti"), matches, how
+    )
+    rows = usual.select(*columns).unionByName(met.select(*columns))
+    if how != "right":
+        alone = F.broadcast(hot.filter("_rights = 0").select("_hot"))
+        lost = left.join(alone, F.col(on) == F.col("_hot"), "left_semi")
+        rows = rows.unionByName(lost, allowMissingColumns=True)
+    if how != "left":
+        alone = F.broadcast(hot.filter("_lefts = 0").select("_hot"))
+        lost = right.join(alone, F.col(key) == F.col("_hot"), "left_semi")
+        rows = rows.unionByName(lost, allowMissingColumns=True)
+    return rows
+
+
+def _heavy(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
+    """Keys with too many rows for one task; counted where the rows are, before the shuffle."""
+    least = max(hot_rows, df.count() // HOT_KEYS)
+    counts = df.select(F.col(key).alias("_hot")).na.drop().groupBy("_hot").agg(F.count("*").alias("_rows"))
+    return counts.filter(F.col("_rows") > least).select("_hot")
+
+
+def _sizes(df: DataFrame, key: str, hot: DataFrame, name: str) -> DataFrame:
+    """The number of rows of each hot key that occurs."""
+    rows = df.select(F.col(key).alias("_hot")).join(F.broadcast(hot), "_hot", "left_semi")
+    return rows.groupBy("_hot").agg(F.count("*").alias(name))
+
+
+def _dealt(df: DataFrame, key: str, hot: DataFrame, side: str) -> DataFrame:
+    """Rows of hot keys with the part they go to, or in each part if the other side is dealt."""
+    own = F.array(F.pmod(F.xxhash64(*df.columns), F.col("_parts")))
+    each = F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)
+    met = df.join(F.broadcast(hot), F.col(key) == F.col("_hot"))
+    parts = F.when(F.col("_split") == side, own).otherwise(each)
+    return met.select(*df.columns, F.explode(parts).alias("_part"))
+
+
 def first_pairs(left: DataFrame, right: DataFrame, left_order, right_order, n: int) -> DataFrame:
     """The first ``n`` pairs of all combinations, ordered by left and then by right.
 

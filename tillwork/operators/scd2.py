@@ -38,28 +38,33 @@ def one_per_key(changes: DataFrame, key: str) -> DataFrame:
 def apply_changes(
     table: DataFrame, changes: DataFrame, key: str, at: date, tracked: list[str]
 ) -> DataFrame:
-    """Close the current version of each changed key at ``at`` and open a new one.
-
-    ``changes`` holds the key and new values of the tracked columns. Equal values change
-    nothing, so running a batch again changes nothing. A version opened on ``at`` itself is
-    replaced, and a change dated before the current version fails. One join and one pass:
-    each row becomes itself, its closed form, or its closed form and the new version.
+    """Split the version of each changed key that is in force on ``at``: it ends there, and one
+    with the new values begins and ends when the old one would have.
+
+    ``changes`` holds the key and new values of the tracked columns. Mostly the version in force
+    is the current one. A late change splits an older one instead, and what began after it stays
+    as it is. Equal values change nothing, so running a batch again changes nothing. A version
+    that began on ``at`` itself is replaced; a change dated before the first version of its key
+    fails. One join and one pass: each row becomes itself, its ended form, or that and the new one.
     """
     new = {c: f"_new_{c}" for c in tracked}
     batch = one_per_key(changes.select(key, *tracked), key).withColumnsRenamed(new)
+    begun = table.groupBy(F.col(key).alias("_of")).agg(F.min("effective_date").alias("_begun"))
     batch = batch.withColumn("_hit", F.lit(True)).withColumnRenamed(key, "_key")
+    batch = batch.join(begun, F.col("_key") == F.col("_of")).drop("_of")
     joined = table.join(batch, F.col(key) == F.col("_key"), "left")
 
     differs = F.lit(False)
     for c in tracked:
         differs = differs | ~F.col(c).eqNullSafe(F.col(new[c]))
-    changed = F.coalesce(F.col("_hit"), F.lit(False)) & F.col("is_current") & differs
-
     when = F.lit(at)
+    hit = F.coalesce(F.col("_hit"), F.lit(False))
+    in_force = (F.col("effective_date") <= when) & (F.col("end_date").isNull() | (F.col("end_date") > when))
+    changed = hit & in_force & differs
+
     same = F.struct(*table.columns)
     closed = {"end_date": when, "is_current": F.lit(False)}
-    opened = {c: F.col(new[c]) for c in tracked}
-    opened |= {"effective_date": when, "end_date": F.lit(None).cast("date"), "is_current": F.lit(True)}
+    opened = {c: F.col(new[c]) for c in tracked} | {"effective_date": when}
 
     def version(values: dict[str, Column]) -> Column:
         types = {f.name: f.dataType for f in table.schema.fields}
@@ -67,18 +72,24 @@ def apply_changes(
             *[values.get(c, F.col(c)).cast(types[c]).alias(c) for c in table.columns]
         )
 
-    late = F.raise_error(F.lit(f"change at {at} precedes the current version"))
+    early = F.raise_error(F.lit(f"change at {at} precedes the first version"))
     versions = (
         F.when(~changed, F.array(same))
         .when(F.col("effective_date") == when, F.array(version(opened)))
         .otherwise(F.array(version(closed), version(opened)))
     )
     checked = joined.filter(
-        F.when(changed & (F.col("effective_date") > when), late.cast("boolean")).otherwise(F.lit(True))
+        F.when(hit & (F.col("_begun") > when), early.cast("boolean")).otherwise(F.lit(True))
     )
     return checked.select(F.explode(versions).alias("v")).select("v.*")
 
 
+def is_late(open_rows: DataFrame, changes: DataFrame, key: str, at: date) -> bool:
+    """Whether a change at ``at`` concerns a key whose current version began after it."""
+    newer = open_rows.filter(F.col("effective_date") > F.lit(at))
+    return not newer.join(changes.select(key), key, "left_semi").isEmpty()
+
+
 def current(table: DataFrame) -> DataFrame:
     return table.filter("is_current")
 

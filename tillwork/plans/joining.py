@@ -119,7 +119,7 @@ def renumbered_orders(t):
 
 
 def with_orders(t, how: str):
-    return t.customer.join(renumbered_orders(t), on("c_custkey", "o_custkey"), how)
+    return joins.outer_join(t.customer, renumbered_orders(t), "c_custkey", "o_custkey", how)
 
 
 @query(f"""
