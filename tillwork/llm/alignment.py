@@ -37,7 +37,7 @@ from tillwork.llm.tokens import CACHED_PIECES, tokenizer_path
 
 BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 PIECE = 1 << 14  # steps of the merge path
-BLOCK_ROWS, BLOCK_BYTES = 1_000, 4 << 20
+BLOCK_ROWS, BLOCK_BYTES = 1_000, 3 << 20
 CALL_BYTES = 1 << 20  # of texts that a library call encodes
 SPACE = "▁"
 
@@ -169,13 +169,13 @@ def piece(a: np.ndarray, b: np.ndarray, i: int, j: int, start: int) -> tuple[np.
     n = len(a) + len(b)
     from_a = np.zeros(n, bool)
     from_a[np.arange(len(a)) + np.searchsorted(b, a, "left")] = True
-    ends = np.empty(n, np.int64)
+    ends = np.empty(n, a.dtype)
     ends[from_a], ends[~from_a] = a, b
-    before = np.concatenate([[start], ends[:-1]])
+    before = np.concatenate([np.array([start], a.dtype), ends[:-1]])
     moves = ends > before
     one = i + np.cumsum(from_a) - from_a
     two = j + np.cumsum(~from_a) - ~from_a
-    return one[moves], two[moves], ends[~moves]
+    return one[moves].astype(a.dtype), two[moves].astype(a.dtype), ends[~moves]
 
 
 def align(a: np.ndarray, b: np.ndarray, step: int = PIECE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -189,7 +189,7 @@ def align(a: np.ndarray, b: np.ndarray, step: int = PIECE) -> tuple[np.ndarray,
         start = max(a[i - 1] if i else 0, b[j - 1] if j else 0)
         found.append(piece(a[i:to_i], b[j:to_j], i, j, start))
     if not found:
-        return (np.zeros(0, np.int64),) * 3
+        return (np.zeros(0, a.dtype),) * 3
     return tuple(np.concatenate(part) for part in zip(*found))
 
 
@@ -231,30 +231,23 @@ def _block(block: int, ids: pa.Array, texts: list, tokens: Tokens, writer: Write
     encoded = tokens(texts)
     n_a = np.array([len(x[0]) for x in encoded])
     n_b = np.array([len(x[1]) for x in encoded])
-    all_a, all_b = np.concatenate([x[0] for x in encoded]), np.concatenate([x[1] for x in encoded])
-    ends_a, ends_b = np.cumsum(tokens.sizes[0][all_a]), np.cumsum(tokens.sizes[1][all_b])
+    all_a, all_b = [np.concatenate(side).astype(np.int32) for side in zip(*encoded)]
+    del encoded
+    ends_a, ends_b = [np.cumsum(size[ids], dtype=np.int32) for size, ids in zip(tokens.sizes, (all_a, all_b))]
     one, two, meet = align(ends_a, ends_b)
-    of_a, of_b = np.repeat(np.arange(len(texts)), n_a), np.repeat(np.arange(len(texts)), n_b)
-    doc = of_a[one]
+    of_a, of_b = np.repeat(np.arange(len(texts), dtype=np.int32), n_a), np.repeat(np.arange(len(texts)), n_b)
+    n_groups, digests = _groups(all_a, all_b, ends_a, ends_b, meet, of_a, of_b, n_a, n_b, writer)
+    del ends_a, ends_b, meet, of_b
+    doc = of_a[one].astype(np.int64)
     n_links = np.bincount(doc, minlength=len(texts))
-    # Groups end where ends meet, and so do documents.
-    group_a, group_b = np.searchsorted(meet, ends_a, "left"), np.searchsorted(meet, ends_b, "left")
-    last_a = np.append(group_a[1:] != group_a[:-1], True)[: len(group_a)]
-    last_b = np.append(group_b[1:] != group_b[:-1], True)[: len(group_b)]
-    n_groups = np.bincount(of_a[last_a], minlength=len(texts))
-    # A's tokens of a group come before B's of the same group.
-    side = np.repeat([0, 1], [len(all_a), len(all_b)])
-    order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
-    written = np.concatenate([all_a, all_b])[order], np.concatenate([last_a, last_b])[order], side[order]
-    bounds = np.concatenate([[0], np.cumsum(n_a + n_b)])
-    digests = [
-        writer(*[x[bounds[k] : bounds[k + 1]] for x in written]) if n_a[k] else "" for k in range(len(texts))
-    ]
 
     width = len(tokens.sizes[1])
-    pair = all_a[one] * width + all_b[two]
+    pair = all_a[one].astype(np.int64) * width + all_b[two]
+    del one, two, all_a, all_b, of_a
     known, number = np.unique(pair, return_inverse=True)
+    del pair
     held, times = np.unique(doc * len(known) + number, return_counts=True)
+    del doc, number
     holders = np.bincount(held % max(len(known), 1), minlength=len(known))
     start = np.searchsorted(held, np.arange(len(texts) + 1) * len(known))
     packed = []
@@ -287,6 +280,25 @@ def _block(block: int, ids: pa.Array, texts: list, tokens: Tokens, writer: Write
     )
 
 
+def _groups(all_a, all_b, ends_a, ends_b, meet, of_a, of_b, n_a, n_b, writer: Writer):
+    """Number and digest of the groups of each text of a block."""
+    # Groups end where ends meet, and so do documents.
+    group_a, group_b = [np.searchsorted(meet, ends, "left").astype(np.int32) for ends in (ends_a, ends_b)]
+    last_a = np.append(group_a[1:] != group_a[:-1], True)[: len(group_a)]
+    last_b = np.append(group_b[1:] != group_b[:-1], True)[: len(group_b)]
+    n_groups = np.bincount(of_a[last_a], minlength=len(n_a))
+    bounds_a, bounds_b = [np.concatenate([[0], np.cumsum(n)]) for n in (n_a, n_b)]
+    digests = [""] * len(n_a)
+    for k in np.flatnonzero(n_a):
+        a, b = slice(bounds_a[k], bounds_a[k + 1]), slice(bounds_b[k], bounds_b[k + 1])
+        # A's tokens of a group come before B's of the same group.
+        order = np.argsort(np.concatenate([2 * group_a[a], 2 * group_b[b] + 1]), kind="stable")
+        side = np.repeat(np.array([0, 1], np.int32), [n_a[k], n_b[k]])
+        written = np.concatenate([all_a[a], all_b[b]]), np.concatenate([last_a[a], last_b[b]]), side
+        digests[k] = writer(*[x[order] for x in written])
+    return n_groups, digests
+
+
 def _summed(left: pa.Table, right: pa.Table) -> pa.Table:
     """The documents of a block with the counts of their pairs."""
     count = np.zeros(right.num_rows, np.int64)
