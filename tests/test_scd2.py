@@ -139,8 +139,24 @@ def test_stock_is_guarded_as_one_order_after_the_other(spark):
                 left[i] -= q
     demand = spark.createDataFrame([(o, i, q) for o, x in orders.items() for i, q in x.items()], "ord long, item long, q long")
     levels = spark.createDataFrame(list(stock.items()), "item long, level long")
-    found = scd2.guard_stock(demand, levels, "ord", "item", "q", "level").collect()
-    assert {r["ord"]: r["accepted"] for r in found} == expected
+    for few in (0, scd2.FEW):
+        found = scd2.guard_stock(demand, levels, "ord", "item", "q", "level", few).collect()
+        assert {r["ord"]: r["accepted"] for r in found} == expected
+
+
+def test_a_long_chain_of_dependent_orders_takes_one_task(spark, monkeypatch):
+    # Order k wants items k and k + 1, of which there is one each: a round would decide one order.
+    pins, pin = [], scd2.pin
+    monkeypatch.setattr(scd2, "pin", lambda df, label="x": pins.append(label) or pin(df, label))
+    demand = spark.range(5_000).select(
+        F.col("id").alias("ord"), F.explode(F.array("id", F.col("id") + 1)).alias("item"), F.lit(1).cast("long").alias("q")
+    )
+    demand = demand.unionByName(spark.createDataFrame([(-5, 3, None)], "ord long, item long, q long"))
+    stock = spark.range(5_001).select(F.col("id").alias("item"), F.lit(1).cast("long").alias("level"))
+    found = scd2.guard_stock(demand, stock, "ord", "item", "q", "level")
+    wrong = found.filter(F.col("accepted") != ((F.col("ord") % 2 == 0) | (F.col("ord") < 0)))
+    assert found.count() == 5_001 and wrong.isEmpty()
+    assert len(pins) <= 3
 
 
 def test_a_chain_of_dependent_orders_and_a_hot_item(spark):
@@ -169,7 +185,7 @@ def test_rounds_hand_on_only_what_is_undecided(spark, monkeypatch):
     demand = [(k, 0, 1) for k in range(500)] + [(1000 + k, i, 1) for k in range(6) for i in (k + 1, k + 2)]
     stock = spark.createDataFrame([(0, 500)] + [(k, 1) for k in range(1, 8)], "item long, level long")
     orders = spark.createDataFrame(demand, "ord long, item long, q long")
-    scd2.guard_stock(orders, stock, "ord", "item", "q", "level").collect()
+    scd2.guard_stock(orders, stock, "ord", "item", "q", "level", few=0).collect()
     assert sizes[0] == 512 and max(sizes[2:]) <= 12 and sizes[-1] <= 4
 
 

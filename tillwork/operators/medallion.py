@@ -8,15 +8,17 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tillwork.functions.money import amount, money_sum
 from tillwork.operators import scd2
 from tillwork.operators.clean import first_by
 from tillwork.operators.flows import clean_orders
 from tillwork.sources.files import with_lineage
-from tillwork.sources.published import publish
+from tillwork.sources.published import publish, read_manifest, write_manifest
 
 LINEAGE = ["_ingested_at", "_source_file"]
+BY_STATE = ("is_current",)
 
 
 def silver_customers(bronze: DataFrame) -> DataFrame:
@@ -68,17 +70,45 @@ def gold_product_performance(fulfilled: DataFrame, products: DataFrame) -> DataF
 
 
 class Lake:
-    """The whole flow; holds the path of the newest folder of each table."""
+    """The whole flow, in fresh folders under ``root``, which should outlive the session.
 
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
-        self.paths: dict[tuple[str, str], str] = {}
+    ``commit`` writes the manifest, one file that names the folders of all tables; any session
+    reads what it names with ``opened``. A build that fails before its commit changes nothing for
+    readers. A table has one folder, but product versions may have several: the newest one holds
+    all current versions, and each holds the versions that its batch ended.
+    """
 
-    def read(self, layer: str, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.paths[layer, name])
+    def __init__(self, spark: SparkSession, root: str, tables: dict | None = None):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.tables: dict[str, dict] = tables or {}
+
+    @classmethod
+    def opened(cls, spark: SparkSession, root: str) -> "Lake":
+        return cls(spark, root, read_manifest(spark, root.rstrip("/")))
 
-    def _publish(self, layer: str, name: str, df: DataFrame) -> None:
-        self.paths[layer, name] = publish(df, f"{layer}-{name}")
+    def commit(self) -> None:
+        write_manifest(self.spark, self.root, self.tables)
+
+    def read(self, layer: str, name: str) -> DataFrame:
+        *older, newest = self.tables[f"{layer}/{name}"]["folders"]
+        rows = self._folders(layer, name, newest)
+        if older:
+            rows = rows.unionByName(self._folders(layer, name, *older).filter("not is_current"))
+        return rows
+
+    def _folders(self, layer: str, name: str, *folders: str) -> DataFrame:
+        own = self.tables[f"{layer}/{name}"]
+        schema = StructType.fromJson(own["schema"])
+        reader = self.spark.read.schema(schema)
+        if own["base"]:
+            reader = reader.option("basePath", own["base"])
+        return reader.parquet(*folders).select(*schema.names)
+
+    def _publish(self, layer: str, name: str, df: DataFrame, by: tuple[str, ...] = (), onto: tuple[str, ...] = ()) -> None:
+        label = f"{layer}-{name}"
+        folder = publish(df, f"{label}/batch=" if by else label, self.root, by)
+        base = f"{self.root}/{label}" if by else None  # above the batches, for Spark to tell partitions
+        self.tables[f"{layer}/{name}"] = {"folders": [*onto, folder], "base": base, "schema": df.schema.jsonValue()}
 
     def build_bronze(self, sources: dict[str, DataFrame]) -> None:
         """Land the sources as they are, with the time of landing and the file of each row."""
@@ -90,13 +120,17 @@ class Lake:
         self._publish("silver", "customers", silver_customers(read("customers")))
         self._publish("silver", "orders", silver_orders(read("orders"), order))
         self._publish("silver", "payments", silver_payments(read("payments")))
-        self._publish("silver", "products", scd2.init(read("products"), opened))
+        self._publish("silver", "products", scd2.init(read("products"), opened), BY_STATE)
 
     def reprice(self, changes: DataFrame, at: date) -> None:
-        """Apply one batch of prices. One publish holds both closed and opened versions."""
-        products = self.read("silver", "products")
-        repriced = scd2.apply_changes(products, changes, "product_id", at, ["price"])
-        self._publish("silver", "products", repriced)
+        """Apply one batch of prices. It reads the current versions and writes them with those that
+        end now; earlier ones stay where they are. Only a late change has all versions rewritten."""
+        folders = self.tables["silver/products"]["folders"]
+        open_rows = scd2.current(self._folders("silver", "products", folders[-1]))
+        if scd2.is_late(open_rows, changes, "product_id", at):
+            open_rows, folders = self.read("silver", "products"), []
+        repriced = scd2.apply_changes(open_rows, changes, "product_id", at, ["price"])
+        self._publish("silver", "products", repriced, BY_STATE, tuple(folders))
 
     def build_gold(self, statuses: list[str], segment) -> None:
         orders = self.read("silver", "orders").filter(F.col("order_status").isin(*statuses))

@@ -4,7 +4,9 @@ Every version of a key is valid on the half-open interval [effective_date, end_d
 current one has no end. One key has one current version and no overlapping intervals.
 """
 
+from collections import defaultdict
 from datetime import date
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -132,9 +134,12 @@ def take_stock(stock: DataFrame, demand: DataFrame, key: str, level: str, quanti
 
 
 SERVED, COUNTED, REFUSED = 1, 2, 0  # states of a row of demand, none while it is undecided
+FEW = 200_000  # rows of demand that one task serves one order after the other
 
 
-def guard_stock(demand: DataFrame, stock: DataFrame, order: str, item: str, quantity: str, level: str) -> DataFrame:
+def guard_stock(
+    demand: DataFrame, stock: DataFrame, order: str, item: str, quantity: str, level: str, few: int = FEW
+) -> DataFrame:
     """Accept the orders whose every item is still in stock when its turn comes.
 
     ``demand`` has one row per (order, item). Orders are served in the order of their key; a
@@ -143,8 +148,8 @@ def guard_stock(demand: DataFrame, stock: DataFrame, order: str, item: str, quan
     order before it is served, refused if there is not even when none of them is. Only rows of
     undecided and of just accepted orders go into the next round: what earlier ones took before
     a row is carried in the row. So rounds cost in proportion to what is undecided, about half
-    as much each time; the first undecided order is always decided, so a chain of orders that
-    each depend on the one before takes a round per order, over few rows.
+    as much each time. The last ``few`` rows, in which orders mostly depend on the one before,
+    are served in their order by one task. A missing quantity asks for nothing.
 
     The rows are cut into ranges of orders once. A running sum is a window inside (item, range)
     plus the sums of the ranges before, so an item that most orders want is no single task.
@@ -152,11 +157,12 @@ def guard_stock(demand: DataFrame, stock: DataFrame, order: str, item: str, quan
     rows = demand.join(stock, item, "left").select(
         order,
         item,
-        F.col(quantity).alias("_asked"),
+        F.coalesce(quantity, F.lit(0)).alias("_asked"),
         F.coalesce(level, F.lit(-1)).alias("_level"),
         F.lit(0).cast("long").alias("_before"),
         F.lit(None).cast("int").alias("_state"),
     )
+    rows = pin(rows, "demand")
     all_rows = slices(rows, [], [(order, "asc")], slice_count(rows))
     rows, decided = all_rows, None
     while True:
@@ -164,7 +170,10 @@ def guard_stock(demand: DataFrame, stock: DataFrame, order: str, item: str, quan
         found = rows.filter("_state is not null").select(F.col(order).alias("_order"), (F.col("_state") > 0).alias("_taken"))
         decided = found if decided is None else decided.unionByName(found)
         rows = rows.filter(F.col("_state").isNull() | (F.col("_state") == SERVED))
-        if rows.filter("_state is null").isEmpty():
+        waiting, left = rows.agg(F.count_if(F.col("_state").isNull()), F.count("*")).first()
+        if waiting and left <= few:
+            decided = decided.unionByName(pin(_serve_in_turn(rows, order, item), "served"))
+        if not waiting or left <= few:
             break
 
     # What each order found: the accepted ones before it, without itself.
@@ -177,6 +186,35 @@ def guard_stock(demand: DataFrame, stock: DataFrame, order: str, item: str, quan
     )
 
 
+def _serve_in_turn(rows: DataFrame, order: str, item: str) -> DataFrame:
+    """Verdicts on the undecided orders among few rows, from one task that serves them in order."""
+    turns = rows.withColumn("_turn", F.dense_rank().over(Window.orderBy(order)))
+
+    def serve(table):
+        import pyarrow as pa
+
+        table = table.sort_by("_turn")
+        names = ["_turn", item, "_asked", "_before", "_level", "_state"]
+        lines = enumerate(zip(*[table.column(c).to_pylist() for c in names]))
+        taken, at, verdicts = defaultdict(int), [], []
+        for _, own in groupby(lines, key=lambda line: line[1][0]):
+            own = list(own)
+            wanted = [line[1:5] for _, line in own]
+            served = own[0][1][5] == SERVED
+            if not served:
+                served = all(before + taken[what] + asked <= level for what, asked, before, level in wanted)
+                at.append(own[0][0])
+                verdicts.append(served)
+            if served:
+                for what, asked, _, _ in wanted:
+                    taken[what] += asked
+        orders = table.column(order).take(pa.array(at, pa.int64()))
+        return pa.table({"_order": orders, "_taken": pa.array(verdicts, pa.bool_())})
+
+    kind = rows.schema[order].dataType.simpleString()
+    return turns.groupBy(F.lit(0).alias("_all")).applyInArrow(serve, f"_order {kind}, _taken boolean")
+
+
 def _guard_step(rows: DataFrame, order: str, item: str) -> DataFrame:
     """One round: states of the orders that are certain now, and what was taken before the rest."""
     state = F.col("_state")

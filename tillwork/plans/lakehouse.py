@@ -314,7 +314,8 @@ SELECT * FROM g
 """)
 def medallion_gold(t):
     """Bronze to gold through storage, with one repricing; the three gold tables in one list."""
-    lake = medallion.Lake(t.spark)
+    root = new_folder(t.spark, "lake")
+    lake = medallion.Lake(t.spark, root)
     incoming = {
         "customers": raw.city_customers(t),
         "orders": raw.shipments(t),
@@ -328,6 +329,8 @@ def medallion_gold(t):
     )
     lake.reprice(changes, REPRICED_ON)
     lake.build_gold(GOLD_STATUSES, segment)
+    lake.commit()
+    lake = medallion.Lake.opened(t.spark, root)
 
     def listed(name, key, n, value, label):
         return lake.read("gold", name).select(
