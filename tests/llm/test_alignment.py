@@ -154,6 +154,44 @@ def test_rows_without_id_repeated_rows_and_no_rows(spark, libraries):
     assert al.alignment(no_docs(spark)).count() == 0
 
 
+WHITE = ["\n", "\t", "\r\n", "\x0b", "\x1c", "\x85", "\xa0", "\u180e", "\u200b", "\u2028", "\u3000", "\ufeff", " "]
+PARTS = st.sampled_from([*WHITE, " ", " ", "it's", "'ll", "the", "42nd", "--", "é", "漢字", "<|endoftext|>", "▁", "\u0301", "😀"])
+
+
+@pytest.fixture(scope="module")
+def tokens():
+    return al.Tokens(tokenizer_path(al.BYTE_LEVEL), tokenizer_path(al.PIECES))
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.lists(PARTS, min_size=1, max_size=12).map("".join))
+def test_words_encoded_apart_give_the_tokens_of_the_library(libraries, tokens, text):
+    assert tokens.by_words
+    a, b = tokens([text])[0]
+    assert (a.tolist(), b.tolist()) == tuple([k for k, _ in side] for side in encoded(text, libraries))
+
+
+def test_a_repeated_word_is_encoded_once_by_both_sides(libraries):
+    tokens, seen = al.Tokens(tokenizer_path(al.BYTE_LEVEL), tokenizer_path(al.PIECES)), Counter()
+
+    class Counted:
+        def __init__(self, side, library, plain):
+            self.side, self.library, self.plain = side, library, plain
+
+        def take(self, texts, *rest, **more):
+            seen[self.side] += sum(map(len, [texts] if isinstance(texts, str) else texts))
+            return getattr(self.library, self.plain)(texts, *rest, **more)
+
+        encode = encode_batch_fast = take
+
+    tokens.a, tokens.b = Counted("a", tokens.a, "encode_batch_fast"), Counted("b", tokens.b, "encode")
+    texts = ["the cat sat on the mat " * 200 + "again", "a cat on the mat\n " * 200 + "again"]
+    found = tokens(texts)
+    assert seen["a"] < 100 and seen["b"] < 100
+    for (a, b), text in zip(found, texts):
+        assert (a.tolist(), b.tolist()) == tuple([k for k, _ in side] for side in encoded(text, libraries))
+
+
 def test_a_text_of_megabytes(spark):
     rows = [(1, "word, " * 500_000, "en", "s", 1, "r", "k", "h", "y", "p", 3)]
     row = al.alignment(spark.createDataFrame(rows, SCHEMA)).first()

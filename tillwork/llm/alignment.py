@@ -9,6 +9,10 @@ each diagonal finds where the path crosses it, and a piece then needs nothing bu
 of both lists and the offset at which it starts. Pieces emit overlaps and the offsets where both
 ends meet; groups that run over the border of a piece are stitched by those offsets.
 
+Texts with single spaces between words are encoded word by word, each word once in the life of a
+cache: a token of either side has no space but at its front, so neither reaches over such a space.
+The others, and those with a word that begins with white space of another kind, are encoded whole.
+
 Documents are worked on in blocks of bounded rows and bytes. A block hands on its distinct pairs of
 ids, each with the number of its documents that hold it; these sum to the counts of the corpus, on
 the map side first, so a pair that every document holds is one row per block. The counts and
@@ -24,6 +28,8 @@ of other names are never read. An empty table gives no rows.
 """
 
 import hashlib
+import json
+import os
 from itertools import chain
 
 import numpy as np
@@ -39,6 +45,7 @@ BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 PIECE = 1 << 14  # steps of the merge path
 BLOCK_ROWS, BLOCK_BYTES = 1_000, 3 << 20
 CALL_BYTES = 1 << 20  # of texts that a library call encodes
+CALL_WORDS = 1 << 14  # that a library call encodes
 SPACE = "▁"
 
 
@@ -49,6 +56,14 @@ def _printable() -> dict[str, int]:
     return {chr(b) if b in plain else chr(next(shifted)): b for b in range(256)}
 
 
+def _by_expression(a) -> bool:
+    """Whether a tokenizer cuts plain text by the byte-level expression before anything else."""
+    parts = json.loads(a.to_str())
+    cut = parts["pre_tokenizer"] or {}
+    own = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space")
+    return own and not parts["normalizer"] and all(x["special"] for x in parts["added_tokens"])
+
+
 class Tokens:
     """Both tokenizers and the bytes of each of their ids."""
 
@@ -56,6 +71,7 @@ class Tokens:
         import sentencepiece
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True  # their strings are plain text
         of = _printable()
@@ -69,49 +85,79 @@ class Tokens:
             piece = self.b.id_to_piece(k)
             byte = self.b.is_byte(k)
             b_bytes.append(bytes([int(piece[3:5], 16)]) if byte else piece.replace(SPACE, " ").encode())
-        # No piece has a space inside but those of spaces alone, so the words of a text are
-        # encoded apart wherever single spaces part them.
+        # No piece has a space inside but those of spaces alone, and A's expression takes a space
+        # only before what follows it or with other white space, so the words of a text are encoded
+        # apart wherever single spaces part them.
         joined = [p for p in b_bytes if b" " in p[1:] and p.strip(b" ")]
-        self.by_words = not joined
+        self.by_words = not joined and _by_expression(self.a)
         self._forget()
         self.bytes = a_bytes, b_bytes
         self.sizes = [np.array([len(x) for x in side], dtype=np.int64) for side in self.bytes]
 
     def _forget(self):
         self.number: dict[str, int] = {}
-        self.flat = np.zeros(0, np.int64)
-        self.start = np.zeros(1, np.int64)
-        self.sound = np.zeros(0, bool)
+        self.flat = [np.zeros(0, np.int64)] * 2
+        self.start = [np.zeros(1, np.int64)] * 2
+        self.sound = np.zeros(0, bool)  # B gives the word back
+        self.alone = np.zeros(0, bool)  # A gives it back and takes no space before it into other white space
 
     def _learn(self, words: list[str]) -> None:
         for word in words:
             self.number[word] = len(self.number)
-        ids = self.b.encode(words, num_threads=1)
-        sound = [self._gives(own, 1, (" " + word).encode()) for own, word in zip(ids, words)]
-        sizes = np.array([len(own) for own in ids], dtype=np.int64)
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.int64, int(sizes.sum()))])
-        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(sizes)])
-        self.sound = np.concatenate([self.sound, sound])
-
-    def _pieces(self, texts: list[str]) -> list[np.ndarray | None]:
-        """B's ids of each text, None where they do not give it back."""
+        spaced = [" " + word for word in words]
+        sides = self._encoded(spaced), self.b.encode(words, num_threads=1)
+        raws, gives = [raw.encode() for raw in spaced], []
+        lengths = np.cumsum([len(raw) for raw in raws])
+        for side, ids in enumerate(sides):
+            sizes = np.array([len(own) for own in ids], dtype=np.int64)
+            flat = np.fromiter(chain.from_iterable(ids), np.int64, int(sizes.sum()))
+            # All at once: the same bytes in all, and the same length up to each word.
+            so_far = np.concatenate([[0], np.cumsum(self.sizes[side][flat])])[np.cumsum(sizes)]
+            if (so_far == lengths).all() and self._gives(flat.tolist(), side, b"".join(raws)):
+                gives.append(np.ones(len(words), bool))
+            else:
+                gives.append(np.array([self._gives(own, side, raw) for own, raw in zip(ids, raws)], bool))
+            self.flat[side] = np.concatenate([self.flat[side], flat])
+            self.start[side] = np.concatenate([self.start[side], self.start[side][-1] + np.cumsum(sizes)])
+        self.sound = np.concatenate([self.sound, gives[1]])
+        # Of the characters that count as white space anywhere only the space is printable.
+        self.alone = np.concatenate([self.alone, gives[0] & [word[0].isprintable() for word in words]])
+
+    def _encoded(self, spaced: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
+
+    def _by_words(self, at: np.ndarray, side: int) -> np.ndarray:
+        start = self.start[side]
+        size = start[at + 1] - start[at]
+        begin = np.repeat(start[at] - (np.cumsum(size) - size), size)
+        return self.flat[side][begin + np.arange(len(begin))]
+
+    def _both(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """Ids of A and B of each text, None where they do not give it back."""
         if len(self.number) > CACHED_PIECES:
             self._forget()
         split = [t.split(" ") if self.by_words else [""] for t in texts]
         plain = ["" not in words for words in split]  # else spaces meet or stand at an end
-        new = set().union(*[w for w, p in zip(split, plain) if p]).difference(self.number)
-        if new:
-            self._learn(sorted(new))
-        found = []
-        for text, words, whole in zip(texts, split, plain):
-            if not whole:
-                ids = self.b.encode(text)
-                found.append(np.array(ids, np.int64) if self._gives(ids, 1, (" " + text).encode()) else None)
+        new = sorted(set().union(*[w for w, p in zip(split, plain) if p]).difference(self.number))
+        for first in range(0, len(new), CALL_WORDS):
+            self._learn(new[first : first + CALL_WORDS])
+        found, whole = [None] * len(texts), []
+        for k, (words, apart) in enumerate(zip(split, plain)):
+            if not apart:
+                whole.append(k)
                 continue
             at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-            size = self.start[at + 1] - self.start[at]
-            begin = np.repeat(self.start[at] - (np.cumsum(size) - size), size)
-            found.append(self.flat[begin + np.arange(len(begin))] if self.sound[at].all() else None)
+            if not self.sound[at].all():
+                continue
+            if not self.alone[at].all():
+                whole.append(k)
+                continue
+            found[k] = self._by_words(at, 0), self._by_words(at, 1)
+        spaced = [" " + texts[k] for k in whole]
+        for k, text, a in zip(whole, spaced, self._encoded(spaced)):
+            b = self.b.encode(texts[k])
+            if self._gives(b, 1, text.encode()) and self._gives(a, 0, text.encode()):
+                found[k] = np.array(a, np.int64), np.array(b, np.int64)
         return found
 
     def __call__(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -121,13 +167,9 @@ class Tokens:
         some = [k for k, t in enumerate(texts) if t]
         for at in _cuts([len(texts[k]) for k in some], BLOCK_ROWS, CALL_BYTES):
             chosen = some[at[0] : at[1]]
-            spaced = [" " + texts[k] for k in chosen]
-            first = self.a.encode_batch_fast(spaced, add_special_tokens=False)
-            second = self._pieces([texts[k] for k in chosen])
-            for k, text, one, b in zip(chosen, spaced, first, second):
-                a = one.ids
-                if b is not None and self._gives(a, 0, text.encode()):
-                    found[k] = np.array(a, dtype=np.int64), b
+            for k, both in zip(chosen, self._both([texts[k] for k in chosen])):
+                if both:
+                    found[k] = both
         return found
 
     def _gives(self, ids: list[int], side: int, raw: bytes) -> bool:
@@ -202,10 +244,12 @@ class Writer:
         self.table = np.concatenate([np.char.add(names, sep).astype(width) for sep in (b",", b"|", b";")])
         self.ids = ids
 
-    def __call__(self, ids: np.ndarray, last: np.ndarray, side: np.ndarray) -> str:
-        """``ids`` in order; ``last`` of their side in a group; ``side`` 0 or 1."""
-        kind = np.where(last, side + 1, 0)
-        text = self.table[kind * self.ids + ids].tobytes().translate(None, b"\0")
+    def places(self, ids: np.ndarray, last: np.ndarray, side: int) -> np.ndarray:
+        """Where the strings of these ids are; ``last`` of their side in a group; ``side`` 0 or 1."""
+        return np.where(last, (side + 1) * self.ids, 0).astype(np.int32) + ids
+
+    def __call__(self, places: np.ndarray) -> str:
+        text = self.table[places].tobytes().translate(None, b"\0")
         return hashlib.sha256(text[:-1]).hexdigest()  # no separator after the last group
 
 
@@ -288,14 +332,17 @@ def _groups(all_a, all_b, ends_a, ends_b, meet, of_a, of_b, n_a, n_b, writer: Wr
     last_b = np.append(group_b[1:] != group_b[:-1], True)[: len(group_b)]
     n_groups = np.bincount(of_a[last_a], minlength=len(n_a))
     bounds_a, bounds_b = [np.concatenate([[0], np.cumsum(n)]) for n in (n_a, n_b)]
+    # A's tokens of a group come before B's of the same group.
+    sizes_a, sizes_b = [np.bincount(g, minlength=len(meet)) for g in (group_a, group_b)]
+    order = np.zeros(len(all_a) + len(all_b), np.int32)
+    place_a = np.arange(len(all_a)) + (np.cumsum(sizes_b) - sizes_b)[group_a]
+    order[place_a] = writer.places(all_a, last_a, 0)
+    del place_a
+    order[np.arange(len(all_b)) + np.cumsum(sizes_a)[group_b]] = writer.places(all_b, last_b, 1)
+    bounds = bounds_a + bounds_b
     digests = [""] * len(n_a)
     for k in np.flatnonzero(n_a):
-        a, b = slice(bounds_a[k], bounds_a[k + 1]), slice(bounds_b[k], bounds_b[k + 1])
-        # A's tokens of a group come before B's of the same group.
-        order = np.argsort(np.concatenate([2 * group_a[a], 2 * group_b[b] + 1]), kind="stable")
-        side = np.repeat(np.array([0, 1], np.int32), [n_a[k], n_b[k]])
-        written = np.concatenate([all_a[a], all_b[b]]), np.concatenate([last_a[a], last_b[b]]), side
-        digests[k] = writer(*[x[order] for x in written])
+        digests[k] = writer(order[bounds[k] : bounds[k + 1]])
     return n_groups, digests
 
 
