@@ -53,6 +53,13 @@ def test_facts_are_summed_before_they_are_joined(spark):
     assert join < aggregate  # the join sits above the aggregate
 
 
+def test_orders_are_told_apart_for_the_top_parts_only(spark):
+    lines = plan(QUERIES["top_products_qty"](spark, DATA)).splitlines()
+    by_order = [k for k, line in enumerate(lines) if re.search(r"Aggregate\(keys=\[[^]]*l_orderkey", line)]
+    semi = [k for k, line in enumerate(lines) if "LeftSemi" in line]
+    assert by_order and any(k > max(by_order) for k in semi)  # the join lies below the aggregates
+
+
 def test_top_k_and_first_rows_are_cut_before_the_shuffle(spark):
     assert "TakeOrderedAndProject" in plan(QUERIES["top10_products"](spark, DATA))
     for name in ("dedup_keep_first", "top3_per_category"):

@@ -19,6 +19,7 @@ from tillwork.operators.joins import best_with_ties, having_match
 from tillwork.plans import raw, sql
 from tillwork.plans.catalog import fulfilled, query
 from tillwork.plans.joining import on
+from tillwork.sources.shared import pin
 
 ORDER_TOTALS = f"SELECT o_custkey, SUM({sql.TOTAL}) AS total_sales FROM orders GROUP BY o_custkey"
 
@@ -375,15 +376,18 @@ FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_partkey, p_name, p_t
 ORDER BY total_quantity DESC, p_partkey LIMIT 3
 """)
 def top_products_qty(t):
-    """Names are looked up for the three winners only, chosen among the known parts."""
+    """Names are looked up for the three winners only, chosen among the known parts, and only their
+    orders are told apart: no task holds a row per part and order."""
     sold = t.lineitem.groupBy("l_partkey").agg(
         F.sum("l_quantity").cast("bigint").alias("total_quantity"),
-        F.countDistinct("l_orderkey").alias("num_orders"),
         amount(revenue_sum()).alias("total_revenue"),
     )
     known = having_match(sold, t.part, "l_partkey", "p_partkey")
-    top = known.orderBy(F.desc("total_quantity"), "l_partkey").limit(3)
-    named = top.join(t.part, on("l_partkey", "p_partkey"))
+    top = pin(known.orderBy(F.desc("total_quantity"), "l_partkey").limit(3), "top")
+    won = F.broadcast(top.select(F.col("l_partkey").alias("won")))  # three rows
+    lines = t.lineitem.select("l_partkey", "l_orderkey").join(won, on("l_partkey", "won"), "left_semi")
+    orders = lines.groupBy(F.col("l_partkey").alias("of_part")).agg(F.countDistinct("l_orderkey").alias("num_orders"))
+    named = top.join(t.part, on("l_partkey", "p_partkey")).join(F.broadcast(orders), on("l_partkey", "of_part"))
     return named.select(
         "p_partkey", "p_name", "p_type", "total_quantity", "num_orders", "total_revenue"
     )
