@@ -189,6 +189,18 @@ def test_rounds_hand_on_only_what_is_undecided(spark, monkeypatch):
     assert sizes[0] == 512 and max(sizes[2:]) <= 12 and sizes[-1] <= 4
 
 
+def test_a_round_moves_its_rows_once(spark):
+    from tillwork.operators.ordered import SLICE
+
+    row = "ord long, item long, _asked long, _level long, _before long, _state int"
+    rows = spark.createDataFrame([(k, k % 3, 1, 9, 0, None) for k in range(50)], row)
+    rows = scd2.pin(rows.withColumn(SLICE, (F.col("ord") / 10).cast("int")))
+    text = scd2._guard_step(rows, "ord", "item", 4)._jdf.queryExecution().executedPlan().toString()
+    moves = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(moves) == 4  # the rows by range; sums by item and range, by item, by range
+    assert not any("hashpartitioning(ord" in line for line in moves)
+
+
 def test_as_of_a_product_with_very_many_versions(spark):
     first = date(1900, 1, 1)
     many = spark.range(100_000).select(

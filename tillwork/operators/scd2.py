@@ -152,7 +152,9 @@ def guard_stock(
     are served in their order by one task. A missing quantity asks for nothing.
 
     The rows are cut into ranges of orders once. A running sum is a window inside (item, range)
-    plus the sums of the ranges before, so an item that most orders want is no single task.
+    plus the sums of the ranges before, so an item that most orders want is no single task. An
+    order lies in one range, so a round moves its rows once, to their ranges: there they find
+    their sums and, together, the verdict. All else that moves is a row per item and range.
     """
     rows = demand.join(stock, item, "left").select(
         order,
@@ -163,11 +165,14 @@ def guard_stock(
         F.lit(None).cast("int").alias("_state"),
     )
     rows = pin(rows, "demand")
-    all_rows = slices(rows, [], [(order, "asc")], slice_count(rows))
+    count = slice_count(rows)
+    all_rows = slices(rows, [], [(order, "asc")], count)
     rows, decided = all_rows, None
     while True:
-        rows = pin(_guard_step(rows, order, item), "demand")
-        found = rows.filter("_state is not null").select(F.col(order).alias("_order"), (F.col("_state") > 0).alias("_taken"))
+        rows = pin(_guard_step(rows, order, item, count), "demand")
+        found = rows.filter("_state is not null").select(
+            F.col(order).alias("_order"), F.col(SLICE).alias("_in"), (F.col("_state") > 0).alias("_taken")
+        )
         decided = found if decided is None else decided.unionByName(found)
         rows = rows.filter(F.col("_state").isNull() | (F.col("_state") == SERVED))
         waiting, left = rows.agg(F.count_if(F.col("_state").isNull()), F.count("*")).first()
@@ -177,13 +182,14 @@ def guard_stock(
             break
 
     # What each order found: the accepted ones before it, without itself.
-    verdicts = decided.groupBy("_order").agg(F.max("_taken").alias("_taken"))
-    last = all_rows.join(verdicts, F.col(order).eqNullSafe(F.col("_order")), "left")
-    last = _sums_before(last, order, item, _before_all=F.when(F.col("_taken"), F.col("_asked")).otherwise(0))
+    verdicts = decided.groupBy("_order", "_in").agg(F.max("_taken").alias("_taken")).repartition(count, "_in")
+    same = F.col(order).eqNullSafe(F.col("_order")) & (F.col(SLICE) == F.col("_in"))
+    last = all_rows.repartition(count, SLICE).join(verdicts, same, "left")
+    last = _sums_before(last, last, order, item, count, _before_all=F.when(F.col("_taken"), F.col("_asked")).otherwise(0))
     fits = F.col("_before_all") + F.col("_asked") <= F.col("_level")
-    return last.groupBy(order).agg(
+    return last.groupBy(order, SLICE).agg(
         F.count("*").alias("items"), F.count_if(fits).alias("items_in_stock"), F.every(fits).alias("accepted")
-    )
+    ).drop(SLICE)
 
 
 def _serve_in_turn(rows: DataFrame, order: str, item: str) -> DataFrame:
@@ -208,40 +214,43 @@ def _serve_in_turn(rows: DataFrame, order: str, item: str) -> DataFrame:
             if served:
                 for what, asked, _, _ in wanted:
                     taken[what] += asked
-        orders = table.column(order).take(pa.array(at, pa.int64()))
-        return pa.table({"_order": orders, "_taken": pa.array(verdicts, pa.bool_())})
+        named = table.select([order, SLICE]).take(pa.array(at, pa.int64())).rename_columns(["_order", "_in"])
+        return named.append_column("_taken", pa.array(verdicts, pa.bool_()))
 
     kind = rows.schema[order].dataType.simpleString()
-    return turns.groupBy(F.lit(0).alias("_all")).applyInArrow(serve, f"_order {kind}, _taken boolean")
+    return turns.groupBy(F.lit(0).alias("_all")).applyInArrow(serve, f"_order {kind}, _in int, _taken boolean")
 
 
-def _guard_step(rows: DataFrame, order: str, item: str) -> DataFrame:
+def _guard_step(rows: DataFrame, order: str, item: str, count: int) -> DataFrame:
     """One round: states of the orders that are certain now, and what was taken before the rest."""
     state = F.col("_state")
     served = F.when(state == SERVED, F.col("_asked")).otherwise(0)
     waiting = F.when(state.isNull(), F.col("_asked")).otherwise(0)
-    known = _sums_before(rows, order, item, _served=served, _waiting=waiting)
+    dealt = rows.repartition(count, SLICE)
+    known = _sums_before(dealt, rows, order, item, count, _served=served, _waiting=waiting)
     known = known.withColumn("_before", F.col("_before") + F.col("_served"))
     needed = F.col("_before") + F.col("_asked")
-    verdicts = known.filter(state.isNull()).groupBy(order).agg(
-        F.every(needed + F.col("_waiting") <= F.col("_level")).alias("_enough"),
-        F.every(needed <= F.col("_level")).alias("_possible"),
-    )
+    whole = Window.partitionBy(order, SLICE)  # all rows of an order have the same state
+    enough = F.every(needed + F.col("_waiting") <= F.col("_level")).over(whole)
+    possible = F.every(needed <= F.col("_level")).over(whole)
+    known = known.withColumns({"_enough": enough, "_possible": possible})
     now = F.when(F.col("_enough"), SERVED).when(~F.col("_possible"), REFUSED)
-    verdicts = verdicts.select(F.col(order).alias("_order"), now.alias("_now")).filter("_now is not null")
-    met = known.join(verdicts, F.col(order).eqNullSafe(F.col("_order")), "left")
-    after = F.when(state == SERVED, COUNTED).otherwise(F.coalesce(state, F.col("_now")))
-    return met.withColumn("_state", after).select(*rows.columns)
+    after = F.when(state == SERVED, COUNTED).otherwise(F.coalesce(state, now))
+    return known.withColumn("_state", after).select(*rows.columns)
 
 
-def _sums_before(rows: DataFrame, order: str, item: str, **amounts: Column) -> DataFrame:
-    """For each row the sums of the amounts over earlier orders of its item."""
+def _sums_before(
+    rows: DataFrame, same: DataFrame, order: str, item: str, count: int, **amounts: Column
+) -> DataFrame:
+    """For each row the sums of the amounts over earlier orders of its item. ``rows`` are dealt to
+    ``count`` partitions by their range and stay there; ``same`` are these rows, dealt or not."""
     local = Window.partitionBy(item, SLICE).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     earlier = Window.partitionBy("_item").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    parts = rows.groupBy(F.col(item).alias("_item"), F.col(SLICE).alias("_at")).agg(
+    parts = same.groupBy(F.col(item).alias("_item"), F.col(SLICE).alias("_at")).agg(
         *[F.sum(a).alias(f"_part{n}") for n, a in amounts.items()]
     )
     parts = parts.select("_item", "_at", *[F.sum(f"_part{n}").over(earlier).alias(f"_part{n}") for n in amounts])
+    parts = parts.repartition(count, "_at")
     sums = rows.withColumns({n: F.sum(a).over(local) for n, a in amounts.items()})
     joined = sums.join(parts, F.col(item).eqNullSafe(F.col("_item")) & (F.col(SLICE) == F.col("_at")))
     whole = {n: F.coalesce(n, F.lit(0)) + F.coalesce(f"_part{n}", F.lit(0)) for n in amounts}
