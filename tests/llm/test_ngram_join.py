@@ -102,3 +102,34 @@ def test_components_of_a_chain_and_a_star(spark):
     labels = {r.doc: r.component for r in found}
     assert {labels.get(k, k) for k in range(10, 61)} == {10}
     assert {labels.get(k, k) for k in [*range(100, 160), 200]} == {100}
+
+
+def test_pairs_are_compared_without_a_list_of_their_texts():
+    import pyarrow as pa
+
+    from tillwork.llm import ngram_join as nj
+
+    class Texts(list):
+        def to_pylist(self):
+            raise AssertionError("all texts of a batch at once")
+
+    text = "one two three four five six"
+    held = {"doc": pa.array([5, 6, 7]), "centre": pa.array([1, 1, 2]),
+            "mine": Texts(pa.array([text, "other words that are not shared", text])),
+            "theirs": Texts(pa.array([text, text, text.upper()]))}
+    batch = type("Batch", (), {"column": lambda self, name: held[name]})()
+    found = list(nj._compare(80, 5)([batch]))[0].to_pydict()
+    assert found == {"a": [5, 7], "b": [1, 2]}
+
+
+def test_a_task_gives_memory_back_at_its_end(monkeypatch):
+    import pyarrow as pa
+
+    from tillwork.llm.texts import released
+
+    asked = []
+    pool = type("Pool", (), {"release_unused": lambda self: asked.append("end")})()
+    monkeypatch.setattr(pa, "default_memory_pool", lambda: pool)
+    rows = released(lambda batches: (b for b in batches))(iter([1, 2]))
+    assert next(rows) == 1 and not asked
+    assert list(rows) == [2] and asked == ["end"]

@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from tillwork.llm.components import components
 from tillwork.llm.shingles import Shingler, mixed, shingle_set
-from tillwork.llm.texts import corpus, matching, pin
+from tillwork.llm.texts import corpus, matching, pin, released
 
 BAND = 1.5  # ratio of the sizes in a band
 SPARE = 0.25  # x as a share of H + 1
@@ -246,9 +246,9 @@ def _compare(percent: int, width: int):
         known, last = None, None
         for batch in batches:
             docs, centres = batch.column("doc").to_pylist(), batch.column("centre").to_pylist()
-            mine, theirs = batch.column("mine").to_pylist(), batch.column("theirs").to_pylist()
             linked = []
-            for text, other in zip(mine, theirs):
+            for row in zip(batch.column("mine"), batch.column("theirs")):  # one pair of texts at a time
+                text, other = (x.as_py() for x in row)
                 if other != known or last is None:
                     known, last = other, shingle_set(other, width)
                 own = shingle_set(text, width)
@@ -274,7 +274,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> D
     mine = few.select(F.col("doc_id").alias("doc"), F.col("text").alias("mine"))
     theirs = few.select(F.col("doc_id").alias("centre"), F.col("text").alias("theirs"))
     both = pairs.join(mine, "doc").join(theirs, "centre")
-    return both.mapInArrow(_compare(percent, width), "a long, b long")
+    return both.mapInArrow(released(_compare(percent, width)), "a long, b long")
 
 
 def _classes(rows: DataFrame) -> DataFrame:
@@ -296,7 +296,7 @@ def ngram_join(
     all_texts = corpus(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     texts = all_texts.filter("doc_id is not null")
     schema = "kind int, doc long, n long, a long, b long, sketch array<long>"
-    first = pin(all_texts.mapInArrow(_fingerprints(width), schema), "shingle-sets")
+    first = pin(all_texts.mapInArrow(released(_fingerprints(width)), schema), "shingle-sets")
     sets = first.filter("kind = 0").drop("kind")
     full = sets.filter("n > 0 and doc is not null")
 
@@ -321,7 +321,7 @@ def ngram_join(
         F.count("*").alias("texts"), F.max("n").alias("n"), F.max("sketch").alias("sketch")
     )
     sketch = sketch.filter("texts = 1").select("doc", "n", "sketch")
-    rows = texts.mapInArrow(_signatures(width, plan, np.sort(heavy)), "sig long, doc long, kind int")
+    rows = texts.mapInArrow(released(_signatures(width, plan, np.sort(heavy))), "sig long, doc long, kind int")
     # Links to the least of a class are stars already, unless an id is in several classes.
     several = sets.groupBy("doc").count().filter("count > 1 and doc is not null")
     labels = same.select(F.col("a").alias("doc"), F.col("b").alias("component"))
@@ -430,7 +430,7 @@ def _near(open_rows: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
         "sig", F.least("own", "with").alias("low"), F.greatest("own", "with").alias("high"), "own", "doc", "label", "n", "sketch"
     )
     dealt = dealt.repartition(*keys).sortWithinPartitions(*keys)
-    found = dealt.mapInArrow(_compared(percent), "doc long, centre long, apart int")
+    found = dealt.mapInArrow(released(_compared(percent)), "doc long, centre long, apart int")
     return found.groupBy("doc", "centre").agg(F.min("apart").alias("apart"))
 
 
