@@ -96,6 +96,40 @@ def test_awkward_rows(spark):
     assert ngram_join.ngram_join(no_docs(spark)).count() == 0
 
 
+def chance(rng, pairs):
+    """Documents that share passages by twos without being similar, and a near copy of every fifth."""
+    rows = []
+    for k in range(pairs):
+        passage = prose(rng, 40)
+        own = [prose(rng, 110) + " " + passage for _ in range(2)]
+        rows += [(10 * k + j, text) for j, text in enumerate(own)]
+        if k % 5 == 0:
+            rows.append((10 * k + 2, own[0] + " end"))
+    return rows
+
+
+def test_what_few_documents_share_takes_no_part_in_the_rounds(spark, monkeypatch):
+    opened, pin = [], ngram_join.pin
+
+    def counted(frame, label):
+        pinned = pin(frame, label)
+        if label == "open":
+            opened.append(pinned.count())
+        return pinned
+
+    monkeypatch.setattr(ngram_join, "pin", counted)
+    rows = chance(random.Random(4), 30)
+    assert found(spark, rows, 5, 80) == brute(rows, 5, 80)
+    assert opened and not any(opened)
+
+
+def test_pairs_of_few_documents_lose_nothing_at_any_bound(spark, monkeypatch):
+    rows = corpus(11)
+    for small in (0, 100):
+        monkeypatch.setattr(ngram_join, "SMALL", small)
+        assert found(spark, rows, 5, 80) == brute(rows, 5, 80)
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(k, k + 1) for k in range(10, 60)] + [(k, 200) for k in range(100, 160)]
     found = components.components(spark.createDataFrame(links, "a long, b long")).collect()

@@ -15,14 +15,17 @@ of a pair, the one of the band below.
 
 A signature that many documents share is combined inside each Arrow batch, so the shuffle gets
 a row per batch of it. Equal sets (the same size and the same two 64-bit sums over the hashes of
-the shingles) are one class before any of this. Documents of one signature are not paired with
-each other. First come rounds of one pair per document: the signature's best known document is
-its centre, and a document is compared with the centre it shares most signatures with. What links
-is merged, signatures left with one component go, and the rounds end when they merge little. So a
-family of near copies, however large, costs a pair per document and a round. Then the documents
-of every signature that is still open are compared in sketches, block with block where there are
-many, and only pairs that pass go on: each document with its closest one, then with GROWTH times
-as many; what links is merged, pairs inside one component go, until none is left.
+the shingles) are one class before any of this. Most signatures that are shared at all are shared
+by chance and by few documents: those of at most SMALL documents are taken out at once, as pairs
+whose sizes may be similar, fewer than two for each of their rows. Documents of the others are not
+paired with each other. First come rounds of one pair per document: the signature's best known
+document is its centre, and a document is compared with the centre it shares most signatures with.
+What links is merged, signatures left with one component go, and the rounds end when they merge
+little. So a family of near copies, however large, costs a pair per document and a round. Then the
+pairs of small signatures, and the documents of every other one that is still open, block with
+block where there are many, are compared in sketches, and only pairs that pass go on: each document
+with its closest one, then with GROWTH times as many; what links is merged, pairs inside one
+component go, until none is left.
 
 A parity sketch of each set, as long as the set is large, bounds the difference of two sets from
 below: of all pairs only those it lets through are compared on their texts, and what a pair is
@@ -55,7 +58,8 @@ CHANCE = HEAVY_SHARE  # that a document has a given shingle; those with more are
 BUCKETS = 1 << 20  # bound of the broadcast that thins the texts before they are shuffled
 SKETCH = 64  # bits of the shortest sketch; a longer one is this times a power of two
 GROWTH = 16  # partners of a document that are compared on their texts, from one round to the next
-SPARSE = 4  # bits of a sketch for each shingle, at least
+SPARSE = 2  # bits of a sketch for each shingle, at least
+SMALL = 4  # documents of a signature whose pairs are listed
 BLOCK = 512  # documents of a signature that are compared with each other in one place
 FEW = 0.02  # of the open documents: fewer merges end the rounds of one pair per document
 BATCH_TEXTS, BATCH_CHARS = 500, 1 << 21
@@ -262,15 +266,20 @@ def _compare(percent: int, width: int):
     return run
 
 
+def _asked(rows: DataFrame, column: str, pairs: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose id in ``column`` is in none of ``pairs``."""
+    ids = pairs.select(F.explode(F.array("doc", "centre")).alias("id"))
+    buckets = F.broadcast(ids.select(_bucket("id").alias("bucket")).distinct())
+    return rows.join(buckets, _bucket(column) == F.col("bucket"), "left_semi")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
     """Those of ``pairs`` (doc, centre) whose whole texts reach the threshold.
 
     Texts of other documents are dropped by hash buckets, at most BUCKETS broadcast rows, before
     any shuffle. The centre is joined last, as one row per id, so AQE can split a popular one.
     """
-    asked = pairs.select(F.explode(F.array("doc", "centre")).alias("id"))
-    buckets = F.broadcast(asked.select(_bucket("id").alias("bucket")).distinct())
-    few = texts.join(buckets, _bucket("doc_id") == F.col("bucket"), "left_semi")
+    few = _asked(texts, "doc_id", pairs)
     mine = few.select(F.col("doc_id").alias("doc"), F.col("text").alias("mine"))
     theirs = few.select(F.col("doc_id").alias("centre"), F.col("text").alias("theirs"))
     both = pairs.join(mine, "doc").join(theirs, "centre")
@@ -317,19 +326,19 @@ def ngram_join(
 
     same = pin(_classes(full.drop("sketch")), "equal-sets")
     # An id with texts of its own on several rows has no sketch and is compared in full.
-    sketch = full.groupBy("doc").agg(
-        F.count("*").alias("texts"), F.max("n").alias("n"), F.max("sketch").alias("sketch")
-    )
-    sketch = sketch.filter("texts = 1").select("doc", "n", "sketch")
+    several = full.groupBy("doc").count().filter("count > 1").select(F.col("doc").alias("repeated"))
+    several = pin(several, "repeated")
+    sketch = full.join(several, matching("doc", "repeated"), "left_anti").select("doc", "n", "sketch")
     rows = texts.mapInArrow(released(_signatures(width, plan, np.sort(heavy))), "sig long, doc long, kind int")
     # Links to the least of a class are stars already, unless an id is in several classes.
-    several = sets.groupBy("doc").count().filter("count > 1 and doc is not null")
     labels = same.select(F.col("a").alias("doc"), F.col("b").alias("component"))
-    if not several.isEmpty():
+    repeats = not several.isEmpty()
+    if repeats:
         labels = pin(components(same), "components")
 
     def linked(facing: DataFrame) -> DataFrame:
-        return pin(_verified(_possible(facing, sketch, percent), texts, percent, width), "similar")
+        possible = _possible(facing, sketch, percent).select("doc", "centre")
+        return pin(_verified(possible, texts, percent, width), "similar")
 
     def merged(found: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
         """What the links merge, as (label, to), and the labels after it."""
@@ -344,9 +353,15 @@ def ngram_join(
 
     # One node for each class of equal sets; what is then alone in a signature goes.
     candidates = _labelled(_shared(rows), same, "doc", "b").distinct()
-    candidates = pin(_mixed(_labelled(candidates.withColumn("label", F.col("doc")), labels, "label")), "signatures")
-    scores = candidates.groupBy("doc").agg(F.count("*").alias("score"))
-    open_rows = candidates.join(scores, "doc")
+    candidates = candidates.withColumn("label", F.col("doc"))
+    if repeats:  # else the least of a class is its own label
+        candidates = _labelled(candidates, labels, "label")
+    candidates = pin(_mixed(candidates), "signatures")
+    few = pin(_few_pairs(candidates.filter(F.col("docs") <= SMALL), sketch, percent), "pairs")
+    open_rows = candidates.filter(F.col("docs") > SMALL).drop("docs")
+    scores = open_rows.groupBy("doc").agg(F.count("*").alias("score"))
+    open_rows = open_rows.join(scores, "doc")
+    little = FEW * scores.count()
     tried = None
     while True:  # one pair per document
         open_rows = pin(open_rows, "open")
@@ -357,11 +372,12 @@ def ngram_join(
         if found.isEmpty():
             break
         merges, labels = merged(found, labels)
-        open_rows = _mixed(_moved(open_rows, merges))
-        if merges.count() <= FEW * facing.count():
+        if merges.count() <= little:  # so the rounds are at most 1 / FEW
             break
-    # Then all pairs of the open signatures that the sketches let through, the closest first.
-    near = _untried(pin(_near(open_rows, sketch, percent), "near"), tried)
+        open_rows = _mixed(_moved(open_rows, merges)).drop("docs")
+    # Then all pairs of small and of open signatures that the sketches let through, the closest first.
+    near = _near(open_rows, sketch, percent).unionByName(_possible(few, sketch, percent))
+    near = _untried(pin(near.groupBy("doc", "centre").agg(F.min("apart").alias("apart")), "near"), tried)
     near = _labelled(_labelled(near.withColumns({"one": F.col("doc"), "other": F.col("centre")}), labels, "one"), labels, "other")
     near = pin(near.filter("one != other"), "near")
     many, order = 1, Window.partitionBy("doc").orderBy("apart", "centre")
@@ -430,8 +446,20 @@ def _near(open_rows: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
         "sig", F.least("own", "with").alias("low"), F.greatest("own", "with").alias("high"), "own", "doc", "label", "n", "sketch"
     )
     dealt = dealt.repartition(*keys).sortWithinPartitions(*keys)
-    found = dealt.mapInArrow(released(_compared(percent)), "doc long, centre long, apart int")
-    return found.groupBy("doc", "centre").agg(F.min("apart").alias("apart"))
+    return dealt.mapInArrow(released(_compared(percent)), "doc long, centre long, apart int")
+
+
+def _few_pairs(rows: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
+    """(doc, centre): pairs of different labels in one signature of ``rows`` whose sizes let them be
+    similar. The number of documents of a signature is bounded, so pairs grow with the rows."""
+    known = sketch.select(F.col("doc").alias("its"), "n")
+    rows = rows.join(known, matching("doc", "its"), "left").select("sig", "doc", "label", "n")
+    other = rows.select(*[F.col(c).alias(f"other_{c}") for c in rows.columns])
+    apart, total = F.abs(F.col("n") - F.col("other_n")), F.col("n") + F.col("other_n")
+    sized = F.coalesce(apart * (100 + percent) <= (100 - percent) * total, F.lit(True))
+    pair = (F.col("sig") == F.col("other_sig")) & (F.col("doc") > F.col("other_doc"))
+    met = rows.join(other, pair & (F.col("label") != F.col("other_label")) & sized)
+    return met.select("doc", F.col("other_doc").alias("centre")).distinct()
 
 
 def _compared(percent: int):
@@ -492,7 +520,8 @@ def _untried(facing: DataFrame, tried: DataFrame | None) -> DataFrame:
 
 
 def _possible(facing: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
-    """Pairs without those whose sizes or sketches already differ by too much."""
+    """(doc, centre, apart): pairs without those whose sizes or sketches already differ by too much."""
+    sketch = _asked(sketch, "doc", facing)
     mine = sketch.select(F.col("doc").alias("my_id"), F.struct("n", "sketch").alias("mine"))
     theirs = sketch.select(F.col("doc").alias("their_id"), F.struct("n", "sketch").alias("theirs"))
     both = facing.join(mine, matching("doc", "my_id"), "left").join(theirs, matching("centre", "their_id"), "left")
@@ -508,7 +537,8 @@ def _possible(facing: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
         F.zip_with(one, other, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, k: total + k
     )
     near = sized & (bits * (100 + percent) <= (100 - percent) * total)
-    return both.filter(F.coalesce(near, F.lit(True))).select("doc", "centre")
+    apart = F.coalesce(bits, F.lit(0)).alias("apart")
+    return both.filter(F.coalesce(near, F.lit(True))).select("doc", "centre", apart)
 
 
 def _folded(sketch):
@@ -521,10 +551,13 @@ def _folded(sketch):
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
-    """Rows (sig, ..., label) of signatures with documents of more than one component."""
-    ends = rows.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    open_ = ends.filter("low < high").select(F.col("sig").alias("open_sig"))
-    return rows.join(open_, matching("sig", "open_sig"), "left_semi")
+    """Rows (sig, ..., label) of signatures with documents of more than one component, and how many
+    rows their signature has."""
+    ends = rows.groupBy("sig").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("docs")
+    )
+    open_ = ends.filter("low < high").select(F.col("sig").alias("open_sig"), "docs")
+    return rows.join(open_, matching("sig", "open_sig")).drop("open_sig")
 
 
 def keep_one(
